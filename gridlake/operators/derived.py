@@ -17,8 +17,15 @@ def forecast_error(
     return df.withColumn("forecast_error_mw", F.col(actual) - F.col(forecast))
 
 
-def _seconds(time: Column) -> Column:
-    return F.unix_micros(time.cast("timestamp")) / F.lit(1e6)
+def _seconds_between(start: Column, end: Column) -> Column:
+    """Exact to the microsecond: the difference is taken on whole numbers."""
+    micros = F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))
+    return micros / F.lit(1e6)
+
+
+def _hours_between(start: Column, end: Column) -> Column:
+    micros = F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))
+    return micros / F.lit(3600e6)
 
 
 def ramp_rates(
@@ -33,7 +40,7 @@ def ramp_rates(
     stepped = with_previous(
         df, entity, order or [time], [time, power], bucket if bucket is not None else time_bucket(time)
     )
-    hours = (_seconds(F.col(time)) - _seconds(F.col(f"prev_{time}"))) / 3600
+    hours = _hours_between(F.col(f"prev_{time}"), F.col(time))
     return stepped.withColumn(
         "ramp_rate_actual",
         F.when(hours > 0, (F.col(power) - F.col(f"prev_{power}")) / hours),
@@ -168,10 +175,10 @@ def gap_report(
         [time],
         bucket if bucket is not None else time_bucket(time),
     )
-    gap = (_seconds(F.col(time)) - _seconds(F.col(f"prev_{time}"))) / 3600
+    gap = _hours_between(F.col(f"prev_{time}"), F.col(time))
     report = stepped.groupBy(*entity).agg(
         F.count(F.lit(1)).alias("rows"),
-        ((_seconds(F.max(time)) - _seconds(F.min(time))) / 3600).alias("span_hours"),
+        _hours_between(F.min(time), F.max(time)).alias("span_hours"),
         F.max(gap).alias("widest_gap_hours"),
         F.count_if(gap > max_gap_hours).alias("large_gaps"),
     )
@@ -217,10 +224,7 @@ def forecast_match(
             "in_band": F.col("actual_mw").between(
                 F.col("confidence_lower_mw"), F.col("confidence_upper_mw")
             ),
-            "horizon_hours": (
-                _seconds(F.col("target_time")) - _seconds(F.col("forecast_time"))
-            )
-            / 3600,
+            "horizon_hours": _hours_between(F.col("forecast_time"), F.col("target_time")),
         }
     )
 
@@ -231,7 +235,7 @@ def task_durations(
     start: str = "start_time",
     end: str = "end_time",
 ) -> DataFrame:
-    seconds = _seconds(F.col(end)) - _seconds(F.col(start))
+    seconds = _seconds_between(F.col(start), F.col(end))
     return logs.groupBy(*by).agg(
         F.count(F.lit(1)).alias("runs"),
         F.avg(seconds).alias("avg_seconds"),

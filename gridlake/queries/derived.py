@@ -23,7 +23,7 @@ WITH s AS (SELECT event_id, user_id, ts, value,
   lag(ts) OVER w AS pt, lag(value) OVER w AS pv FROM events
   WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
 SELECT event_id, user_id, round(CASE WHEN ts > pt THEN
-  (value - pv) / ((epoch_us(ts) - epoch_us(pt)) / 1e6 / 3600) END, 4) AS ramp_rate_actual FROM s""")
+  (value - pv) / ((epoch_us(ts) - epoch_us(pt)) / 3600e6) END, 4) AS ramp_rate_actual FROM s""")
 def ramp(t):
     rows = d.ramp_rates(
         t.events.select("event_id", "user_id", "ts", "value"),
@@ -139,10 +139,10 @@ def future_rows(t):
 
 @query("gap_check", """
 WITH s AS (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pt FROM events),
-g AS (SELECT *, (epoch_us(ts) - epoch_us(pt)) / 1e6 / 3600 AS gap FROM s)
-SELECT user_id, count(*) AS rows, round((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 / 3600, 4) AS span_hours,
+g AS (SELECT *, (epoch_us(ts) - epoch_us(pt)) / 3600e6 AS gap FROM s)
+SELECT user_id, count(*) AS rows, round((epoch_us(max(ts)) - epoch_us(min(ts))) / 3600e6, 4) AS span_hours,
   round(max(gap), 4) AS widest_gap_hours, CAST(sum(CASE WHEN gap > 24 THEN 1 ELSE 0 END) AS BIGINT) AS large_gaps,
-  count(*) >= 24 AND (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 / 3600 >= 24
+  count(*) >= 24 AND (epoch_us(max(ts)) - epoch_us(min(ts))) / 3600e6 >= 24
     AND sum(CASE WHEN gap > 24 THEN 1 ELSE 0 END) = 0 AS sufficient
 FROM g GROUP BY 1""")
 def gap_check(t):
@@ -177,9 +177,9 @@ n AS (SELECT *, row_number() OVER (PARTITION BY generator_id, target_time ORDER
       FROM f WHERE forecast_time <= target_time),
 a AS (SELECT event_type AS generator_id, date_trunc('hour', ts) AS target_time, avg(value) AS actual_mw
       FROM events GROUP BY 1, 2)
-SELECT generator_id, target_time, forecast_time, value AS forecasted_power_mw, round(actual_mw, 4) AS actual_mw,
-  round(actual_mw - value, 4) AS forecast_error_mw, actual_mw BETWEEN value - 30 AND value + 30 AS in_band,
-  (epoch_us(target_time) - epoch_us(forecast_time)) / 1e6 / 3600 AS horizon_hours
+SELECT generator_id, target_time, forecast_time, value AS forecasted_power_mw, round(actual_mw, 6) AS actual_mw,
+  round(actual_mw - value, 6) AS forecast_error_mw, actual_mw BETWEEN value - 30 AND value + 30 AS in_band,
+  (epoch_us(target_time) - epoch_us(forecast_time)) / 3600e6 AS horizon_hours
 FROM n JOIN a USING (generator_id, target_time) WHERE rn = 1""")
 def asof_forecast(t):
     """Newest forecast not issued after its target, against the hourly mean."""
@@ -188,7 +188,7 @@ def asof_forecast(t):
         F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("time"),
     ).agg(F.avg("value").alias("active_power_mw"))
     out = d.forecast_match(_forecasts(t), actual)
-    return rounded(out, "actual_mw", "forecast_error_mw").select(
+    return rounded(out, "actual_mw", "forecast_error_mw", digits=6).select(
         "generator_id", "target_time", "forecast_time", "forecasted_power_mw", "actual_mw",
         "forecast_error_mw", "in_band", "horizon_hours",
     )

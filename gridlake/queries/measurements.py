@@ -17,23 +17,24 @@ from gridlake.sinks.tables import apply_retention, expired_dates
 @query("hourly_rollup", f"""
 WITH {POWER_SQL}
 SELECT date_trunc('hour', time) AS bucket, bus_id, case_name,
-       round(avg(voltage_magnitude), 4) AS avg_voltage,
-       round(avg(active_power_mw), 4) AS avg_active_power,
-       round(avg(reactive_power_mvar), 4) AS avg_reactive_power,
+       round(avg(voltage_magnitude), 6) AS avg_voltage,
+       round(avg(active_power_mw), 6) AS avg_active_power,
+       round(avg(reactive_power_mvar), 6) AS avg_reactive_power,
        min(voltage_magnitude) AS min_voltage, max(voltage_magnitude) AS max_voltage,
        count(*) AS measurement_count
 FROM power GROUP BY 1, 2, 3""")
 def hourly_rollup(t):
     return rounded(
-        rollups.hourly_rollup(power(t)), "avg_voltage", "avg_active_power", "avg_reactive_power"
+        rollups.hourly_rollup(power(t)),
+        "avg_voltage", "avg_active_power", "avg_reactive_power", digits=6,
     )
 
 
 @query("daily_stats", """
 SELECT date_trunc('day', ts) AS day, user_id AS generator_id, event_type AS case_name,
-       round(avg(value), 4) AS avg_generation, max(value) AS peak_generation,
-       round(sum(value), 4) AS total_generation_mwh,
-       round(avg(value * 0.1), 4) AS avg_marginal_cost
+       round(avg(value), 6) AS avg_generation, max(value) AS peak_generation,
+       round(sum(value), 6) AS total_generation_mwh,
+       round(avg(value * 0.1), 6) AS avg_marginal_cost
 FROM events GROUP BY 1, 2, 3""")
 def daily_stats(t):
     df = t.events.select(
@@ -44,14 +45,16 @@ def daily_stats(t):
         (F.col("value") * 0.1).alias("cost"),
     )
     stats = rollups.daily_stats(df, ["generator_id", "case_name"], power="value", cost="cost")
-    return rounded(stats, "avg_generation", "total_generation_mwh", "avg_marginal_cost")
+    return rounded(
+        stats, "avg_generation", "total_generation_mwh", "avg_marginal_cost", digits=6
+    )
 
 
 @query("daily_energy_weighted", """
 SELECT date_trunc('day', ts) AS day, user_id AS generator_id,
-       round(avg(value), 4) AS avg_generation, max(value) AS peak_generation,
-       round(sum(value * 0.25), 4) AS total_generation_mwh,
-       round(avg(value), 4) AS avg_marginal_cost
+       round(avg(value), 6) AS avg_generation, max(value) AS peak_generation,
+       round(sum(value * 0.25), 6) AS total_generation_mwh,
+       round(avg(value), 6) AS avg_marginal_cost
 FROM events GROUP BY 1, 2""")
 def daily_energy_weighted(t):
     """Rows stand for a quarter of an hour each."""
@@ -59,7 +62,9 @@ def daily_energy_weighted(t):
     stats = rollups.daily_stats(
         df, ["generator_id"], power="value", cost="value", hours_per_row=F.lit(0.25)
     )
-    return rounded(stats, "avg_generation", "total_generation_mwh", "avg_marginal_cost")
+    return rounded(
+        stats, "avg_generation", "total_generation_mwh", "avg_marginal_cost", digits=6
+    )
 
 
 @query("coverage", """

@@ -81,12 +81,14 @@ def constant_series(t):
 
 @query("hydro_share", f"""
 WITH {UNITS_SQL}, {HOURLY_SQL}, n AS (SELECT count(*) AS n FROM units WHERE fuel = 'Hydro')
-SELECT name, hour_index, round(total * pmax / n.n, 4) AS active_power_mw
+SELECT name, hour_index, round(total * pmax / n.n, 8) AS active_power_mw
 FROM units, hourly, n WHERE fuel = 'Hydro' AND hour_index < 168""")
 def hydro_share(t):
     hydro = units(t).filter(F.col("fuel") == "Hydro")
     rows = s.shared_profile(hourly(t), hydro, "Hydro", hours=168)
-    return rounded(rows.select("name", "hour_index", "active_power_mw"), "active_power_mw")
+    return rounded(
+        rows.select("name", "hour_index", "active_power_mw"), "active_power_mw", digits=8
+    )
 
 
 @query("area_bus", """
@@ -161,7 +163,7 @@ rows AS (
   SELECT unit_key, u.name, bus_number, fuel, hour_index, total * pmax
   FROM units u JOIN profiled USING (name), hourly WHERE hour_index < 48)
 SELECT {AT_SQL} AS time, name AS generator_id, CAST(bus_number AS VARCHAR) AS bus_id,
-       round(p, 4) AS active_power_mw, round(p * 0.3, 4) AS reactive_power_mvar,
+       round(p, 8) AS active_power_mw, round(p * 0.3, 8) AS reactive_power_mvar,
        {UNIT_TYPE_SQL} AS generator_type
 FROM rows""")
 def generator_year(t):
@@ -173,7 +175,7 @@ def generator_year(t):
     ]
     wind = hourly(t).select("hour_index", *[F.col("Hydro").alias(n) for n in wind_names])
     rows = s.generator_year(frame, wind=wind, solar=None, hydro=hourly(t), hours=48, start=START)
-    return rounded(rows, "active_power_mw", "reactive_power_mvar").select(
+    return rounded(rows, "active_power_mw", "reactive_power_mvar", digits=8).select(
         "time", "generator_id", "bus_id", "active_power_mw", "reactive_power_mvar", "generator_type"
     )
 
@@ -192,13 +194,13 @@ def _suppliers_as_units(t: Tables) -> DataFrame:
 
 @query("load_factor_series", f"""
 SELECT s_name AS generator_id, CAST(s_nationkey AS VARCHAR) AS bus_id, {AT_SQL.replace('hour_index', 'h')} AS time,
-  round(10 + (0.6 + 0.3 * sin((h % 24 - 6) * pi() / 12)) * abs(s_acctbal), 4) AS active_power_mw,
-  round((10 + (0.6 + 0.3 * sin((h % 24 - 6) * pi() / 12)) * abs(s_acctbal)) * 0.3, 4) AS reactive_power_mvar,
+  round(10 + (0.6 + 0.3 * sin((h % 24 - 6) * pi() / 12)) * abs(s_acctbal), 6) AS active_power_mw,
+  round((10 + (0.6 + 0.3 * sin((h % 24 - 6) * pi() / 12)) * abs(s_acctbal)) * 0.3, 6) AS reactive_power_mvar,
   30.0::DOUBLE AS marginal_cost
 FROM supplier, range(168) r(h)""")
 def load_factor_series(t):
     rows = s.simulate_generators(_suppliers_as_units(t), 168, START, noise=False)
-    return rounded(rows, "active_power_mw", "reactive_power_mvar").select(
+    return rounded(rows, "active_power_mw", "reactive_power_mvar", digits=6).select(
         "generator_id", "bus_id", "time", "active_power_mw", "reactive_power_mvar", "marginal_cost"
     )
 
@@ -222,8 +224,8 @@ def bus_series(t):
 
 @query("load_series", f"""
 SELECT s_name AS load_id, {AT_SQL.replace('hour_index', 'h')} AS time,
-  round(abs(s_acctbal) * (0.6 + 0.3 * sin((h % 24 - 6) * pi() / 12)), 4) AS active_power_mw,
-  round(s_nationkey * (0.6 + 0.3 * sin((h % 24 - 6) * pi() / 12)), 4) AS reactive_power_mvar
+  round(abs(s_acctbal) * (0.6 + 0.3 * sin((h % 24 - 6) * pi() / 12)), 6) AS active_power_mw,
+  round(s_nationkey * (0.6 + 0.3 * sin((h % 24 - 6) * pi() / 12)), 6) AS reactive_power_mvar
 FROM supplier, range(24) r(h)""")
 def load_series(t):
     loads = t.supplier.select(
@@ -234,7 +236,7 @@ def load_series(t):
         F.col("s_nationkey").cast("double").alias("reactive_power"),
     )
     rows = s.simulate_loads(loads, 24, START, noise=False)
-    return rounded(rows, "active_power_mw", "reactive_power_mvar").select(
+    return rounded(rows, "active_power_mw", "reactive_power_mvar", digits=6).select(
         "load_id", "time", "active_power_mw", "reactive_power_mvar"
     )
 

@@ -35,7 +35,7 @@ def _kind(series: pd.Series) -> str:
 
 
 def _canonical(value):
-    if value is None or value is pd.NaT:
+    if value is None or value is pd.NaT or value is pd.NA:
         return None
     if isinstance(value, float):
         if math.isnan(value):
