@@ -28,7 +28,8 @@ def time_bucket(column: str, unit: str = "hour") -> Column:
 
 def number_bucket(column: str, width: int = 100_000) -> Column:
     """Bucket for data ordered by a unique number; holds at most ``width`` rows."""
-    return F.floor(F.col(column) / F.lit(width))
+    number = F.col(column)
+    return number - F.pmod(number, F.lit(width))
 
 
 def _cells(df: DataFrame, keys: Sequence[str], bucket: Column) -> DataFrame:
@@ -82,10 +83,18 @@ def with_previous(
 ) -> DataFrame:
     """Values of the preceding row of the group, as ``prev_<column>``."""
     rows = _cells(df, keys, bucket)
+    # With one order column the values are kept singly, which a hash aggregate
+    # can hold; a struct would make Spark sort the rows first.
+    if len(order) == 1:
+        lasts = [F.max_by(v, order[0]).alias(f"_last_{v}") for v in values]
+        last = F.struct(*[F.col(f"_last_{v}").alias(v) for v in values])
+    else:
+        lasts = [F.max_by(F.struct(*values), F.struct(*order)).alias("_last")]
+        last = F.col("_last")
     carried = (
         rows.groupBy(_CELL)
-        .agg(F.max_by(F.struct(*values), F.struct(*order)).alias("_last"))
-        .select(_CELL, F.lag("_last").over(_across(keys)).alias("_carry"))
+        .agg(*lasts)
+        .select(_CELL, F.lag(last).over(_across(keys)).alias("_carry"))
     )
     inside = Window.partitionBy(_CELL).orderBy(*order)
     return (

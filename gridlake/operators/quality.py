@@ -100,11 +100,15 @@ def row_predicate(rule: Rule) -> Column:
 
 @dataclass(frozen=True)
 class Arrival:
-    """How rows of an entity follow each other, for ``increasing`` rules."""
+    """How rows of an entity follow each other, for ``increasing`` rules.
+
+    ``extra`` names columns the bucket uses beyond the entity and the order.
+    """
 
     entity: Sequence[str]
     order: Sequence[str]
     bucket: Column = field(compare=False)
+    extra: Sequence[str] = ()
 
 
 def run_suite(
@@ -115,16 +119,38 @@ def run_suite(
 ) -> DataFrame:
     """One row per rule (and group): evaluated, unexpected, share, success.
 
-    All rules are computed in a single aggregate over the table; only
-    ``increasing`` rules add the step that finds the previous row.
+    All rules that judge single rows are computed in one aggregate over the
+    table, without moving a row. ``increasing`` rules need the rows in order;
+    they run apart, on no more than the columns they use.
     """
-    ordered = sorted({r.column for r in rules if r.kind == "increasing"})
-    if ordered:
+    single = [r for r in rules if r.kind != "increasing"]
+    sequence = [r for r in rules if r.kind == "increasing"]
+    reports = [_report(df, single, by)] if single else []
+    if sequence:
         if arrival is None:
             raise ValueError("an increasing rule needs the arrival order")
-        df = with_previous(
-            df, arrival.entity, arrival.order, ordered, arrival.bucket, prefix="_prev_"
+        ordered = sorted({r.column for r in sequence})
+        used = [*by, *arrival.entity, *arrival.order, *arrival.extra, *ordered]
+        stepped = with_previous(
+            df.select(*dict.fromkeys(used)),
+            arrival.entity,
+            arrival.order,
+            ordered,
+            arrival.bucket,
+            prefix="_prev_",
         )
+        reports.append(_report(stepped, sequence, by))
+    report = reports[0] if len(reports) == 1 else reports[0].unionByName(reports[1])
+    share = F.when(F.col("evaluated") > 0, 1 - F.col("unexpected") / F.col("evaluated"))
+    return report.withColumn("share", share).withColumn(
+        "success",
+        (F.col("evaluated") == 0)
+        | (F.col("evaluated") - F.col("unexpected") >= F.col("mostly") * F.col("evaluated")),
+    )
+
+
+def _report(df: DataFrame, rules: Sequence[Rule], by: Sequence[str]) -> DataFrame:
+    """Counts of evaluated and unexpected rows per rule, from one aggregate."""
     measures = []
     for i, rule in enumerate(rules):
         holds = row_predicate(rule)
@@ -147,13 +173,7 @@ def run_suite(
             for i, rule in enumerate(rules)
         ]
     )
-    report = totals.select(*by, F.inline(rows))
-    share = F.when(F.col("evaluated") > 0, 1 - F.col("unexpected") / F.col("evaluated"))
-    return report.withColumn("share", share).withColumn(
-        "success",
-        (F.col("evaluated") == 0)
-        | (F.col("evaluated") - F.col("unexpected") >= F.col("mostly") * F.col("evaluated")),
-    )
+    return totals.select(*by, F.inline(rows))
 
 
 def suite_summary(report: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -51,7 +51,7 @@ def index_grid(axes: dict[str, DataFrame]) -> DataFrame:
             grid = grid.withColumn(name, F.lit(None).cast(df.schema[name].dataType))
             continue
         stride //= sizes[name]
-        number = F.pmod(F.floor(F.col("_cell") / F.lit(stride)), F.lit(sizes[name]))
+        number = F.expr(f"_cell div {stride} % {sizes[name]}")
         numbered = number_rows(df.select(name), name, f"_n_{name}")
         grid = (
             grid.withColumn(f"_n_{name}", number)

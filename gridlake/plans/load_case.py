@@ -9,22 +9,27 @@ from gridlake import schemas
 from gridlake.functions.scalars import topology_id
 from gridlake.operators import convert, documents, scenarios, series
 from gridlake.operators.joins import new_cases
+from gridlake.session import fresh_path
 from gridlake.sinks import tables as sinks
 from gridlake.sources import case_text
 from gridlake.sources.tables import read_csv_table, read_profiles
 
 
 def matpower_components(cases: DataFrame) -> dict[str, DataFrame]:
-    """Component tables of any number of case texts at once."""
-    buses = convert.matpower_buses(
-        case_text.matrix_rows(cases, "bus"), case_text.bus_names(cases)
-    )
+    """Component tables of any number of case texts at once.
+
+    The parsed blocks are staged in the shared folder, so the texts are read and
+    parsed once and a lost executor repeats only a Parquet scan.
+    """
+    spark = cases.sparkSession
+    path = fresh_path(spark, "blocks")
+    case_text.stage_blocks(cases, path)
+    rows = lambda name: case_text.staged_rows(spark, path, name)
+    buses = convert.matpower_buses(rows("bus"), case_text.staged_names(spark, path))
     return {
         "buses": buses,
-        "generators": convert.matpower_generators(
-            case_text.matrix_rows(cases, "gen"), case_text.matrix_rows(cases, "gencost"), buses
-        ),
-        "branches": convert.matpower_branches(case_text.matrix_rows(cases, "branch"), buses),
+        "generators": convert.matpower_generators(rows("gen"), rows("gencost"), buses),
+        "branches": convert.matpower_branches(rows("branch"), buses),
         "loads": convert.matpower_loads(buses),
     }
 

@@ -67,11 +67,59 @@ def matrix_rows(cases: DataFrame, name: str) -> DataFrame:
     A row with a token that is not a number is left out and does not count; see
     :func:`rejected_lines`. Rows may differ in length.
     """
-    numbers = F.transform(
+    return cases.select("case_name", F.posexplode(_matrix(name)).alias("row_no", "values"))
+
+
+def _matrix(name: str) -> Column:
+    """Rows of numbers of a block, in file order."""
+    return F.transform(
         F.filter(_lines(name), _readable),
         lambda line: F.transform(F.split(line, r"\s+"), lambda t: t.try_cast("double")),
     )
-    return cases.select("case_name", F.posexplode(numbers).alias("row_no", "values"))
+
+
+BLOCKS = ("bus", "gen", "branch", "gencost")
+
+
+def stage_blocks(cases: DataFrame, path: str) -> None:
+    """Parse all blocks in one pass over the texts and store them by block.
+
+    Each text is cut and checked once however many tables are made of it.
+    """
+    no_values, no_label = F.lit(None).cast("array<double>"), F.lit(None).cast("string")
+
+    def entry(block: str, row_no: Column, values: Column, label: Column) -> Column:
+        return F.struct(
+            F.lit(block).alias("block"),
+            row_no.alias("row_no"),
+            values.alias("values"),
+            label.alias("label"),
+        )
+
+    def matrix(block: str) -> Column:
+        return F.transform(_matrix(block), lambda v, i: entry(block, i, v, no_label))
+
+    names = F.transform(_names(), lambda label, i: entry("bus_name", i, no_values, label))
+    rows = F.concat(*[matrix(block) for block in BLOCKS], names)
+    cases.select("case_name", F.inline(rows)).write.partitionBy("block").parquet(path)
+
+
+def staged_rows(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """:func:`matrix_rows` of a staged block; other blocks are not read."""
+    stored = _staged(spark, path).filter(F.col("block") == name)
+    return stored.select("case_name", "row_no", "values")
+
+
+def staged_names(spark: SparkSession, path: str) -> DataFrame:
+    """:func:`bus_names` of staged texts."""
+    stored = _staged(spark, path).filter(F.col("block") == "bus_name")
+    return stored.select("case_name", "row_no", F.col("label").alias("bus_name"))
+
+
+def _staged(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(
+        "case_name string, row_no int, values array<double>, label string, block string"
+    ).parquet(path)
 
 
 def rejected_lines(cases: DataFrame, name: str) -> DataFrame:
@@ -82,7 +130,10 @@ def rejected_lines(cases: DataFrame, name: str) -> DataFrame:
 
 def bus_names(cases: DataFrame) -> DataFrame:
     """``(case_name, row_no, bus_name)`` from the quoted name list."""
+    return cases.select("case_name", F.posexplode(_names()).alias("row_no", "bus_name"))
+
+
+def _names() -> Column:
     lines = F.transform(F.split(_block("bus_name", r"\{", r"\}"), "\n"), _trim)
     quoted = F.filter(lines, lambda line: line.rlike("^'.*?'"))
-    names = F.transform(quoted, lambda line: F.regexp_extract(line, "'(.*?)'", 1))
-    return cases.select("case_name", F.posexplode(names).alias("row_no", "bus_name"))
+    return F.transform(quoted, lambda line: F.regexp_extract(line, "'(.*?)'", 1))
