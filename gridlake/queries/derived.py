@@ -177,8 +177,8 @@ n AS (SELECT *, row_number() OVER (PARTITION BY generator_id, target_time ORDER
       FROM f WHERE forecast_time <= target_time),
 a AS (SELECT event_type AS generator_id, date_trunc('hour', ts) AS target_time, avg(value) AS actual_mw
       FROM events GROUP BY 1, 2)
-SELECT generator_id, target_time, forecast_time, value AS forecasted_power_mw, round(actual_mw, 6) AS actual_mw,
-  round(actual_mw - value, 6) AS forecast_error_mw, actual_mw BETWEEN value - 30 AND value + 30 AS in_band,
+SELECT generator_id, target_time, forecast_time, value AS forecasted_power_mw, round(actual_mw, 8) AS actual_mw,
+  round(actual_mw - value, 8) AS forecast_error_mw, actual_mw BETWEEN value - 30 AND value + 30 AS in_band,
   (epoch_us(target_time) - epoch_us(forecast_time)) / 3600e6 AS horizon_hours
 FROM n JOIN a USING (generator_id, target_time) WHERE rn = 1""")
 def asof_forecast(t):
@@ -188,7 +188,7 @@ def asof_forecast(t):
         F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("time"),
     ).agg(F.avg("value").alias("active_power_mw"))
     out = d.forecast_match(_forecasts(t), actual)
-    return rounded(out, "actual_mw", "forecast_error_mw", digits=6).select(
+    return rounded(out, "actual_mw", "forecast_error_mw", digits=8).select(
         "generator_id", "target_time", "forecast_time", "forecasted_power_mw", "actual_mw",
         "forecast_error_mw", "in_band", "horizon_hours",
     )
@@ -211,7 +211,7 @@ def task_durations(t):
 
 
 @query("power_factor", """
-SELECT event_id, round(value / sqrt(value * value + user_id * user_id), 6) AS power_factor FROM events""")
+SELECT event_id, round(value / nullif(sqrt(value * value + user_id * user_id), 0), 6) AS power_factor FROM events""")
 def power_factor(t):
     df = t.events.withColumn("user_id", F.col("user_id").cast("double"))
     return rounded(

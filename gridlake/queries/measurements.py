@@ -17,16 +17,16 @@ from gridlake.sinks.tables import apply_retention, expired_dates
 @query("hourly_rollup", f"""
 WITH {POWER_SQL}
 SELECT date_trunc('hour', time) AS bucket, bus_id, case_name,
-       round(avg(voltage_magnitude), 6) AS avg_voltage,
-       round(avg(active_power_mw), 6) AS avg_active_power,
-       round(avg(reactive_power_mvar), 6) AS avg_reactive_power,
+       round(avg(voltage_magnitude), 8) AS avg_voltage,
+       round(avg(active_power_mw), 8) AS avg_active_power,
+       round(avg(reactive_power_mvar), 8) AS avg_reactive_power,
        min(voltage_magnitude) AS min_voltage, max(voltage_magnitude) AS max_voltage,
        count(*) AS measurement_count
 FROM power GROUP BY 1, 2, 3""")
 def hourly_rollup(t):
     return rounded(
         rollups.hourly_rollup(power(t)),
-        "avg_voltage", "avg_active_power", "avg_reactive_power", digits=6,
+        "avg_voltage", "avg_active_power", "avg_reactive_power", digits=8,
     )
 
 

@@ -98,7 +98,7 @@ def metric_rows(t):
 
 @query("strict_suite", """
 WITH m AS (SELECT value, value * 2 AS p, value * 0.5 AS r FROM events),
-f AS (SELECT *, p / sqrt(p * p + r * r) AS pf FROM m)
+f AS (SELECT *, p / nullif(sqrt(p * p + r * r), 0) AS pf FROM m)
 SELECT 'between(voltage_magnitude)' AS rule, count(value) AS evaluated,
        CAST(sum(CASE WHEN value NOT BETWEEN 0.95 AND 1.05 THEN 1 ELSE 0 END) AS BIGINT) AS unexpected,
        sum(CASE WHEN value BETWEEN 0.95 AND 1.05 THEN 1 ELSE 0 END) >= 0.98 * count(value) AS success FROM f

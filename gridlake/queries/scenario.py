@@ -226,7 +226,7 @@ def residuals(t):
 
 @query("multipliers", """
 SELECT l_orderkey AS execution_id, l_linenumber AS time_step, l_suppkey AS generator_id, l_partkey AS bus_id,
-  round(l_discount + 0.5 * (l_quantity - avg(l_quantity) OVER (PARTITION BY l_suppkey, l_linenumber)), 6) AS lambda_p
+  round(l_discount + 0.5 * (l_quantity - avg(l_quantity) OVER (PARTITION BY l_suppkey, l_linenumber)), 8) AS lambda_p
 FROM lineitem""")
 def multipliers(t):
     rows = t.lineitem.select(
@@ -238,7 +238,7 @@ def multipliers(t):
         F.col("l_discount").alias("old"),
     )
     out = sc.multipliers(rows, 0.5, previous="old", spread=4)
-    return rounded(out, "lambda_p", digits=6).select(
+    return rounded(out, "lambda_p", digits=8).select(
         "execution_id", "time_step", "generator_id", "bus_id", "lambda_p"
     )
 

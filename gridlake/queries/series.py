@@ -160,7 +160,7 @@ rows AS (
   SELECT unit_key, name, bus_number, fuel, hour_index, total * pmax / n.n
   FROM units, hourly, n WHERE fuel = 'Hydro' AND hour_index < 48
   UNION ALL
-  SELECT unit_key, u.name, bus_number, fuel, hour_index, total * pmax
+  SELECT unit_key, u.name, bus_number, fuel, hour_index, total / 1000 * pmax
   FROM units u JOIN profiled USING (name), hourly WHERE hour_index < 48)
 SELECT {AT_SQL} AS time, name AS generator_id, CAST(bus_number AS VARCHAR) AS bus_id,
        round(p, 8) AS active_power_mw, round(p * 0.3, 8) AS reactive_power_mvar,
@@ -173,7 +173,7 @@ def generator_year(t):
         r.name
         for r in frame.filter(F.col("fuel") == "Wind").orderBy("unit_key").select("name").take(3)
     ]
-    wind = hourly(t).select("hour_index", *[F.col("Hydro").alias(n) for n in wind_names])
+    wind = hourly(t).select("hour_index", *[(F.col("Hydro") / 1000).alias(n) for n in wind_names])
     rows = s.generator_year(frame, wind=wind, solar=None, hydro=hourly(t), hours=48, start=START)
     return rounded(rows, "active_power_mw", "reactive_power_mvar", digits=8).select(
         "time", "generator_id", "bus_id", "active_power_mw", "reactive_power_mvar", "generator_type"
