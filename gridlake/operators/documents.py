@@ -111,7 +111,9 @@ def explode_section(topology: DataFrame, section: str) -> DataFrame:
     parsed = topology.select(
         "case_name", F.from_json("system_data", schema).alias("_doc")
     )
-    return parsed.select("case_name", F.inline(f"_doc.{section}"))
+    # The outer form keeps Spark from parsing twice to filter empty arrays.
+    elements = parsed.select("case_name", F.explode_outer(f"_doc.{section}").alias("_e"))
+    return elements.filter(F.col("_e").isNotNull()).select("case_name", "_e.*")
 
 
 def _default(name: str):

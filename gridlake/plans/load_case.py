@@ -34,6 +34,11 @@ def matpower_components(cases: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def staged(components: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Component tables that several outputs use, written once."""
+    return {name: sinks.stage(df, name) for name, df in components.items()}
+
+
 def rts_components(spark: SparkSession, folder: str, case_name: str = "RTS_GMLC") -> dict[str, DataFrame]:
     """Component tables of a folder with bus, gen, branch and bus_map CSVs."""
     buses = convert.rts_buses(
@@ -71,7 +76,7 @@ def load_matpower_cases(
     existing = _existing(spark, f"{warehouse}/network_topology")
     if existing is not None:
         cases = new_cases(cases, existing)
-    components = matpower_components(cases)
+    components = staged(matpower_components(cases))
     # Measurements first: the topology row marks a case as loaded, so a run that
     # breaks off before it is simply repeated.
     sinks.append_measurements(
@@ -113,7 +118,7 @@ def load_rts_case(
     existing = _existing(spark, f"{warehouse}/network_topology")
     if existing is not None and not existing.filter(F.col("case_name") == case_name).isEmpty():
         return
-    components = rts_components(spark, folder, case_name)
+    components = staged(rts_components(spark, folder, case_name))
     profiles = f"{folder}/timeseries_data_files"
     regional = read_profiles(spark, f"{profiles}/Load", "regional_Load")
     if regional is not None:

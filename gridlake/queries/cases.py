@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from gridlake.operators import convert, documents, joins
 from gridlake.operators.documents import to_system_document
-from gridlake.plans.load_case import contingencies_of, matpower_components
+from gridlake.plans.load_case import contingencies_of, matpower_components, staged
 from gridlake.queries.registry import Tables, query, rounded
 from gridlake.session import fresh_path
 from gridlake.sources import case_text
@@ -248,7 +248,7 @@ def _topology(t: Tables) -> DataFrame:
     texts = cases(t)
     path = fresh_path(t.spark, "topology")
     document = to_system_document(
-        matpower_components(texts), case_text.base_mva(texts), "MATPOWER", part_rows=1000
+        staged(matpower_components(texts)), case_text.base_mva(texts), "MATPOWER", part_rows=1000
     )
     document.write.parquet(path)
     return t.spark.read.parquet(path)
@@ -331,7 +331,8 @@ FROM p GROUP BY 1""")
 def topology_checks(t):
     """Odd cases declare one bus too many; units of size 49 lose a required key."""
     texts = cases(t)
-    components = matpower_components(texts)
+    components = staged(matpower_components(texts))
+    found = contingencies_of(components)
     broken = F.col("pmin") == 49
     components["generators"] = components["generators"].withColumn(
         "bus_number", F.when(~broken, F.col("bus_number"))
@@ -339,7 +340,7 @@ def topology_checks(t):
     odd = F.col("case_name").substr(-1, 1).cast("int") % 2
     document = to_system_document(components, case_text.base_mva(texts), part_rows=1000)
     document = document.withColumn("num_buses", F.col("num_buses") + odd)
-    report = documents.topology_checks(document, contingencies_of(matpower_components(texts)))
+    report = documents.topology_checks(document, found)
     return report.select(
         "case_name", "actual_buses", "declared_buses", "counts_match",
         "generator_field_missing", "success", "contingencies",

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from gridlake.operators.joins import new_cases
 from gridlake.operators.ordered import time_bucket
+from gridlake.session import fresh_path
 
 # Days a raw table is kept; loads are kept for ever.
 RETENTION_DAYS = {
@@ -31,6 +32,17 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """The same rows from a table written to the shared folder.
+
+    For a result that several jobs use: it is computed once, and a lost executor
+    repeats a scan instead of the joins before it.
+    """
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def append_measurements(
     df: DataFrame, path: str, time: str = "time", entity: str | None = None, slices: int = 8
 ) -> None:

@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 
 DEFAULT_BASE_MVA = 100.0
 
-# What a matrix entry may look like; anything else makes its row unreadable.
-_NUMBER = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|inf(inity)?|nan)$"
+_BLANKS = " \t\r\f\x0b"
 
 
 def read_case_text(spark: SparkSession, path: str) -> DataFrame:
@@ -43,12 +42,12 @@ def _block(name: str, opening: str, closing: str) -> Column:
 
 
 def _trim(text: Column) -> Column:
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.trim(text, F.lit(_BLANKS))
 
 
 def _clean_line(line: Column) -> Column:
-    without_comment = _trim(F.regexp_replace(line, "%.*$", ""))
-    return _trim(F.regexp_replace(without_comment, ";+$", ""))
+    without_comment = _trim(F.substring_index(line, "%", 1))
+    return _trim(F.rtrim(without_comment, F.lit(";")))
 
 
 def _lines(name: str) -> Column:
@@ -57,8 +56,17 @@ def _lines(name: str) -> Column:
     return F.filter(lines, lambda line: line != "")
 
 
-def _readable(line: Column) -> Column:
-    return F.forall(F.split(line, r"\s+"), lambda token: F.lower(token).rlike(_NUMBER))
+def _numbers(line: Column) -> Column:
+    return F.transform(F.split(line, r"\s+"), lambda token: token.try_cast("double"))
+
+
+def _all_numbers(values: Column) -> Column:
+    return F.forall(values, lambda v: v.isNotNull())
+
+
+def _suffixed(line: Column) -> Column:
+    """A number with a type letter, which a cast takes but a case file may not have."""
+    return line.rlike(r"[\d.][dDfF](\s|$)")
 
 
 def matrix_rows(cases: DataFrame, name: str) -> DataFrame:
@@ -67,15 +75,20 @@ def matrix_rows(cases: DataFrame, name: str) -> DataFrame:
     A row with a token that is not a number is left out and does not count; see
     :func:`rejected_lines`. Rows may differ in length.
     """
-    return cases.select("case_name", F.posexplode(_matrix(name)).alias("row_no", "values"))
+    return _exploded(cases, _matrix(name), "values")
+
+
+def _exploded(cases: DataFrame, rows: Column, output: str) -> DataFrame:
+    """Array entries as rows. The outer form keeps Spark from computing the array
+    a second time to filter empty ones beforehand."""
+    exploded = cases.select("case_name", F.posexplode_outer(rows).alias("row_no", output))
+    return exploded.filter(F.col("row_no").isNotNull())
 
 
 def _matrix(name: str) -> Column:
     """Rows of numbers of a block, in file order."""
-    return F.transform(
-        F.filter(_lines(name), _readable),
-        lambda line: F.transform(F.split(line, r"\s+"), lambda t: t.try_cast("double")),
-    )
+    plain = F.filter(_lines(name), lambda line: ~_suffixed(line))
+    return F.filter(F.transform(plain, _numbers), _all_numbers)
 
 
 BLOCKS = ("bus", "gen", "branch", "gencost")
@@ -101,7 +114,8 @@ def stage_blocks(cases: DataFrame, path: str) -> None:
 
     names = F.transform(_names(), lambda label, i: entry("bus_name", i, no_values, label))
     rows = F.concat(*[matrix(block) for block in BLOCKS], names)
-    cases.select("case_name", F.inline(rows)).write.partitionBy("block").parquet(path)
+    exploded = cases.select("case_name", F.inline_outer(rows))
+    exploded.filter(F.col("block").isNotNull()).write.partitionBy("block").parquet(path)
 
 
 def staged_rows(spark: SparkSession, path: str, name: str) -> DataFrame:
@@ -124,13 +138,15 @@ def _staged(spark: SparkSession, path: str) -> DataFrame:
 
 def rejected_lines(cases: DataFrame, name: str) -> DataFrame:
     """``(case_name, line)`` for block lines that are not rows of numbers."""
-    bad = F.filter(_lines(name), lambda line: ~_readable(line))
-    return cases.select("case_name", F.explode(bad).alias("line"))
+    bad = F.filter(
+        _lines(name), lambda line: _suffixed(line) | ~_all_numbers(_numbers(line))
+    )
+    return _exploded(cases, bad, "line").drop("row_no")
 
 
 def bus_names(cases: DataFrame) -> DataFrame:
     """``(case_name, row_no, bus_name)`` from the quoted name list."""
-    return cases.select("case_name", F.posexplode(_names()).alias("row_no", "bus_name"))
+    return _exploded(cases, _names(), "bus_name")
 
 
 def _names() -> Column:
