@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.functions.scalars import unit_type
-from gridlake.operators.joins import lookup_bus
+from gridlake.operators.joins import if_small, lookup_bus
 
 # What a missing trailing matrix column or a missing table column
 # stands for.
@@ -274,7 +274,7 @@ def rts_loads(bus_map: DataFrame, case_name: str, part_rows: int = 10_000) -> Da
         F.ceil(F.count(F.lit(1)) / F.lit(part_rows)).cast("int").alias("_parts")
     )
     return (
-        members.join(parts, "area")
+        members.join(if_small(parts), "area")
         .withColumn("part_no", F.pmod(F.xxhash64("bus"), F.col("_parts")).cast("int"))
         .groupBy("area", "part_no")
         .agg(F.array_sort(F.collect_list("bus")).alias("buses"))

@@ -8,7 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.functions.scalars import power_factor
-from gridlake.operators.ordered import time_bucket, with_previous, with_running_sum
+from gridlake.operators.ordered import (
+    number_bucket,
+    time_bucket,
+    with_previous,
+    with_running_sum,
+)
 
 
 def forecast_error(
@@ -55,7 +60,7 @@ def previous_output(
     bucket: Column | None = None,
 ) -> DataFrame:
     """Output of the unit's previous step; 0 at the first."""
-    cell = F.lit(0) if bucket is None else bucket
+    cell = number_bucket(order[0]) if bucket is None else bucket
     return with_previous(df, entity, order, [power], cell).withColumn(
         f"prev_{power}", F.coalesce(F.col(f"prev_{power}"), F.lit(0.0))
     )
@@ -69,7 +74,7 @@ def cumulative_time(
     bucket: Column | None = None,
 ) -> DataFrame:
     """Running solve time per execution."""
-    cell = F.lit(0) if bucket is None else bucket
+    cell = number_bucket(order[0]) if bucket is None else bucket
     return with_running_sum(history, execution, order, seconds, cell, "cumulative_time_seconds")
 
 
@@ -97,7 +102,7 @@ def ramp_flags(
     tolerance: float = 1e-6,
 ) -> DataFrame:
     """Whether the step's change uses up the unit's ramp limit."""
-    cell = F.lit(0) if bucket is None else bucket
+    cell = number_bucket(order[0]) if bucket is None else bucket
     stepped = with_previous(dispatch, entity, order, [power], cell)
     change = F.abs(F.col(power) - F.col(f"prev_{power}"))
     return stepped.withColumn(

@@ -187,28 +187,32 @@ def document_loads(topology: DataFrame) -> DataFrame:
     )
 
 
+_SHALLOW = ", ".join(f"{section} array<variant>" for section in _SECTIONS)
+
+
+def _shallow(topology: DataFrame) -> DataFrame:
+    """Documents parsed once, elements left as variants."""
+    return topology.withColumn("_doc", F.from_json("system_data", _SHALLOW))
+
+
 def _array_size(section: str):
-    return F.coalesce(
-        F.json_array_length(F.get_json_object("system_data", f"$.{section}")), F.lit(0)
-    ).cast("bigint")
+    return F.coalesce(F.size(F.col(f"_doc.{section}")), F.lit(0)).cast("bigint")
 
 
 def component_counts(topology: DataFrame) -> DataFrame:
     """Array sizes per case, summed over its parts."""
-    return topology.groupBy("case_name").agg(
+    return _shallow(topology).groupBy("case_name").agg(
         *[F.sum(_array_size(s)).alias(_COUNTS[s]) for s in _SECTIONS]
     )
 
 
 def _incomplete(section: str, fields: list[str]):
     """Whether some element lacks a required key; an explicit null is a key."""
-    elements = F.from_json(
-        F.get_json_object("system_data", f"$.{section}"), T.ArrayType(T.VariantType())
-    )
-    lacks = lambda e: F.expr("false") if not fields else _any(
-        [F.variant_get(e, f"$.{f}", "variant").isNull() for f in fields]
-    )
-    return F.coalesce(F.exists(elements, lacks), F.lit(False))
+
+    def lacks(element):
+        return _any([F.variant_get(element, f"$.{f}", "variant").isNull() for f in fields])
+
+    return F.coalesce(F.exists(F.col(f"_doc.{section}"), lacks), F.lit(False))
 
 
 def _any(conditions):
@@ -221,7 +225,7 @@ def _any(conditions):
 def topology_checks(topology: DataFrame, contingencies: DataFrame | None = None) -> DataFrame:
     """Per case: declared against actual counts, required fields, contingencies."""
     checked = ["buses", "generators", "branches"]
-    report = topology.groupBy("case_name", "topology_id").agg(
+    report = _shallow(topology).groupBy("case_name", "topology_id").agg(
         *[F.sum(_array_size(s)).alias(f"actual_{s}") for s in checked],
         *[F.max(_COUNTS[s]).alias(f"declared_{s}") for s in checked],
         F.max(_incomplete("buses", REQUIRED_BUS_FIELDS)).alias("bus_field_missing"),

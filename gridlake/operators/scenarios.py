@@ -337,17 +337,20 @@ def convergence_status(
     A run stops at the first iteration with both residuals below the tolerance.
     """
     done = (F.col(primal) < tolerance) & (F.col(dual) < tolerance)
-    stop = F.min(F.when(done, F.struct(iteration, value)))
-    last = F.max(F.struct(iteration, value))
-    return (
-        history.groupBy(execution)
-        .agg(stop.alias("_stop"), last.alias("_last"))
-        .select(
-            execution,
-            F.when(F.col("_stop").isNotNull(), "CONVERGED")
-            .otherwise("MAX_ITERATIONS")
-            .alias("convergence_status"),
-            F.coalesce(f"_stop.{iteration}", f"_last.{iteration}").alias("final_iteration"),
-            F.coalesce(f"_stop.{value}", f"_last.{value}").alias("objective_value"),
-        )
+    stopped_at = F.when(done, F.col(iteration))
+    # Plain numbers instead of structs, so that a hash aggregate can hold them.
+    ends = history.groupBy(execution).agg(
+        F.min(stopped_at).alias("_stop"),
+        F.max(iteration).alias("_last"),
+        F.min_by(F.col(value), stopped_at).alias("_stop_value"),
+        F.max_by(value, iteration).alias("_last_value"),
+    )
+    converged = F.col("_stop").isNotNull()
+    return ends.select(
+        execution,
+        F.when(converged, "CONVERGED").otherwise("MAX_ITERATIONS").alias("convergence_status"),
+        F.coalesce("_stop", "_last").alias("final_iteration"),
+        F.when(converged, F.col("_stop_value"))
+        .otherwise(F.col("_last_value"))
+        .alias("objective_value"),
     )

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridlake.operators.joins import SMALL_ROWS, if_small
 from gridlake.operators.ordered import number_rows
 
 # Parameter defaults, transport price per ton-mile, pipeline limit.
@@ -37,7 +38,8 @@ def index_grid(axes: dict[str, DataFrame]) -> DataFrame:
 
     Each axis is numbered, the combinations are the numbers of one range, and
     every axis value is fetched by an equi-join on its own number: evenly
-    spread, whatever the sizes, and never a product of two tables.
+    spread, whatever the sizes, and never a product of two tables. An axis is
+    broadcast if its count is small, which every axis of few values is.
     """
     sizes = {name: df.count() for name, df in axes.items()}
     spark = next(iter(axes.values())).sparkSession
@@ -53,6 +55,8 @@ def index_grid(axes: dict[str, DataFrame]) -> DataFrame:
         stride //= sizes[name]
         number = F.expr(f"_cell div {stride} % {sizes[name]}")
         numbered = number_rows(df.select(name), name, f"_n_{name}")
+        if sizes[name] <= SMALL_ROWS:
+            numbered = F.broadcast(numbered)
         grid = (
             grid.withColumn(f"_n_{name}", number)
             .join(numbered, f"_n_{name}")
@@ -97,8 +101,13 @@ def objective_terms(
     by_route = reduced(x, ["source", "county"])
     by_pipe = reduced(y, ["county", "basin", "year"])
     by_basin = reduced(z, ["basin"])
-    piped = with_parameter(by_pipe, co2_distance, ["county", "basin"], "value", DISTANCE_DEFAULT)
-    piped = piped.withColumnRenamed("value", "distance").join(co2_price, "year")
+    # Ton-miles per year first: the price then meets one row per year.
+    ton_miles = (
+        with_parameter(by_pipe, co2_distance, ["county", "basin"], "value", DISTANCE_DEFAULT)
+        .groupBy("year")
+        .agg(F.sum(F.col("value") * amount).alias("amount"))
+        .join(co2_price, "year")
+    )
     terms = term(
         "feedstock",
         with_parameter(
@@ -114,7 +123,7 @@ def objective_terms(
             ),
             F.lit(transport_price) * F.col("value") * amount,
         ),
-        term("co2_transport", piped, F.col("distance") * F.col("value") * amount),
+        term("co2_transport", ton_miles, F.col("value") * amount),
         term("injection", by_basin.join(injection_price, "basin"), F.col("value") * amount),
     ):
         terms = terms.unionByName(part)
@@ -170,14 +179,14 @@ def capacity(
 
 def converted(df: DataFrame, factor: DataFrame, on: Sequence[str]) -> DataFrame:
     """``amount`` times the factor's ``value`` (energy to feedstock, energy to CO2)."""
-    return df.join(factor.select(*on, "value"), list(on)).withColumn(
+    return df.join(if_small(factor.select(*on, "value")), list(on)).withColumn(
         "amount", F.col("amount") * F.col("value")
     ).drop("value")
 
 
 def to_region(df: DataFrame, mapping: DataFrame, county: str = "county") -> DataFrame:
     """Adds the region of each county; counties outside the mapping drop out."""
-    return df.join(mapping.select(county, "region"), county)
+    return df.join(if_small(mapping.select(county, "region")), county)
 
 
 def energy_audit(u: DataFrame, demand: DataFrame, mapping: DataFrame) -> DataFrame:

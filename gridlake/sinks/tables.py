@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridlake.operators.joins import new_cases
-from gridlake.operators.ordered import time_bucket
 from gridlake.session import fresh_path
 
 # Days a raw table is kept; loads are kept for ever.
@@ -44,22 +43,18 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 
 def append_measurements(
-    df: DataFrame, path: str, time: str = "time", entity: str | None = None, slices: int = 8
+    df: DataFrame, path: str, time: str = "time", entity: str | None = None
 ) -> None:
     """Append to a Parquet table partitioned by ``date``.
 
-    Rows of one day go to at most ``slices`` tasks (by hour and, if given, by
-    entity), so a day makes few files and a hot day is still written in parallel.
+    The rebalance hint brings rows of a day together and lets Spark split a day
+    that is larger than the advisory partition size over several tasks, so quiet
+    days make few files and a hot day is still written in parallel.
     """
-    dated = df.withColumn("date", F.to_date(time))
-    spread = F.pmod(
-        F.xxhash64(time_bucket(time), *([entity] if entity else [])), F.lit(slices)
-    )
     (
-        dated.withColumn("_slice", spread)
-        .repartition("date", "_slice")
+        df.withColumn("date", F.to_date(time))
+        .hint("rebalance", "date")
         .sortWithinPartitions("date", *([entity] if entity else []), time)
-        .drop("_slice")
         .write.mode("append")
         .partitionBy("date")
         .parquet(path)

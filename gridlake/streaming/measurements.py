@@ -163,14 +163,12 @@ def refresh_rollup(
     path: str,
     bounds: tuple[Column, Column] | None = None,
     bucket: str = "bucket",
-    slices: int = 4,
 ) -> None:
     """Store a rollup, or replace the buckets within ``bounds`` of a stored one.
 
     The table is partitioned by date. A refresh rewrites only the dates it
     touches and keeps their buckets outside the bounds, so older buckets, and
-    late rows for them, are left alone. A date is written by up to ``slices``
-    tasks.
+    late rows for them, are left alone.
     """
     date = F.to_date(bucket)
     rows = rollup.withColumn("bucket_date", date)
@@ -182,9 +180,7 @@ def refresh_rollup(
         outside = stored.filter((F.col(bucket) < first) | (F.col(bucket) >= last))
         rows = rows.unionByName(outside)
     (
-        rows.withColumn("_slice", F.pmod(F.xxhash64(*rollup.columns), F.lit(slices)))
-        .repartition("bucket_date", "_slice")
-        .drop("_slice")
+        rows.hint("rebalance", "bucket_date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("bucket_date")
