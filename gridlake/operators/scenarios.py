@@ -151,11 +151,13 @@ def scenario_changes(
     name: str = "name",
     respect_outage: bool = True,
     case: Sequence[str] = (),
+    keep_base: bool = False,
 ) -> DataFrame:
     """Rows that differ from the base case: outaged units at 0, uncommitted.
 
-    ``respect_outage=False`` keeps the base output of an outaged unit and only
-    marks it unavailable.
+    ``respect_outage=False`` keeps the row of an outaged unit as it is in the
+    base case. ``keep_base`` adds the base output and cost, which
+    :func:`scenario_totals` needs.
     """
     hit = outage.select(
         *case, F.col(scenario).alias("_scenario"), F.col(name).alias("generator_id")
@@ -170,6 +172,14 @@ def scenario_changes(
             for c in ("active_power_mw", "reactive_power_mvar", "generation_cost")
         ],
         kept.alias("commitment_status"),
+        *(
+            [
+                F.col("active_power_mw").alias("base_power_mw"),
+                F.col("generation_cost").alias("base_cost"),
+            ]
+            if keep_base
+            else []
+        ),
     )
 
 
@@ -191,27 +201,18 @@ def scenario_totals(
 ) -> DataFrame:
     """Output and cost of every scenario and step, base case included.
 
-    A scenario's total is the base total plus what its changed rows add or take
-    away; scenarios without changed units have the base total.
+    A scenario's total is the base total plus what its changed rows (made with
+    ``keep_base``) add or take away; scenarios without changed units have the
+    base total.
     """
     at = [*case, "time_step"]
     totals = base.groupBy(*at).agg(
         F.sum("active_power_mw").alias("_mw"), F.sum("generation_cost").alias("_cost")
     )
-    before = base.select(
-        *at,
-        "generator_id",
-        F.col("active_power_mw").alias("_mw0"),
-        F.col("generation_cost").alias("_cost0"),
-    )
-    deltas = (
-        changes.join(before, [*at, "generator_id"])
-        .groupBy("scenario_type", *at)
-        .agg(
-            F.sum(F.col("active_power_mw") - F.col("_mw0")).alias("_dmw"),
-            F.sum(F.col("generation_cost") - F.col("_cost0")).alias("_dcost"),
-            F.count(F.lit(1)).alias("changed_units"),
-        )
+    deltas = changes.groupBy("scenario_type", *at).agg(
+        F.sum(F.col("active_power_mw") - F.col("base_power_mw")).alias("_dmw"),
+        F.sum(F.col("generation_cost") - F.col("base_cost")).alias("_dcost"),
+        F.count(F.lit(1)).alias("changed_units"),
     )
     listed = scenarios.select(*case, "scenario_type").distinct()
     grid = listed.withColumn("time_step", F.explode(F.sequence(F.lit(1), F.lit(steps))))

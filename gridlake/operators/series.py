@@ -20,7 +20,7 @@ from gridlake.functions.scalars import (
     unit_type,
     zero_if_missing,
 )
-from gridlake.operators.joins import lookup_bus, spread_join
+from gridlake.operators.joins import if_small, lookup_bus, spread_join
 from gridlake.operators.ordered import first_per_group
 
 # First hour of loaded years, their length, the share of the range
@@ -83,15 +83,19 @@ def shared_profile(
 ) -> DataFrame:
     """One profile shared equally by the units of a case.
 
-    The units are exploded into hours and meet the profile on the hour.
+    The units are exploded into hours and meet the profile on the hour; counts
+    per case and the hours of the profile are small, so the series itself is
+    not shuffled.
     """
     shares = units.groupBy(*case).agg(F.count(F.lit(1)).alias("_units"))
-    hourly = units.join(shares, list(case)).withColumn(
+    hourly = units.join(if_small(shares), list(case)).withColumn(
         "hour_index", F.explode(F.sequence(F.lit(0), F.lit(hours - 1)))
     )
-    values = profile.select("hour_index", F.col(f"`{column}`").alias("_share"))
+    values = profile.filter(F.col("hour_index") < hours).select(
+        "hour_index", F.col(f"`{column}`").alias("_share")
+    )
     return (
-        hourly.join(values, "hour_index")
+        hourly.join(if_small(values), "hour_index")
         .withColumn("active_power_mw", F.col("_share") * F.col("pmax") / F.col("_units"))
         .drop("_share", "_units")
     )
@@ -125,24 +129,25 @@ def area_load(
     """
     present = [a for a in areas if a in regional.columns]
     long = wide_to_long(regional, ["hour_index"], present, "_area", "active_power_mw")
-    placed = long.withColumn("area", F.right("_area", F.lit(1))).join(
-        representative_bus(bus_map, order), "area"
-    )
+    # The bus is named before the join: one row per area instead of per hour.
+    places = representative_bus(bus_map, order).withColumn("case_name", F.lit(case_name))
+    named = []
+    if buses is not None:
+        places = lookup_bus(places, buses, "bus_number", "bus_name")
+        named = ["bus_name"]
+    placed = long.withColumn("area", F.right("_area", F.lit(1))).join(if_small(places), "area")
     load_id = F.concat(F.lit("Load_"), "_area")
-    rows = with_time(placed, start).select(
+    return with_time(placed, start).select(
         "time",
         load_id.alias("load_id"),
         load_id.alias("load_name"),
-        "bus_number",
         F.col("bus_number").cast("string").alias("bus_id"),
+        *named,
         "active_power_mw",
         reactive_power(F.col("active_power_mw")).alias("reactive_power_mvar"),
         F.lit("RTS-GMLC").alias("source"),
-        F.lit(case_name).alias("case_name"),
+        "case_name",
     )
-    if buses is not None:
-        rows = lookup_bus(rows, buses, "bus_number", "bus_name")
-    return rows.drop("bus_number")
 
 
 def generator_year(

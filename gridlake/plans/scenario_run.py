@@ -41,7 +41,7 @@ def study(
     units = documents.document_generators(valid).filter(F.col("type") == "THERMAL")
     base = scenarios.base_dispatch(units, steps, keep=CASE)
     hit = scenarios.outages(contingencies, units, case=CASE)
-    changes = scenarios.scenario_changes(base, hit, case=CASE)
+    changes = scenarios.scenario_changes(base, hit, case=CASE, keep_base=True)
     names = contingencies.select(*CASE, F.col("contingency_name").alias("scenario_type")).unionByName(
         units.select(*CASE).distinct().withColumn("scenario_type", F.lit(scenarios.BASE))
     )
@@ -58,7 +58,7 @@ def study(
 
 def save_study(result: Study, execution_id: str, warehouse: str) -> None:
     """Append base rows and scenario changes, tagged with the execution id."""
-    rows = result.base.unionByName(result.changes)
+    rows = result.base.unionByName(result.changes.drop("base_power_mw", "base_cost"))
     sinks.append_results(
         sinks.tag_results(rows, execution_id),
         schemas.DISPATCH_RESULTS,

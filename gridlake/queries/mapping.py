@@ -69,11 +69,11 @@ def bus_results(t: Tables) -> DataFrame:
 
 
 def units(t: Tables) -> DataFrame:
-    """Parts as generators; the brand number picks the fuel."""
+    """Parts as generators of one case per part type; the brand picks the fuel."""
     fuels = F.array(*[F.lit(f) for f in FUELS])
     brand = F.regexp_extract("p_brand", r"(\d+)", 1).cast("int")
     return t.part.select(
-        F.lit("PARTS").alias("case_name"),
+        F.col("p_type").alias("case_name"),
         F.col("p_partkey").alias("unit_key"),
         F.concat(F.lit("U"), F.col("p_partkey").cast("string")).alias("name"),
         F.col("p_partkey").alias("bus_number"),
@@ -91,7 +91,7 @@ FUELS = [
 _FUEL_LIST = ", ".join(f"'{f}'" for f in FUELS)
 
 UNITS_SQL = f"""units AS (
-    SELECT 'PARTS' AS case_name, p_partkey AS unit_key,
+    SELECT p_type AS case_name, p_partkey AS unit_key,
            'U' || CAST(p_partkey AS VARCHAR) AS name, p_partkey AS bus_number,
            CAST(p_size AS DOUBLE) AS pmin, p_retailprice AS pmax,
            list_extract([{_FUEL_LIST}],

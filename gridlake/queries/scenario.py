@@ -88,7 +88,9 @@ def _parts(t: Tables, respect_outage: bool = True):
     base = sc.base_dispatch(units, STEPS, keep=case, cost=price)
     contingencies = sc.n1_contingencies(_branches(t), units)
     hit = sc.outages(contingencies, units, case=case)
-    changes = sc.scenario_changes(base, hit, respect_outage=respect_outage, case=case)
+    changes = sc.scenario_changes(
+        base, hit, respect_outage=respect_outage, case=case, keep_base=True
+    )
     return base, changes, contingencies
 
 
@@ -115,7 +117,7 @@ SELECT topology_id, time_step, name, 'N-1_' || name, 0.0, FALSE FROM base""")
 def scenario_dispatch(t):
     """Base rows and the rows the outages change."""
     base, changes, _ = _parts(t)
-    rows = base.unionByName(changes)
+    rows = base.unionByName(changes.drop("base_power_mw", "base_cost"))
     return rounded(rows, "active_power_mw").select(
         "topology_id", "time_step", "generator_id", "scenario_type", "active_power_mw",
         "commitment_status",

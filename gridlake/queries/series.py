@@ -16,7 +16,7 @@ EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 HOURLY_SQL = """hourly AS (
     SELECT CAST(date_diff('hour', TIMESTAMP '2024-01-01', date_trunc('hour', ts)) AS INTEGER) AS hour_index,
-           sum(value) AS total FROM events GROUP BY 1)"""
+           round(sum(value), 2) AS total FROM events GROUP BY 1)"""
 
 AT_SQL = "TIMESTAMP '2024-01-01' + INTERVAL 1 HOUR * hour_index"
 
@@ -29,7 +29,8 @@ def _hour_index():
 
 
 def hourly(t: Tables) -> DataFrame:
-    return t.events.groupBy(_hour_index()).agg(F.sum("value").alias("Hydro"))
+    """Hourly profile; at two digits the sum no longer depends on its order."""
+    return t.events.groupBy(_hour_index()).agg(F.round(F.sum("value"), 2).alias("Hydro"))
 
 
 def wide(t: Tables) -> DataFrame:
@@ -80,15 +81,13 @@ def constant_series(t):
 
 
 @query("hydro_share", f"""
-WITH {UNITS_SQL}, {HOURLY_SQL}, n AS (SELECT count(*) AS n FROM units WHERE fuel = 'Hydro')
-SELECT name, hour_index, round(total * pmax / n.n, 8) AS active_power_mw
-FROM units, hourly, n WHERE fuel = 'Hydro' AND hour_index < 168""")
+WITH {UNITS_SQL}, {HOURLY_SQL}, n AS (SELECT case_name, count(*) AS n FROM units WHERE fuel = 'Hydro' GROUP BY 1)
+SELECT name, hour_index, total * pmax / n.n AS active_power_mw
+FROM units JOIN n USING (case_name), hourly WHERE fuel = 'Hydro' AND hour_index < 168""")
 def hydro_share(t):
     hydro = units(t).filter(F.col("fuel") == "Hydro")
     rows = s.shared_profile(hourly(t), hydro, "Hydro", hours=168)
-    return rounded(
-        rows.select("name", "hour_index", "active_power_mw"), "active_power_mw", digits=8
-    )
+    return rows.select("name", "hour_index", "active_power_mw")
 
 
 @query("area_bus", """
@@ -151,19 +150,19 @@ def area_loads(t):
 
 
 @query("generator_year", f"""
-WITH {UNITS_SQL}, {HOURLY_SQL}, n AS (SELECT count(*) AS n FROM units WHERE fuel = 'Hydro'),
+WITH {UNITS_SQL}, {HOURLY_SQL}, n AS (SELECT case_name, count(*) AS n FROM units WHERE fuel = 'Hydro' GROUP BY 1),
 profiled AS (SELECT name FROM units WHERE fuel = 'Wind' ORDER BY unit_key LIMIT 3),
 rows AS (
   SELECT unit_key, name, bus_number, fuel, CAST(h AS INTEGER) AS hour_index, pmin + 0.7 * (pmax - pmin) AS p
   FROM units, range(48) r(h) WHERE fuel NOT IN ('Wind', 'Hydro')
   UNION ALL
   SELECT unit_key, name, bus_number, fuel, hour_index, total * pmax / n.n
-  FROM units, hourly, n WHERE fuel = 'Hydro' AND hour_index < 48
+  FROM units JOIN n USING (case_name), hourly WHERE fuel = 'Hydro' AND hour_index < 48
   UNION ALL
   SELECT unit_key, u.name, bus_number, fuel, hour_index, total / 1000 * pmax
   FROM units u JOIN profiled USING (name), hourly WHERE hour_index < 48)
 SELECT {AT_SQL} AS time, name AS generator_id, CAST(bus_number AS VARCHAR) AS bus_id,
-       round(p, 8) AS active_power_mw, round(p * 0.3, 8) AS reactive_power_mvar,
+       p AS active_power_mw, p * 0.3 AS reactive_power_mvar,
        {UNIT_TYPE_SQL} AS generator_type
 FROM rows""")
 def generator_year(t):
@@ -175,7 +174,7 @@ def generator_year(t):
     ]
     wind = hourly(t).select("hour_index", *[(F.col("Hydro") / 1000).alias(n) for n in wind_names])
     rows = s.generator_year(frame, wind=wind, solar=None, hydro=hourly(t), hours=48, start=START)
-    return rounded(rows, "active_power_mw", "reactive_power_mvar", digits=8).select(
+    return rows.select(
         "time", "generator_id", "bus_id", "active_power_mw", "reactive_power_mvar", "generator_type"
     )
 

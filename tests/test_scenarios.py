@@ -45,7 +45,9 @@ def test_totals_equal_full_expansion(tables):
     units, contingencies = tables
     case = ["case_name"]
     base = sc.base_dispatch(units, STEPS, keep=case)
-    changes = sc.scenario_changes(base, sc.outages(contingencies, units, case=case), case=case)
+    changes = sc.scenario_changes(
+        base, sc.outages(contingencies, units, case=case), case=case, keep_base=True
+    )
     listed = contingencies.select("case_name", F.col("contingency_name").alias("scenario_type")).unionByName(
         units.select("case_name").distinct().withColumn("scenario_type", F.lit("BASE"))
     )
