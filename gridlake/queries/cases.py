@@ -362,7 +362,7 @@ def dangling_refs(t):
 @query("case_contingencies", f"""
 WITH {PARTS_SQL}
 SELECT case_name, 'N-1' AS contingency_type, severity_level, count(*) AS contingencies,
-       round(sum(probability), 4) AS expected
+       CAST(round(sum(probability), 4) AS DOUBLE) AS expected
 FROM (SELECT case_name, 2 AS severity_level, 0.01 AS probability FROM p
       UNION ALL SELECT case_name, 3, 0.005 FROM p WHERE p_retailprice > 950) x GROUP BY 1, 3""")
 def case_contingencies(t):

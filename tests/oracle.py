@@ -69,14 +69,30 @@ def difference(got: pd.DataFrame, want: pd.DataFrame) -> str | None:
     return None
 
 
+TYPES = {
+    "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+    "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def type_difference(df, con, sql: str) -> str | None:
+    """Columns whose declared types differ."""
+    described = con.execute(f"DESCRIBE {sql}").fetchall()
+    want = {row[0]: row[1] for row in described}
+    got = {name: TYPES.get(kind, kind) for name, kind in df.dtypes}
+    off = {c: (got[c], want.get(c)) for c in got if got[c] != want.get(c)}
+    return f"types {off}" if off else None
+
+
 def check(spark, con, directory: str, name: str, query, sql: str | None) -> tuple[str | None, int, float]:
     start = time.time()
-    got = query(spark, directory).toPandas()
+    df = query(spark, directory)
+    got = df.toPandas()
     seconds = time.time() - start
     if sql is None:
         return (None if len(got) else "no rows"), len(got), seconds
     want = con.execute(sql).fetchdf()
-    return difference(got, want), len(got), seconds
+    return difference(got, want) or type_difference(df, con, sql), len(got), seconds
 
 
 def main() -> int:
