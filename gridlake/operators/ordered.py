@@ -2,7 +2,7 @@
 
 A plain window over ``partitionBy(entity)`` sorts a whole entity in one task. An
 entity may hold a third of all rows, so these operators cut each entity into
-buckets that follow the order (an hour of time, a run of arrival numbers), work
+buckets that follow the order (a day of time, a run of arrival numbers), work
 inside the buckets, and carry only one small summary row per bucket across.
 
 ``bucket`` must be non-decreasing in ``order`` within a group: every row of an
@@ -21,8 +21,13 @@ _BUCKET = "_bucket"
 _CELL = "_cell"
 
 
-def time_bucket(column: str, unit: str = "hour") -> Column:
-    """Bucket for data ordered by time."""
+def time_bucket(column: str, unit: str = "day") -> Column:
+    """Bucket for data ordered by time.
+
+    A bucket should hold many rows of an entity, or the summary grows as large as
+    the data, yet no more than one task can sort: days suit series of one value
+    per second up to one per hour, hours suit denser ones.
+    """
     return F.date_trunc(unit, F.col(column))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gridlake.operators import derived as d
-from gridlake.operators.ordered import number_bucket, time_bucket
+from gridlake.operators.ordered import number_bucket
 from gridlake.queries.registry import AS_OF, as_of, query, rounded
 
 
@@ -147,8 +147,7 @@ SELECT user_id, count(*) AS rows, round((epoch_us(max(ts)) - epoch_us(min(ts)))
 FROM g GROUP BY 1""")
 def gap_check(t):
     report = d.gap_report(
-        t.events, ["user_id"], "ts", ["ts", "event_id"], max_gap_hours=24.0,
-        bucket=time_bucket("ts", "day"),
+        t.events, ["user_id"], "ts", ["ts", "event_id"], max_gap_hours=24.0
     )
     return rounded(report, "span_hours", "widest_gap_hours")
 

@@ -139,3 +139,63 @@ def test_daily_metric_rows(spark):
         ("generator_measurements", "VALIDITY", "between(active_power_mw)", 1)
     ]
     assert metrics.filter("metric_type = 'COMPLETENESS'").count() == 3
+
+
+def test_case_report_and_gated_report(spark):
+    topology = spark.createDataFrame([("c",), ("empty",)], "case_name string")
+    generators = spark.createDataFrame(
+        [("2024-01-01 00:00:00", 5.0, True, "THERMAL", 20.0, "c")],
+        "time string, active_power_mw double, commitment_status boolean, generator_type string,"
+        " marginal_cost double, case_name string",
+    ).withColumn("time", F.col("time").cast("timestamp_ntz"))
+    now = F.to_timestamp_ntz(F.lit("2024-01-02 00:00:00"))
+    report = daily.case_report(topology, power(spark, GOOD), generators, now, arrival())
+    assert rows(report, "case_name", "success", "days_covered", "total_measurements") == [
+        ("c", True, 1, 3), ("empty", False, None, None),
+    ]
+    runs = spark.createDataFrame(
+        [("e1", "CONVERGED"), ("e2", "FAILED")], "execution_id string, convergence_status string"
+    )
+    dispatch = spark.createDataFrame(
+        [("e1", "g", 2.0, 9.0), ("e1", "g", 3.0, 1.0), ("e1", "h", 1.0, 1.0)],
+        "execution_id string, generator_id string, active_power_mw double, generation_cost double",
+    )
+    got = daily.gated_report(runs, runs, dispatch)
+    assert rows(got, "execution_id", "success", "num_generators", "total_generation_mw", "total_cost") == [
+        ("e1", True, 2, 6.0, 11.0), ("e2", False, 0, None, None),
+    ]
+
+
+def test_gaps_and_ramps(spark):
+    from gridlake.operators import derived
+
+    data = [("a", f"2024-01-0{d} {h:02d}:00:00", float(h)) for d in (1, 2) for h in range(24) if (d, h) != (1, 23)]
+    df = spark.createDataFrame(data, "bus_id string, time string, active_power_mw double").withColumn(
+        "time", F.col("time").cast("timestamp_ntz")
+    )
+    assert rows(derived.gap_report(df), "rows", "span_hours", "widest_gap_hours", "large_gaps", "sufficient") == [
+        (47, 47.0, 2.0, 1, False)
+    ]
+    ramp = {r.time.isoformat(): r.ramp_rate_actual for r in derived.ramp_rates(df, ["bus_id"]).collect()}
+    assert ramp["2024-01-01T00:00:00"] is None and ramp["2024-01-01T05:00:00"] == 1.0
+    # Across midnight and the missing hour: from 22 to 0 in two hours.
+    assert ramp["2024-01-02T00:00:00"] == -11.0
+
+
+def test_forecast_as_of(spark):
+    from gridlake.operators import derived
+
+    forecasts = spark.createDataFrame(
+        [("g", "2024-01-02 00:00:00", "2024-01-01 00:00:00", 5.0, 4.0, 6.0),
+         ("g", "2024-01-02 00:00:00", "2024-01-01 12:00:00", 7.0, 6.5, 7.5),
+         ("g", "2024-01-02 00:00:00", "2024-01-02 01:00:00", 9.0, 9.0, 9.0)],
+        "generator_id string, target_time string, forecast_time string, forecasted_power_mw double,"
+        " confidence_lower_mw double, confidence_upper_mw double",
+    ).withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("target_time", "forecast_time")})
+    actual = spark.createDataFrame(
+        [("g", "2024-01-02 00:00:00", 8.0)], "generator_id string, time string, active_power_mw double"
+    ).withColumn("time", F.col("time").cast("timestamp_ntz"))
+    got = derived.forecast_match(forecasts, actual)
+    assert rows(got, "forecasted_power_mw", "forecast_error_mw", "in_band", "horizon_hours") == [
+        (7.0, 1.0, False, 12.0)
+    ]
