@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +15,7 @@ from gridlake.operators.joins import new_cases
 from gridlake.session import fresh_path
 from gridlake.sinks import tables as sinks
 from gridlake.sources import case_text
-from gridlake.sources.tables import read_csv_table, read_profiles
+from gridlake.sources.tables import read_csv_table, read_measurements, read_profiles
 
 
 def matpower_components(cases: DataFrame) -> dict[str, DataFrame]:
@@ -77,23 +80,19 @@ def load_matpower_cases(
     if existing is not None:
         cases = new_cases(cases, existing)
     components = staged(matpower_components(cases))
-    # Measurements first: the topology row marks a case as loaded, so a run that
-    # breaks off before it is simply repeated.
-    sinks.append_measurements(
-        series.simulate_buses(components["buses"], hours, start, noise),
-        f"{warehouse}/power_measurements", entity="bus_id",
-    )
-    sinks.append_measurements(
-        series.simulate_generators(components["generators"], hours, start, noise),
-        f"{warehouse}/generator_measurements", entity="generator_id",
-    )
-    sinks.append_measurements(
-        series.simulate_loads(components["loads"], hours, start, noise),
-        f"{warehouse}/load_measurements", entity="load_id",
-    )
-    sinks.append_results(
-        contingencies_of(components), schemas.CONTINGENCIES, f"{warehouse}/contingencies"
-    )
+    # The topology row marks a case as loaded and comes last. Each table takes
+    # only cases it does not hold, so a run that broke off is simply repeated.
+    for table, rows, entity in (
+        ("power_measurements", series.simulate_buses(components["buses"], hours, start, noise), "bus_id"),
+        (
+            "generator_measurements",
+            series.simulate_generators(components["generators"], hours, start, noise),
+            "generator_id",
+        ),
+        ("load_measurements", series.simulate_loads(components["loads"], hours, start, noise), "load_id"),
+    ):
+        _append_series(spark, rows, f"{warehouse}/{table}", entity, start, hours)
+    _append_contingencies(spark, contingencies_of(components), warehouse)
     sinks.append_results(
         documents.to_system_document(components, case_text.base_mva(cases), "MATPOWER"),
         schemas.NETWORK_TOPOLOGY,
@@ -101,9 +100,25 @@ def load_matpower_cases(
     )
 
 
-def _existing(spark: SparkSession, path: str) -> DataFrame | None:
-    from pyspark.errors import AnalysisException
+def _append_series(
+    spark: SparkSession, rows: DataFrame, path: str, entity: str, start: str, hours: int
+) -> None:
+    """Append the cases that have no rows in the same time range yet."""
+    if _existing(spark, path) is not None:
+        end = (datetime.fromisoformat(start) + timedelta(hours=hours)).isoformat(" ")
+        rows = new_cases(rows, read_measurements(spark, path, start, end))
+    sinks.append_measurements(rows, path, entity=entity)
 
+
+def _append_contingencies(spark: SparkSession, found: DataFrame, warehouse: str) -> None:
+    path = f"{warehouse}/contingencies"
+    existing = _existing(spark, path)
+    if existing is not None:
+        found = new_cases(found, existing, "topology_id")
+    sinks.append_results(found, schemas.CONTINGENCIES, path)
+
+
+def _existing(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
     except AnalysisException:
@@ -125,27 +140,25 @@ def load_rts_case(
         bus_map = read_csv_table(
             spark, f"{folder}/bus_map.csv", schemas.BUS_MAP_CSV, file_order=True
         )
-        sinks.append_measurements(
-            series.area_load(
-                regional, bus_map, components["buses"], case_name=case_name, order=["row_no"]
-            ),
-            f"{warehouse}/load_measurements",
-            entity="load_id",
+        loads = series.area_load(
+            regional, bus_map, components["buses"], case_name=case_name, order=["row_no"]
         )
-    sinks.append_measurements(
-        series.generator_year(
-            components["generators"],
-            wind=read_profiles(spark, f"{profiles}/WIND", "wind_total_2007"),
-            solar=read_profiles(spark, f"{profiles}/PV", "pv_2007"),
-            hydro=read_profiles(spark, f"{profiles}/Hydro", "Hydro_1"),
-        ),
-        f"{warehouse}/generator_measurements",
-        entity="generator_id",
+        _append_series(
+            spark, loads, f"{warehouse}/load_measurements", "load_id",
+            series.SERIES_START, series.HOURS_PER_YEAR,
+        )
+    units = series.generator_year(
+        components["generators"],
+        wind=read_profiles(spark, f"{profiles}/WIND", "wind_total_2007"),
+        solar=read_profiles(spark, f"{profiles}/PV", "pv_2007"),
+        hydro=read_profiles(spark, f"{profiles}/Hydro", "Hydro_1"),
     )
-    sinks.append_results(
-        contingencies_of(components, scenarios.LARGE_UNIT_MW),
-        schemas.CONTINGENCIES,
-        f"{warehouse}/contingencies",
+    _append_series(
+        spark, units, f"{warehouse}/generator_measurements", "generator_id",
+        series.SERIES_START, series.HOURS_PER_YEAR,
+    )
+    _append_contingencies(
+        spark, contingencies_of(components, scenarios.LARGE_UNIT_MW), warehouse
     )
     sinks.append_results(
         documents.to_system_document(components, source="RTS-GMLC"),

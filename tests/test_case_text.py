@@ -171,3 +171,18 @@ def test_single_outages(components):
         ("N-1_Line2", "Line2", 0.01, 2),
         ("N-1_Line3", "Line3", 0.01, 2),
     ]
+
+
+def test_broken_off_load_is_completed(spark, folder, tmp_path):
+    whole, broken = str(tmp_path / "whole"), str(tmp_path / "broken")
+    load_matpower_cases(spark, folder, whole, hours=24)
+    # Of the broken run only the bus series of one case and no topology exist.
+    (
+        spark.read.parquet(f"{whole}/power_measurements")
+        .filter("case_name = 'small'")
+        .write.partitionBy("date")
+        .parquet(f"{broken}/power_measurements")
+    )
+    load_matpower_cases(spark, folder, broken, hours=24)
+    for table in ("power_measurements", "generator_measurements", "load_measurements", "contingencies"):
+        assert spark.read.parquet(f"{broken}/{table}").count() == spark.read.parquet(f"{whole}/{table}").count()
