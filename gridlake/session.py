@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -21,8 +20,6 @@ ENGINE_CONF = {
     ),
 }
 
-_local_scratch: dict[str, str] = {}
-
 
 def build_session(
     app: str = "gridlake", master: str | None = None, conf: dict[str, str] | None = None
@@ -43,21 +40,12 @@ def use_utc(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
-
-    Where the setting is missing a local session gets a temporary folder; a
-    cluster session is refused, because a driver-local folder would be
-    unreadable for its executors.
-    """
+    """Folder every executor can reach: ``spark.checkpoint.dir``, else a folder
+    of the warehouse. The rule is the same for local and cluster sessions."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    if context.applicationId not in _local_scratch:
-        _local_scratch[context.applicationId] = tempfile.mkdtemp(prefix="gridlake-")
-    return _local_scratch[context.applicationId]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
