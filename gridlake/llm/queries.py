@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gridlake.llm import near_dedup
+from gridlake.llm import decontaminate, near_dedup, quality_rules
 from gridlake.llm.common import driver_tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,3 +23,35 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of 3-word shingles share 85 in 100 of their union."""
     return near_dedup.near_duplicates(driver_tables(spark, sf_dir, "documents"), words=3, percent=85)
+
+
+@query
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measurements, base rules and the verdict of the standard policy."""
+    rows = quality_rules.ledger(quality_rules.measure(driver_tables(spark, sf_dir, "documents")))
+    return rows.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        (~quality_rules.passes(quality_rules.BASE)).alias("base_failed"),
+        quality_rules.passes(quality_rules.STANDARD).alias("kept"),
+        F.col("failed").alias("failed_rules"),
+    )
+
+
+@query
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the benchmark windows of 13 words that they hold."""
+    documents, benchmark = (driver_tables(spark, sf_dir, x) for x in ("documents", "benchmark"))
+    rows = decontaminate.contaminated_documents(documents, benchmark)
+    return rows.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
+        decontaminate.is_contaminated().alias("contaminated"),
+    )
