@@ -7,7 +7,10 @@ the batch or on how long single texts are (one text is always held whole).
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +44,24 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def map_batches(df: DataFrame, run, schema) -> DataFrame:
+    """``mapInArrow`` whose workers can import this package, wherever they start:
+    its source goes to them as a Spark file, once per application."""
+    context = df.sparkSession.sparkContext
+    if context.applicationId not in _shipped:
+        archive = Path(tempfile.mkdtemp(prefix="gridlake-code-")) / "gridlake.zip"
+        package = Path(__file__).resolve().parents[1]
+        with zipfile.ZipFile(archive, "w") as out:
+            for source in sorted(package.rglob("*.py")):
+                out.write(source, source.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        _shipped.add(context.applicationId)
+    return df.mapInArrow(run, schema)
+
+
 def driver_tables(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.llm.common import connected_components, find_words, mix, per_row, runs, stage, word_values
+from gridlake.llm.common import connected_components, find_words, map_batches, mix, per_row, runs, stage, word_values
 
 BANDS = 25
 BAND_ROWS = 5
@@ -194,7 +194,8 @@ def near_duplicates(
     """
     docs = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     signed = stage(
-        docs.mapInArrow(
+        map_batches(
+            docs,
             _signatures(words),
             "doc_id long, n_shingles long, one long, two long, bands array<long>, marks binary",
         ),
@@ -216,8 +217,9 @@ def near_duplicates(
     score = members.groupBy("node").agg(F.sum("members").alias("score"))
     members = stage(members.select("key", "node").join(score, "node"), "near-scored")
     marks = stage(first.select(F.col("doc_id").alias("node"), "marks").join(score, "node", "left_semi"), "near-marks")
-    texts = docs.where("doc_id is not null").mapInArrow(_packed, "node long, packed binary")
-    sets = stage(texts.join(score, "node", "left_semi").mapInArrow(_sets(words), "node long, items binary"), "near-sets")
+    texts = map_batches(docs.where("doc_id is not null"), _packed, "node long, packed binary")
+    texts = texts.join(score, "node", "left_semi")
+    sets = stage(map_batches(texts, _sets(words), "node long, items binary"), "near-sets")
 
     links = components = None
     open_members = members.withColumn("component", F.col("node")).withColumn("was_hub", F.lit(False))
@@ -250,8 +252,8 @@ def near_duplicates(
             .select("node", "hub")
             .distinct()
         )
-        likely = _pairs(pairs, marks, "marks").mapInArrow(_alike(percent / 100 - SLACK), "node long, hub long")
-        found = stage(_pairs(likely, sets, "items").mapInArrow(_linked(percent), "a long, b long"), "near-links")
+        likely = map_batches(_pairs(pairs, marks, "marks"), _alike(percent / 100 - SLACK), "node long, hub long")
+        found = stage(map_batches(_pairs(likely, sets, "items"), _linked(percent), "a long, b long"), "near-links")
         links = found if links is None else links.union(found)
         components = stage(connected_components(links, "near"), "near-components")
         done = hubs.select("key", F.col("hub").alias("node"), F.lit(True).alias("now_hub"))

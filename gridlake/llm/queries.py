@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlake.llm import decontaminate, near_dedup, quality_rules
+from gridlake.llm import decontaminate, near_dedup, packing, quality_rules
 from gridlake.llm.common import driver_tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,13 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
         decontaminate.is_contaminated().alias("contaminated"),
     )
+
+
+@query
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    pieces = packing.pack_documents(driver_tables(spark, sf_dir, "documents"), str(path))
+    return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
