@@ -78,14 +78,22 @@ def _repeat_words(windows: Column) -> Column:
     return F.when(distinct, F.lit(0)).otherwise(let(pairs, repeated))
 
 
-def measure(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", abuse: Sequence[str] = ABUSE) -> DataFrame:
-    """One row per document with the measurements; ``text`` and other columns are not carried.
+def measure(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    abuse: Sequence[str] = ABUSE,
+    carry: Sequence[str] = (),
+) -> DataFrame:
+    """One row per document with the measurements; of the other columns those in
+    ``carry`` come along, in a struct ``carried`` so that no name can clash.
 
     Words are runs of characters other than ASCII white space. Null and empty
     texts have no words; repeated rows and null ids are measured like any other;
     an empty table gives no rows. A long text stays in its row: work grows with its
     length times its logarithm.
     """
+    carried = [F.struct(*carry).alias("carried")] if carry else []
     terms = r"(?i)\b(?:" + "|".join(sorted(abuse)) + r")\b"
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
     trimmed = F.btrim(text, F.lit(SPACES.decode()))
@@ -97,6 +105,7 @@ def measure(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
         F.regexp_count(text, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         F.regexp_count(text, F.lit(r"\p{Lu}")).cast("long").alias("n_capitals"),
         F.regexp_count(text, F.lit(terms)).cast("long").alias("n_abuse"),
+        *carried,
     )
     windows = F.when(
         F.size("words") >= WINDOW,
@@ -112,6 +121,7 @@ def measure(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
         "n_capitals",
         "n_abuse",
         windows.alias("windows"),
+        *(["carried"] if carry else []),
     )
     third = second.withColumn("n_repeat_words", _repeat_words(F.col("windows")).cast("long"))
     return third.drop("windows")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlake.llm import decontaminate, near_dedup, packing, quality_rules
+from gridlake.llm import decontaminate, near_dedup, packing, pii, quality_rules
 from gridlake.llm.common import driver_tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,22 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     pieces = packing.pack_documents(driver_tables(spark, sf_dir, "documents"), str(path))
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: base kinds, and what the trees add."""
+    docs = driver_tables(spark, sf_dir, "documents")
+    rows = pii.spans_by_document(docs, pii.find_spans(docs))
+    spans = F.coalesce("spans", F.array())
+
+    def joined(chosen: Column) -> Column:
+        named = F.transform(chosen, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+        return F.array_join(named, ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(g.kind) for g in pii.BASE]
+    base = F.sha2(joined(F.filter(spans, lambda s: s["base"])).cast("binary"), 256)
+    return rows.select("doc_id", *counts, base.alias("base_sha256"), joined(spans).alias("spans"))
