@@ -80,6 +80,12 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def hold(df: DataFrame) -> DataFrame:
+    """``df`` with its columns computed here, once per row: filters and projections
+    that follow are not merged with the expressions behind the columns."""
+    return df.select(F.explode(F.array(F.struct("*"))).alias("held")).select("held.*")
+
+
 def runs(column: pa.Array, size: int = 1 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets) for runs of rows of about ``size`` bytes; null counts as empty."""
     if len(column) == 0:

@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.llm.common import SPACE_CLASS, SPACES, let
+from gridlake.llm.common import SPACE_CLASS, SPACES, hold, let
 
 # Characters counted as symbols.
 SYMBOLS = r"[#*$%&|<>]"
@@ -111,7 +111,7 @@ def measure(
         F.size("words") >= WINDOW,
         F.transform(F.sequence(F.lit(1), F.size("words") - WINDOW + 1), lambda i: F.xxhash64(F.slice("words", i, WINDOW))),
     ).otherwise(F.array().cast("array<bigint>"))
-    second = first.select(
+    second = hold(first).select(
         "doc_id",
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
@@ -123,8 +123,8 @@ def measure(
         windows.alias("windows"),
         *(["carried"] if carry else []),
     )
-    third = second.withColumn("n_repeat_words", _repeat_words(F.col("windows")).cast("long"))
-    return third.drop("windows")
+    third = hold(second).withColumn("n_repeat_words", _repeat_words(F.col("windows")).cast("long"))
+    return hold(third.drop("windows"))
 
 
 def ledger(measured: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
