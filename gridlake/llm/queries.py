@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlake.llm import decontaminate, near_dedup, packing, pii, quality_rules
+from gridlake.llm import decontaminate, near_dedup, packing, pii, quality_rules, substring_dedup, suffix_dedup
 from gridlake.llm.common import driver_tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,18 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [count(g.kind) for g in pii.BASE]
     base = F.sha2(joined(F.filter(spans, lambda s: s["base"])).cast("binary"), 256)
     return rows.select("doc_id", *counts, base.alias("base_sha256"), joined(spans).alias("spans"))
+
+
+@query
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes covered by strings of 50 bytes that start in an earlier document, removed."""
+    rows = suffix_dedup.remove_repeated_bytes(driver_tables(spark, sf_dir, "documents"))
+    digest = F.sha2("kept", 256).alias("kept_sha256")
+    return rows.select("doc_id", F.col("n_units").alias("n_bytes"), "n_removed", "n_spans", digest)
+
+
+@query
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words in windows of 13 words that start in an earlier document, removed."""
+    rows = substring_dedup.remove_repeated_words(driver_tables(spark, sf_dir, "documents"))
+    return rows.select("doc_id", F.col("n_units").alias("n_words"), "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
