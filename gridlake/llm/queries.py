@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlake.llm import decontaminate, near_dedup, packing, pii, quality_rules, substring_dedup, suffix_dedup
+from gridlake.llm import (
+    decontaminate,
+    html_text,
+    language,
+    near_dedup,
+    packing,
+    pii,
+    quality_rules,
+    substring_dedup,
+    suffix_dedup,
+    url_filter,
+)
 from gridlake.llm.common import driver_tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +110,24 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words in windows of 13 words that start in an earlier document, removed."""
     rows = substring_dedup.remove_repeated_words(driver_tables(spark, sf_dir, "documents"))
     return rows.select("doc_id", F.col("n_units").alias("n_words"), "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.main_text(driver_tables(spark, sf_dir, "pages"))
+
+
+@query
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those that are not held out."""
+    docs = driver_tables(spark, sf_dir, "documents")
+    langs, model = language.learn(docs.where(~language.is_held_out()))
+    rows = language.predict(docs, langs, model)
+    return rows.select("doc_id", language.is_held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's url."""
+    return url_filter.judge(driver_tables(spark, sf_dir, "pages"))
