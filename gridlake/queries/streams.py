@@ -88,13 +88,13 @@ def stream_rejected(t):
 
 @query("stream_dedupe", "SELECT event_id, ts AS time, user_id AS bus_id, value FROM events")
 def stream_dedupe(t):
-    """Every event arrives twice and is kept once."""
+    """Every event arrives twice and is kept once, however the input is cut into batches."""
     twice = _stream(t).select(
         "event_id", F.col("ts").alias("time"), F.col("user_id").alias("bus_id"), "value",
         F.explode(F.array(F.lit(1), F.lit(2))).alias("copy"),
     )
-    unique = st.dedupe(twice, ["time", "bus_id", "event_id"]).drop("copy")
-    return _naive(_drain(t, unique, "dedupe"), "time")
+    stored, _ = _unseen(t, twice.drop("copy"), ["time", "bus_id", "event_id"])
+    return _naive(stored.drop("batch", "date"), "time")
 
 
 @query("stream_alerts", """
@@ -120,8 +120,17 @@ def stream_rerun_requests(t):
     return requests.select("bus_id").distinct()
 
 
-def _rollup_input(df: DataFrame) -> DataFrame:
+def _unseen(t: Tables, rows: DataFrame, keys: list[str], rollup=None, bucket: str = ""):
+    """Stored rows, and the rollup that went along with them."""
+    out, target, checkpoint = (fresh_path(t.spark, x) for x in ("rows", "rollup", "rows-checkpoint"))
+    refresh = [(rollup, target, bucket)] if rollup else []
+    st.store_unseen(rows, out, checkpoint, keys, refresh=refresh).awaitTermination()
+    return t.spark.read.parquet(out), t.spark.read.parquet(target) if rollup else None
+
+
+def _rollup_input(df: DataFrame, *more: str) -> DataFrame:
     return df.select(
+        *more,
         F.col("ts").alias("time"),
         F.col("user_id").alias("bus_id"),
         F.col("event_type").alias("case_name"),
@@ -135,12 +144,11 @@ def _rollup_input(df: DataFrame) -> DataFrame:
 SELECT date_trunc('hour', ts) AS bucket, user_id AS bus_id, event_type AS case_name,
        round(avg(value), 4) AS avg_voltage, min(value) AS min_voltage, max(value) AS max_voltage,
        count(*) AS measurement_count
-FROM events
-WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 3 HOUR
-GROUP BY 1, 2, 3""")
+FROM events GROUP BY 1, 2, 3""")
 def stream_hourly(t):
-    """Closed buckets only: open ones are not emitted yet."""
-    rolled = _drain(t, st.hourly_stream(_rollup_input(_stream(t))), "hourly")
+    """Hourly rollup kept complete while rows are stored."""
+    rows = _rollup_input(_stream(t), "event_id")
+    _, rolled = _unseen(t, rows, ["time", "bus_id", "event_id"], rollups.hourly_rollup, "bucket")
     return _naive(rounded(rolled, "avg_voltage"), "bucket").select(
         "bucket", "bus_id", "case_name", "avg_voltage", "min_voltage", "max_voltage",
         "measurement_count",
@@ -150,15 +158,17 @@ def stream_hourly(t):
 @query("stream_daily", """
 SELECT date_trunc('day', ts) AS day, user_id AS generator_id, max(value) AS peak_generation,
        round(sum(value), 4) AS total_generation_mwh
-FROM events
-WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 3 DAY
-GROUP BY 1, 2""")
+FROM events GROUP BY 1, 2""")
 def stream_daily(t):
-    watermarked = _stream(t).select(
-        F.col("ts").alias("time"), F.col("user_id").alias("generator_id"), "value"
-    ).withWatermark("time", "3 days")
-    stats = rollups.daily_stats(watermarked, ["generator_id"], power="value", cost="value")
-    rolled = _drain(t, stats, "daily")
+    """Daily statistics kept complete while rows are stored."""
+
+    def daily(rows: DataFrame) -> DataFrame:
+        return rollups.daily_stats(rows, ["generator_id"], power="value", cost="value")
+
+    rows = _stream(t).select(
+        F.col("ts").alias("time"), F.col("user_id").alias("generator_id"), "value", "event_id"
+    )
+    _, rolled = _unseen(t, rows, ["time", "generator_id", "event_id"], daily, "day")
     return _naive(rounded(rolled, "total_generation_mwh"), "day").select(
         "day", "generator_id", "peak_generation", "total_generation_mwh"
     )

@@ -7,15 +7,16 @@ goes on where the last one stopped.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from gridlake.operators.quality import Rule, split_rows
 from gridlake.operators.rollups import hourly_rollup
+from gridlake.sinks.tables import stage
 
 # Nominal voltage and the deviation that raises an alert; refresh
 # windows of the two rollups as (start, end) offsets in hours.
@@ -37,8 +38,19 @@ def topic_stream(spark: SparkSession, servers: str, topic: str = "power_measurem
     return raw.select(F.col("value").cast("string").alias("value"))
 
 
-def file_stream(spark: SparkSession, path: str, schema: T.StructType, form: str = "parquet") -> DataFrame:
-    return spark.readStream.schema(schema).format(form).load(path)
+FILES_PER_TRIGGER = 1000
+
+
+def file_stream(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    form: str = "parquet",
+    files_per_trigger: int = FILES_PER_TRIGGER,
+) -> DataFrame:
+    """Files below ``path``, a bounded number per batch."""
+    reader = spark.readStream.schema(schema).format(form)
+    return reader.option("maxFilesPerTrigger", files_per_trigger).load(path)
 
 
 def decode(messages: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
@@ -81,10 +93,64 @@ def to_measurements(valid: DataFrame, source: str = "SCADA") -> DataFrame:
 def dedupe(
     stream: DataFrame, keys: Sequence[str] = ("time", "bus_id"), time: str = "time", delay: str = "3 hours"
 ) -> DataFrame:
-    """First row per key; state is kept only for the watermark delay."""
+    """First row per key, for streams in time order: rows later than the watermark are
+    dropped with the copies. :func:`store_unseen` keeps late rows."""
     return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+def store_unseen(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    keys: Sequence[str] = ("time", "bus_id"),
+    time: str = "time",
+    refresh: Sequence[tuple[Callable[[DataFrame], DataFrame], str, str]] = (),
+) -> StreamingQuery:
+    """Append rows whose key is not stored yet, and rebuild the rollups they touch.
+
+    The first write of a key wins. Keys are compared with the stored rows of the dates
+    in the batch only, so a row may come as late as it likes and no key stays in memory.
+    ``refresh`` lists (rollup, path, bucket column): after the rows, the buckets of the
+    touched dates are made anew from everything stored for them, so the result does not
+    depend on how the input is cut into batches. A batch writes its own folder and
+    replaces it when it is run again, as it does the rollups' dates.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = batch.withColumn("date", F.to_date(time)).dropDuplicates(list(keys))
+        dates = [r["date"] for r in rows.select("date").distinct().collect()]  # one row per day
+        if not dates:
+            return
+        layout = T.StructType([*rows.schema.fields, T.StructField("batch", T.LongType())])
+        touched = F.col("date").isin(dates)
+        if batch_id:
+            stored = spark.read.schema(layout).parquet(path).filter(touched & (F.col("batch") < batch_id))
+            rows = rows.join(stored.select(*keys, "date"), [*keys, "date"], "left_anti")
+        rows.write.mode("overwrite").partitionBy("date").parquet(f"{path}/batch={batch_id}")
+        for rollup, target, bucket in refresh:
+            stored = spark.read.schema(layout).parquet(path).filter(touched)
+            refresh_rollup(rollup(stored.drop("batch", "date")), target, bucket=bucket)
+
+    return (
+        stream.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def late_rows(stored: DataFrame, delay_hours: int = 3, time: str = "time") -> DataFrame:
+    """Per batch of a table that :func:`store_unseen` wrote: rows, and how many of them
+    are older than the newest time of the batches before it by more than the delay."""
+    newest = stored.groupBy("batch").agg(F.max(time).alias("newest"))
+    before = Window.orderBy("batch").rowsBetween(Window.unboundedPreceding, -1)  # one row per batch
+    marks = newest.select("batch", F.max("newest").over(before).alias("seen"))
+    limit = F.col("seen") - F.make_dt_interval(F.lit(0), F.lit(delay_hours))
+    late = F.count_if(F.coalesce(F.col(time) < limit, F.lit(False)))
+    return stored.join(marks, "batch").groupBy("batch").agg(F.count(F.lit(1)).alias("rows"), late.alias("late_rows"))
+
+
 def alerts(
     df: DataFrame,
     voltage: str = "voltage_magnitude",
@@ -98,8 +164,9 @@ def alerts(
 def hourly_stream(
     stream: DataFrame, delay: str = "3 hours", time: str = "time", **rollup
 ) -> DataFrame:
-    """Hourly rollup whose buckets come out once, after the watermark has passed
-    them; rows later than the watermark are not aggregated again."""
+    """Hourly rollup whose buckets come out once, after the watermark has passed them;
+    open buckets and later rows are left out. :func:`store_unseen` with a refresh keeps
+    the rollup complete."""
     return hourly_rollup(stream.withWatermark(time, delay), time=time, **rollup)
 
 
@@ -168,17 +235,22 @@ def refresh_rollup(
 
     The table is partitioned by date. A refresh rewrites only the dates it
     touches and keeps their buckets outside the bounds, so older buckets, and
-    late rows for them, are left alone.
+    late rows for them, are left alone. The new rows are written to a folder of
+    their own first: nothing that is read is overwritten, and a commit that breaks
+    off can be repeated. Dates of the bounds that end up without rows are removed.
     """
     date = F.to_date(bucket)
     rows = rollup.withColumn("bucket_date", date)
+    gone: list[str] = []
     if bounds is not None:
         first, last = bounds
         stored = rollup.sparkSession.read.parquet(path).filter(
             F.col("bucket_date").between(F.to_date(first), F.to_date(last))
         )
         outside = stored.filter((F.col(bucket) < first) | (F.col(bucket) >= last))
-        rows = rows.unionByName(outside)
+        rows = stage(rows.unionByName(outside), "refresh")
+        dates = stored.select("bucket_date").distinct().join(rows, "bucket_date", "left_anti")
+        gone = [str(r["bucket_date"]) for r in dates.collect()]  # days of the bounds
     (
         rows.hint("rebalance", "bucket_date")
         .write.mode("overwrite")
@@ -186,3 +258,8 @@ def refresh_rollup(
         .partitionBy("bucket_date")
         .parquet(path)
     )
+    jvm = rollup.sparkSession.sparkContext._jvm
+    settings = rollup.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    for day in gone:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/bucket_date={day}")
+        folder.getFileSystem(settings).delete(folder, True)

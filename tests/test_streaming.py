@@ -123,3 +123,33 @@ def test_requests_are_unique_per_batch(spark, tmp_path):
     st.request_reruns(st.alerts(stream), out, str(tmp_path / "cp")).awaitTermination()
     got = spark.read.option("recursiveFileLookup", True).parquet(out)
     assert rows(got, "batch_id", "bus_id") == [(0, "1"), (1, "1"), (1, "3")]
+
+
+def test_result_does_not_depend_on_batches(spark, tmp_path):
+    events = spark.range(400).select(
+        (F.lit("2024-01-01 00:00:00").cast("timestamp") + F.make_dt_interval(F.lit(0), F.pmod(F.col("id") * 37, F.lit(90)).cast("int"))).alias("time"),
+        F.concat(F.lit("b"), F.pmod("id", F.lit(7)).cast("string")).alias("bus_id"),
+        F.lit("c").alias("case_name"),
+        (F.col("id") % 11).cast("double").alias("voltage_magnitude"),
+        (F.col("id") % 11).cast("double").alias("active_power_mw"),
+        F.lit(0.0).alias("reactive_power_mvar"),
+    )
+    # Unsorted files; most keys come twice, some in another file.
+    events.union(events).repartition(4, "voltage_magnitude").write.parquet(str(tmp_path / "in"))
+    found = {}
+    for files in (1, 100):
+        stream = st.file_stream(spark, str(tmp_path / "in"), events.schema, files_per_trigger=files)
+        out, target = str(tmp_path / f"rows{files}"), str(tmp_path / f"rollup{files}")
+        st.store_unseen(
+            stream, out, str(tmp_path / f"cp{files}"), refresh=[(rollups.hourly_rollup, target, "bucket")]
+        ).awaitTermination()
+        stored = spark.read.parquet(out)
+        found[files] = (
+            rows(stored, "time", "bus_id"),
+            rows(spark.read.parquet(target), "bucket", "bus_id", "measurement_count"),
+        )
+        late = st.late_rows(stored).agg(F.sum("rows"), F.sum("late_rows")).head()
+        assert late[0] == stored.count()
+        assert (late[1] > 0) == (files == 1)
+    assert found[1] == found[100]
+    assert found[1][0] == rows(events.select("time", "bus_id").distinct(), "time", "bus_id")
