@@ -34,16 +34,21 @@ HEADLINE = [
 
 
 def year_load(spark, directory: str) -> int:
-    """Unit series built and appended by date; about as many rows as 156 units
-    have in a year, from all units of the part table."""
+    """A year of 8760 hours built and appended by date for every supplier as a unit."""
     from gridlake.operators.series import generator_year
-    from gridlake.queries.mapping import units
     from gridlake.sinks.tables import append_measurements
 
-    frame = units(Tables(spark, directory)).withColumn("marginal_cost", F.lit(30.0))
-    hours = max(1, 156 * 8760 // frame.count())
+    frame = Tables(spark, directory).supplier.select(
+        F.lit("SUPPLIERS").alias("case_name"),
+        F.col("s_name").alias("name"),
+        F.col("s_nationkey").alias("bus_number"),
+        F.lit(10.0).alias("pmin"),
+        (F.abs("s_acctbal") + 10).alias("pmax"),
+        F.lit("Coal").alias("fuel"),
+        F.lit(30.0).alias("marginal_cost"),
+    )
     path = fresh_path(spark, "year")
-    append_measurements(generator_year(frame, hours=hours), path, entity="generator_id")
+    append_measurements(generator_year(frame), path, entity="generator_id")
     return spark.read.parquet(path).count()
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.functions.scalars import unit_type
-from gridlake.operators.joins import if_small, lookup_bus
+from gridlake.operators.joins import lookup_bus
 
 # What a missing trailing matrix column or a missing table column
 # stands for.
@@ -210,11 +210,22 @@ def rts_buses(table: DataFrame, case_name: str) -> DataFrame:
 
 
 def rts_generators(
-    table: DataFrame, case_name: str, buses: DataFrame | None = None
+    table: DataFrame,
+    case_name: str,
+    buses: DataFrame | None = None,
+    order: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Units with their type from the fuel and a cost from fuel price and heat rate."""
+    """Units with their type from the fuel and a cost from fuel price and heat rate.
+
+    ``order`` names columns of ``buses`` that say which of several buses with one
+    number comes first (the place in the file)."""
     pmax = F.col("`PMax MW`").cast("double")
-    ramp = _column_or(table, "Ramp Rate MW/Min", pmax * RAMP_SHARE) * MINUTES_PER_HOUR
+    # The column is per minute, the default share of the range already per hour.
+    ramp = (
+        F.col("`Ramp Rate MW/Min`") * MINUTES_PER_HOUR
+        if "Ramp Rate MW/Min" in table.columns
+        else pmax * RAMP_SHARE
+    )
     price = _column_or(table, "Fuel Price $/MMBTU", F.lit(0.0))
     heat_rate = _column_or(table, "HR_avg_0", F.lit(HEAT_RATE_DEFAULT))
     generators = table.select(
@@ -238,11 +249,16 @@ def rts_generators(
         F.col("Fuel").alias("fuel"),
         _column_or(table, "Unit Group", F.lit("")).alias("unit_group"),
     )
-    return generators if buses is None else lookup_bus(generators, buses, "bus_number", "bus_name")
+    if buses is None:
+        return generators
+    return lookup_bus(generators, buses, "bus_number", "bus_name", order=order)
 
 
 def rts_branches(
-    table: DataFrame, case_name: str, buses: DataFrame | None = None
+    table: DataFrame,
+    case_name: str,
+    buses: DataFrame | None = None,
+    order: Sequence[str] | None = None,
 ) -> DataFrame:
     ratio = _column_or(table, "Tr Ratio", F.lit(1.0))
     branches = table.select(
@@ -258,31 +274,21 @@ def rts_branches(
         _unit_ratio(ratio).alias("ratio"),
         _column_or(table, "Tr Angle", F.lit(0.0)).alias("angle"),
     ).withColumn("type", branch_class(F.col("ratio")))
-    return branches if buses is None else name_branch_ends(branches, buses)
-
+    return branches if buses is None else name_branch_ends(branches, buses, order)
 
-def rts_loads(bus_map: DataFrame, case_name: str, part_rows: int = 10_000) -> DataFrame:
-    """One load per area with its sorted bus list.
 
-    An area with more than ``part_rows`` buses comes as several rows, numbered
-    by ``part_no``, so no list outgrows a row.
-    """
+def rts_loads(bus_map: DataFrame, case_name: str) -> DataFrame:
+    """One load per area with its sorted bus list; a case file bounds the list's length."""
     members = bus_map.select(
         F.col("Area").cast("string").alias("area"), F.col("Bus ID").cast("bigint").alias("bus")
     )
-    parts = members.groupBy("area").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(part_rows)).cast("int").alias("_parts")
-    )
     return (
-        members.join(if_small(parts), "area")
-        .withColumn("part_no", F.pmod(F.xxhash64("bus"), F.col("_parts")).cast("int"))
-        .groupBy("area", "part_no")
+        members.groupBy("area")
         .agg(F.array_sort(F.collect_list("bus")).alias("buses"))
         .select(
             F.lit(case_name).alias("case_name"),
             F.concat(F.lit("Load_"), "area").alias("name"),
             "area",
-            "part_no",
             "buses",
         )
     )

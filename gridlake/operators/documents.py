@@ -1,8 +1,8 @@
 """Nested system documents: assembly, reading back with defaults, checks.
 
-A document holds the component arrays of one case as JSON. A case with more than
-``part_rows`` components is stored as several numbered parts of about that size,
-so one large case is neither one row nor one task; a usual case has one part.
+A document holds the component arrays of one case as JSON: one row per case, whatever
+its size, as a case text is one row too. ``num_parts`` deals every case of a table into
+the same number of rows, by the hash of a component's name, for cases beyond that format.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from gridlake import schemas
 from gridlake.functions.scalars import topology_id
 
 # What a field that is absent from a document stands for.
+DOCUMENT_PARTS = 1
 DOCUMENT_DEFAULTS = {
     "angle": 0.0,
     "voltage_magnitude": 1.0,
@@ -57,7 +58,7 @@ def to_system_document(
     sections: dict[str, DataFrame],
     base_mva: DataFrame | None = None,
     source: str = "",
-    part_rows: int = 10_000,
+    num_parts: int = DOCUMENT_PARTS,
 ) -> DataFrame:
     """Topology rows with counts and a JSON document per case (and part).
 
@@ -76,15 +77,12 @@ def to_system_document(
         F.count(name).alias(_COUNTS[name]) if name in sections else F.lit(0).cast("bigint").alias(_COUNTS[name])
         for name in _SECTIONS
     ]
-    totals = tagged.groupBy("case_name").agg(
-        *counts, F.ceil(F.count(F.lit(1)) / F.lit(part_rows)).cast("int").alias("num_parts")
-    )
+    totals = tagged.groupBy("case_name").agg(*counts)
     arrays = [
         F.array_sort(F.collect_list(name)).alias(name) for name in sections
     ]
     parts = (
-        tagged.join(totals.select("case_name", "num_parts"), "case_name")
-        .withColumn("part_no", F.pmod("_spread", "num_parts").cast("int"))
+        tagged.withColumn("part_no", F.pmod("_spread", F.lit(num_parts)).cast("int"))
         .groupBy("case_name", "part_no")
         .agg(*arrays)
     )
@@ -97,7 +95,7 @@ def to_system_document(
         topology_id(F.col("case_name")).alias("topology_id"),
         "case_name",
         "part_no",
-        "num_parts",
+        F.lit(num_parts).alias("num_parts"),
         *_COUNTS.values(),
         "base_mva",
         F.to_json(F.struct("base_mva", *sections)).alias("system_data"),

@@ -2,7 +2,7 @@
 
 Catalyst and AQE broadcast a side when its measured size is below
 ``spark.sql.autoBroadcastJoinThreshold`` and sort-merge with skew splitting
-otherwise. A hint is given only to tables counted first (:func:`if_small`).
+otherwise; no plan depends on a count made beforehand.
 """
 
 from __future__ import annotations
@@ -15,21 +15,6 @@ from pyspark.sql import functions as F
 from gridlake.operators.ordered import first_per_group, latest_per_group
 
 
-SMALL_ROWS = 100_000
-
-
-def if_small(table: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """The table, marked for broadcast if it has at most ``max_rows`` rows.
-
-    For joins on a key with few values (a technology, a year), where a shuffle
-    would bring a large share of the rows to one task. The count stops at the
-    limit; a larger table stays an ordinary join side.
-    """
-    if table.limit(max_rows + 1).count() > max_rows:
-        return table
-    return F.broadcast(table)
-
-
 def spread_join(
     facts: DataFrame,
     lookup: DataFrame,

@@ -34,11 +34,16 @@ def n1_contingencies(
     name: str = "name",
     pmax: str = "pmax",
     keep: Sequence[str] = ("topology_id",),
+    with_capacity: bool = False,
 ) -> DataFrame:
-    """One contingency per branch and per unit (above ``min_pmax`` if given)."""
+    """One contingency per branch and per unit (above ``min_pmax`` if given).
 
-    def single(df: DataFrame, column: str, what: str, probability: float, severity: int):
+    ``with_capacity`` ends a unit's text in its capacity, as the RTS loader does.
+    """
+
+    def single(df: DataFrame, column: str, what: str, probability: float, severity: int, end=None):
         element = F.col(name).cast("string")
+        text = [F.lit(f"Single {what} outage: "), element, *([end] if end is not None else [])]
         return df.select(
             *keep,
             F.concat(F.lit("N-1_"), element).alias("contingency_name"),
@@ -46,14 +51,17 @@ def n1_contingencies(
             F.array(element).alias(column),
             F.lit(probability).alias("probability"),
             F.lit(severity).alias("severity_level"),
-            F.concat(F.lit(f"Single {what} outage: "), element).alias("description"),
+            F.concat(*text).alias("description"),
         )
 
     units = generators if min_pmax is None else generators.filter(F.col(pmax) > min_pmax)
     return single(
         branches, "affected_branches", "branch", BRANCH_PROBABILITY, BRANCH_SEVERITY
     ).unionByName(
-        single(units, "affected_generators", "generator", UNIT_PROBABILITY, UNIT_SEVERITY),
+        single(
+            units, "affected_generators", "generator", UNIT_PROBABILITY, UNIT_SEVERITY,
+            F.concat(F.lit(" ("), F.col(pmax).cast("string"), F.lit(" MW)")) if with_capacity else None,
+        ),
         allowMissingColumns=True,
     )
 

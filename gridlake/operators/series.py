@@ -20,7 +20,7 @@ from gridlake.functions.scalars import (
     unit_type,
     zero_if_missing,
 )
-from gridlake.operators.joins import if_small, lookup_bus, spread_join
+from gridlake.operators.joins import lookup_bus, spread_join
 from gridlake.operators.ordered import first_per_group
 
 # First hour of loaded years, their length, the share of the range
@@ -54,13 +54,13 @@ def scale_profile(
 ) -> DataFrame:
     """Wide profile times unit capacity; a unit without a column gives no rows.
 
-    ``profile`` has ``hour_index`` and one column per unit name; ``units`` has
-    ``name`` and ``pmax``.
+    ``profile`` has ``hour_index`` and one column per unit name, or is already long
+    with ``hour_index``, ``name`` and ``share``; ``units`` has ``name`` and ``pmax``.
     """
-    names = [c for c in profile.columns if c != "hour_index"]
-    long = wide_to_long(
-        profile.filter(F.col("hour_index") < hours), ["hour_index"], names, "name", "share"
-    )
+    long = profile.filter(F.col("hour_index") < hours)
+    if set(profile.columns) != {"hour_index", "name", "share"}:
+        names = [c for c in profile.columns if c != "hour_index"]
+        long = wide_to_long(long, ["hour_index"], names, "name", "share")
     return spread_join(long, units, ["name"], "inner", spread).withColumn(
         "active_power_mw", F.col("share") * F.col("pmax")
     ).drop("share")
@@ -83,19 +83,18 @@ def shared_profile(
 ) -> DataFrame:
     """One profile shared equally by the units of a case.
 
-    The units are exploded into hours and meet the profile on the hour; counts
-    per case and the hours of the profile are small, so the series itself is
-    not shuffled.
+    The units are exploded into hours and meet the profile on the hour. AQE sees the
+    measured sizes of the counts per case and of the profile and broadcasts them.
     """
     shares = units.groupBy(*case).agg(F.count(F.lit(1)).alias("_units"))
-    hourly = units.join(if_small(shares), list(case)).withColumn(
+    hourly = units.join(shares, list(case)).withColumn(
         "hour_index", F.explode(F.sequence(F.lit(0), F.lit(hours - 1)))
     )
     values = profile.filter(F.col("hour_index") < hours).select(
         "hour_index", F.col(f"`{column}`").alias("_share")
     )
     return (
-        hourly.join(if_small(values), "hour_index")
+        hourly.join(values, "hour_index")
         .withColumn("active_power_mw", F.col("_share") * F.col("pmax") / F.col("_units"))
         .drop("_share", "_units")
     )
@@ -135,7 +134,7 @@ def area_load(
     if buses is not None:
         places = lookup_bus(places, buses, "bus_number", "bus_name")
         named = ["bus_name"]
-    placed = long.withColumn("area", F.right("_area", F.lit(1))).join(if_small(places), "area")
+    placed = long.withColumn("area", F.right("_area", F.lit(1))).join(places, "area")
     load_id = F.concat(F.lit("Load_"), "_area")
     return with_time(placed, start).select(
         "time",

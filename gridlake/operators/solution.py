@@ -12,7 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.operators.joins import SMALL_ROWS, if_small
 from gridlake.operators.ordered import number_rows
 
 # Parameter defaults, transport price per ton-mile, pipeline limit.
@@ -38,8 +37,8 @@ def index_grid(axes: dict[str, DataFrame]) -> DataFrame:
 
     Each axis is numbered, the combinations are the numbers of one range, and
     every axis value is fetched by an equi-join on its own number: evenly
-    spread, whatever the sizes, and never a product of two tables. An axis is
-    broadcast if its count is small, which every axis of few values is.
+    spread, whatever the sizes, and never a product of two tables. Its output is
+    every combination by definition; audits and costs use :func:`with_parameter`.
     """
     sizes = {name: df.count() for name, df in axes.items()}
     spark = next(iter(axes.values())).sparkSession
@@ -55,8 +54,6 @@ def index_grid(axes: dict[str, DataFrame]) -> DataFrame:
         stride //= sizes[name]
         number = F.expr(f"_cell div {stride} % {sizes[name]}")
         numbered = number_rows(df.select(name), name, f"_n_{name}")
-        if sizes[name] <= SMALL_ROWS:
-            numbered = F.broadcast(numbered)
         grid = (
             grid.withColumn(f"_n_{name}", number)
             .join(numbered, f"_n_{name}")
@@ -71,6 +68,11 @@ def densify(axes: dict[str, DataFrame], sparse: DataFrame, value: str, default:
     return with_parameter(index_grid(axes), sparse, list(axes), value, default)
 
 
+def _reduced(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Amounts summed before a parameter or region is joined."""
+    return df.groupBy(*keys).agg(F.sum("amount").alias("amount"))
+
+
 def objective_terms(
     x: DataFrame,
     y: DataFrame,
@@ -88,19 +90,16 @@ def objective_terms(
     ``z(basin, year)`` have an ``amount``; parameters have a ``value``.
     """
 
-    def reduced(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-        return df.groupBy(*keys).agg(F.sum("amount").alias("amount"))
-
     def term(name: str, df: DataFrame, cost: Column) -> DataFrame:
         return df.agg(F.coalesce(F.sum(cost), F.lit(0.0)).alias("cost")).select(
             F.lit(name).alias("term"), "cost"
         )
 
     amount = F.col("amount")
-    by_origin = reduced(x, ["feedstock", "source", "year"])
-    by_route = reduced(x, ["source", "county"])
-    by_pipe = reduced(y, ["county", "basin", "year"])
-    by_basin = reduced(z, ["basin"])
+    by_origin = _reduced(x, ["feedstock", "source", "year"])
+    by_route = _reduced(x, ["source", "county"])
+    by_pipe = _reduced(y, ["county", "basin", "year"])
+    by_basin = _reduced(z, ["basin"])
     # Ton-miles per year first: the price then meets one row per year.
     ton_miles = (
         with_parameter(by_pipe, co2_distance, ["county", "basin"], "value", DISTANCE_DEFAULT)
@@ -127,9 +126,11 @@ def objective_terms(
         term("injection", by_basin.join(injection_price, "basin"), F.col("value") * amount),
     ):
         terms = terms.unionByName(part)
-    # Exactly four rows; the total is a fifth.
-    return terms.unionByName(
-        terms.agg(F.sum("cost").alias("cost")).select(F.lit("total").alias("term"), "cost")
+    # Four rows; the rollup adds the total without stating the terms again.
+    return (
+        terms.rollup("term")
+        .agg(F.sum("cost").alias("cost"))
+        .select(F.coalesce("term", F.lit("total")).alias("term"), "cost")
     )
 
 
@@ -179,24 +180,27 @@ def capacity(
 
 def converted(df: DataFrame, factor: DataFrame, on: Sequence[str]) -> DataFrame:
     """``amount`` times the factor's ``value`` (energy to feedstock, energy to CO2)."""
-    return df.join(if_small(factor.select(*on, "value")), list(on)).withColumn(
+    return df.join(factor.select(*on, "value"), list(on)).withColumn(
         "amount", F.col("amount") * F.col("value")
     ).drop("value")
 
 
 def to_region(df: DataFrame, mapping: DataFrame, county: str = "county") -> DataFrame:
     """Adds the region of each county; counties outside the mapping drop out."""
-    return df.join(if_small(mapping.select(county, "region")), county)
+    return df.join(mapping.select(county, "region"), county)
 
 
 def energy_audit(u: DataFrame, demand: DataFrame, mapping: DataFrame) -> DataFrame:
     """Energy made per technology, region and year against the demand."""
-    return balance(to_region(u, mapping), demand, ["tech", "region", "year"])
+    return balance(
+        to_region(_reduced(u, ["tech", "county", "year"]), mapping), demand, ["tech", "region", "year"]
+    )
 
 
 def feedstock_audit(x: DataFrame, u: DataFrame, per_energy: DataFrame) -> DataFrame:
     """Feedstock received per county and year against what the plants consume."""
-    return balance(x, converted(u, per_energy, ["tech"]), ["county", "year"])
+    energy = _reduced(u, ["tech", "county", "year"])
+    return balance(x, converted(energy, per_energy, ["tech"]), ["county", "year"])
 
 
 def potential_audit(x: DataFrame, potential: DataFrame) -> DataFrame:
@@ -214,7 +218,8 @@ def pipeline_audit(y: DataFrame, limit: float = PIPELINE_CAPACITY) -> DataFrame:
 
 def transport_audit(y: DataFrame, u: DataFrame, co2_per_energy: DataFrame) -> DataFrame:
     """CO2 sent per plant against what its energy produces."""
-    return balance(y, converted(u, co2_per_energy, ["tech"]), ["tech", "county", "year"])
+    energy = _reduced(u, ["tech", "county", "year"])
+    return balance(y, converted(energy, co2_per_energy, ["tech"]), ["tech", "county", "year"])
 
 
 def arrival_audit(y: DataFrame, z: DataFrame) -> DataFrame:

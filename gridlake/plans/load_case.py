@@ -15,7 +15,7 @@ from gridlake.operators.joins import new_cases
 from gridlake.session import fresh_path
 from gridlake.sinks import tables as sinks
 from gridlake.sources import case_text
-from gridlake.sources.tables import read_csv_table, read_measurements, read_profiles
+from gridlake.sources.tables import is_missing_path, read_csv_table, read_measurements, read_profiles
 
 
 def matpower_components(cases: DataFrame) -> dict[str, DataFrame]:
@@ -44,16 +44,22 @@ def staged(components: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 def rts_components(spark: SparkSession, folder: str, case_name: str = "RTS_GMLC") -> dict[str, DataFrame]:
     """Component tables of a folder with bus, gen, branch and bus_map CSVs."""
-    buses = convert.rts_buses(
-        read_csv_table(spark, f"{folder}/bus.csv", schemas.BUS_CSV), case_name
+    file = read_csv_table(spark, f"{folder}/bus.csv", schemas.BUS_CSV, file_order=True)
+    buses = convert.rts_buses(file, case_name)
+    # Of several buses with one number the first in the file gives the name.
+    named = file.select(
+        F.lit(case_name).alias("case_name"),
+        F.col("Bus ID").cast("bigint").alias("number"),
+        F.col("Bus Name").cast("string").alias("name"),
+        "row_no",
     )
     return {
         "buses": buses,
         "generators": convert.rts_generators(
-            read_csv_table(spark, f"{folder}/gen.csv", schemas.GEN_CSV), case_name, buses
+            read_csv_table(spark, f"{folder}/gen.csv", schemas.GEN_CSV), case_name, named, ["row_no"]
         ),
         "branches": convert.rts_branches(
-            read_csv_table(spark, f"{folder}/branch.csv", schemas.BRANCH_CSV), case_name, buses
+            read_csv_table(spark, f"{folder}/branch.csv", schemas.BRANCH_CSV), case_name, named, ["row_no"]
         ),
         "loads": convert.rts_loads(
             read_csv_table(spark, f"{folder}/bus_map.csv", schemas.BUS_MAP_CSV), case_name
@@ -61,11 +67,14 @@ def rts_components(spark: SparkSession, folder: str, case_name: str = "RTS_GMLC"
     }
 
 
-def contingencies_of(components: dict[str, DataFrame], min_pmax: float | None = None) -> DataFrame:
+def contingencies_of(
+    components: dict[str, DataFrame], min_pmax: float | None = None, with_capacity: bool = False
+) -> DataFrame:
     """Single outages of every branch and unit, keyed by topology id."""
     with_id = lambda df: df.withColumn("topology_id", topology_id(F.col("case_name")))
     return scenarios.n1_contingencies(
-        with_id(components["branches"]), with_id(components["generators"]), min_pmax
+        with_id(components["branches"]), with_id(components["generators"]), min_pmax,
+        with_capacity=with_capacity,
     )
 
 
@@ -107,7 +116,8 @@ def _append_series(
     if _existing(spark, path) is not None:
         end = (datetime.fromisoformat(start) + timedelta(hours=hours)).isoformat(" ")
         rows = new_cases(rows, read_measurements(spark, path, start, end))
-    sinks.append_measurements(rows, path, entity=entity)
+    table = path.rsplit("/", 1)[1]
+    sinks.append_measurements(rows, path, entity=entity, schema=schemas.MEASUREMENTS[table])
 
 
 def _append_contingencies(spark: SparkSession, found: DataFrame, warehouse: str) -> None:
@@ -121,7 +131,9 @@ def _append_contingencies(spark: SparkSession, found: DataFrame, warehouse: str)
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if not is_missing_path(error):
+            raise
         return None
 
 
@@ -158,7 +170,7 @@ def load_rts_case(
         series.SERIES_START, series.HOURS_PER_YEAR,
     )
     _append_contingencies(
-        spark, contingencies_of(components, scenarios.LARGE_UNIT_MW), warehouse
+        spark, contingencies_of(components, scenarios.LARGE_UNIT_MW, with_capacity=True), warehouse
     )
     sinks.append_results(
         documents.to_system_document(components, source="RTS-GMLC"),

@@ -244,11 +244,11 @@ def case_statistics(t):
 
 
 def _topology(t: Tables) -> DataFrame:
-    """Stored topology rows; cases of about 3800 components in parts of 1000."""
+    """Stored topology rows."""
     texts = cases(t)
     path = fresh_path(t.spark, "topology")
     document = to_system_document(
-        staged(matpower_components(texts)), case_text.base_mva(texts), "MATPOWER", part_rows=1000
+        staged(matpower_components(texts)), case_text.base_mva(texts), "MATPOWER"
     )
     document.write.parquet(path)
     return t.spark.read.parquet(path)
@@ -338,7 +338,7 @@ def topology_checks(t):
         "bus_number", F.when(~broken, F.col("bus_number"))
     )
     odd = F.col("case_name").substr(-1, 1).cast("int") % 2
-    document = to_system_document(components, case_text.base_mva(texts), part_rows=1000)
+    document = to_system_document(components, case_text.base_mva(texts))
     document = document.withColumn("num_buses", F.col("num_buses") + odd)
     report = documents.topology_checks(document, found)
     return report.select(

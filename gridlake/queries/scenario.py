@@ -9,7 +9,7 @@ from gridlake.operators import scenarios as sc
 from gridlake.queries.mapping import dispatch
 from gridlake.queries.registry import Tables, query, rounded
 
-STEPS = 6
+STEPS = 24
 
 
 def _units(t: Tables) -> DataFrame:

@@ -57,36 +57,44 @@ WITH units AS (SELECT event_type AS name, max(value) AS pmax FROM events
 w AS (SELECT CAST(date_diff('hour', TIMESTAMP '2024-01-01', date_trunc('hour', ts)) AS INTEGER) AS hour_index,
         name, pmax, sum(CASE WHEN event_type = name THEN value END) AS share
       FROM events, units GROUP BY 1, 2, 3)
-SELECT hour_index, name, round(share * pmax, 4) AS active_power_mw FROM w WHERE hour_index < 600""")
+SELECT hour_index, name, round(share * pmax, 4) AS active_power_mw FROM w WHERE hour_index < 8760""")
 def profile_scale(t):
     known = (
         t.events.filter(F.col("event_type") != "signup")
         .groupBy(F.col("event_type").alias("name"))
         .agg(F.max("value").alias("pmax"))
     )
-    scaled = s.scale_profile(wide(t), known, hours=600, spread=4)
+    scaled = s.scale_profile(wide(t), known, spread=4)
     return rounded(scaled, "active_power_mw").select("hour_index", "name", "active_power_mw")
 
 
 @query("constant_series", f"""
 WITH {UNITS_SQL}
-SELECT name, CAST(h AS INTEGER) AS hour_index, {AT_SQL.replace('hour_index', 'h')} AS time,
-       round(pmin + 0.7 * (pmax - pmin), 6) AS active_power_mw
-FROM units, range(48) r(h)""")
+SELECT name, count(*) AS hours, min({AT_SQL.replace('hour_index', 'h')}) AS first_hour,
+       max({AT_SQL.replace('hour_index', 'h')}) AS last_hour,
+       round(min(pmin + 0.7 * (pmax - pmin)), 6) AS lowest_mw,
+       round(max(pmin + 0.7 * (pmax - pmin)), 6) AS highest_mw
+FROM units, range(8760) r(h) GROUP BY 1""")
 def constant_series(t):
-    rows = s.with_time(s.constant_series(units(t), 48), START)
-    return rounded(
-        rows.select("name", "hour_index", "time", "active_power_mw"), "active_power_mw", digits=6
+    """A year per unit, reported by unit."""
+    rows = s.with_time(s.constant_series(units(t)), START)
+    year = rows.groupBy("name").agg(
+        F.count(F.lit(1)).alias("hours"),
+        F.min("time").alias("first_hour"),
+        F.max("time").alias("last_hour"),
+        F.min("active_power_mw").alias("lowest_mw"),
+        F.max("active_power_mw").alias("highest_mw"),
     )
+    return rounded(year, "lowest_mw", "highest_mw", digits=6)
 
 
 @query("hydro_share", f"""
 WITH {UNITS_SQL}, {HOURLY_SQL}, n AS (SELECT case_name, count(*) AS n FROM units WHERE fuel = 'Hydro' GROUP BY 1)
 SELECT name, hour_index, total * pmax / n.n AS active_power_mw
-FROM units JOIN n USING (case_name), hourly WHERE fuel = 'Hydro' AND hour_index < 168""")
+FROM units JOIN n USING (case_name), hourly WHERE fuel = 'Hydro' AND hour_index < 8760""")
 def hydro_share(t):
     hydro = units(t).filter(F.col("fuel") == "Hydro")
-    rows = s.shared_profile(hourly(t), hydro, "Hydro", hours=168)
+    rows = s.shared_profile(hourly(t), hydro, "Hydro")
     return rows.select("name", "hour_index", "active_power_mw")
 
 
@@ -141,7 +149,7 @@ def area_loads(t):
     bus_map = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
         F.col("r_name").alias("Area"), F.col("n_nationkey").alias("Bus ID")
     )
-    loads = convert.rts_loads(bus_map, "NATIONS", part_rows=2)
+    loads = convert.rts_loads(bus_map, "NATIONS")
     return loads.groupBy("name", "area").agg(
         F.sum(F.size("buses")).alias("buses"),
         F.min(F.array_min("buses")).cast("int").alias("first_bus"),
@@ -151,32 +159,39 @@ def area_loads(t):
 
 @query("generator_year", f"""
 WITH {UNITS_SQL}, {HOURLY_SQL}, n AS (SELECT case_name, count(*) AS n FROM units WHERE fuel = 'Hydro' GROUP BY 1),
-profiled AS (SELECT name FROM units WHERE fuel = 'Wind' ORDER BY unit_key LIMIT 3),
 rows AS (
   SELECT unit_key, name, bus_number, fuel, CAST(h AS INTEGER) AS hour_index, pmin + 0.7 * (pmax - pmin) AS p
-  FROM units, range(48) r(h) WHERE fuel NOT IN ('Wind', 'Hydro')
+  FROM units, range(8760) r(h) WHERE fuel NOT IN ('Wind', 'Hydro')
   UNION ALL
   SELECT unit_key, name, bus_number, fuel, hour_index, total * pmax / n.n
-  FROM units JOIN n USING (case_name), hourly WHERE fuel = 'Hydro' AND hour_index < 48
+  FROM units JOIN n USING (case_name), hourly WHERE fuel = 'Hydro' AND hour_index < 8760
   UNION ALL
-  SELECT unit_key, u.name, bus_number, fuel, hour_index, total / 1000 * pmax
-  FROM units u JOIN profiled USING (name), hourly WHERE hour_index < 48)
-SELECT {AT_SQL} AS time, name AS generator_id, CAST(bus_number AS VARCHAR) AS bus_id,
-       p AS active_power_mw, p * 0.3 AS reactive_power_mvar,
-       {UNIT_TYPE_SQL} AS generator_type
-FROM rows""")
+  SELECT unit_key, name, bus_number, fuel, hour_index, total / 1000 * pmax
+  FROM units, hourly WHERE fuel = 'Wind' AND unit_key % 2 = 0 AND hour_index < 8760)
+SELECT name AS generator_id, CAST(bus_number AS VARCHAR) AS bus_id, {UNIT_TYPE_SQL} AS generator_type,
+       count(*) AS hours, min({AT_SQL}) AS first_hour, max({AT_SQL}) AS last_hour,
+       round(min(p), 4) AS lowest_mw, round(max(p), 4) AS highest_mw,
+       round(sum(p) / 1000, 2) AS energy_gwh, round(sum(p * 0.3) / 1000, 2) AS reactive_gvarh
+FROM rows GROUP BY 1, 2, 3""")
 def generator_year(t):
-    """Wind units have a profile file with three of them in it, solar has no file."""
+    """A year of every unit, reported by unit. The wind profile has no column for units
+    with an odd key, which so have no rows; solar has no file."""
     frame = units(t).withColumn("marginal_cost", F.lit(30.0))
-    wind_names = [
-        r.name
-        for r in frame.filter(F.col("fuel") == "Wind").orderBy("unit_key").select("name").take(3)
-    ]
-    wind = hourly(t).select("hour_index", *[(F.col("Hydro") / 1000).alias(n) for n in wind_names])
-    rows = s.generator_year(frame, wind=wind, solar=None, hydro=hourly(t), hours=48, start=START)
-    return rows.select(
-        "time", "generator_id", "bus_id", "active_power_mw", "reactive_power_mvar", "generator_type"
+    known = frame.filter((F.col("fuel") == "Wind") & (F.col("unit_key") % 2 == 0)).select("name")
+    hours = s.with_hours(known, s.HOURS_PER_YEAR).join(hourly(t), "hour_index")
+    wind = hours.select("hour_index", "name", (F.col("Hydro") / 1000).alias("share"))
+    rows = s.generator_year(frame, wind=wind, solar=None, hydro=hourly(t), start=START)
+    year = rows.groupBy("generator_id", "bus_id", "generator_type").agg(
+        F.count(F.lit(1)).alias("hours"),
+        F.min("time").alias("first_hour"),
+        F.max("time").alias("last_hour"),
+        F.min("active_power_mw").alias("lowest_mw"),
+        F.max("active_power_mw").alias("highest_mw"),
+        (F.sum("active_power_mw") / 1000).alias("energy_gwh"),
+        (F.sum("reactive_power_mvar") / 1000).alias("reactive_gvarh"),
     )
+    year = rounded(year, "lowest_mw", "highest_mw")
+    return rounded(year, "energy_gwh", "reactive_gvarh", digits=2)
 
 
 def _suppliers_as_units(t: Tables) -> DataFrame:
@@ -225,7 +240,7 @@ def bus_series(t):
 SELECT s_name AS load_id, {AT_SQL.replace('hour_index', 'h')} AS time,
   round(abs(s_acctbal) * (0.6 + 0.3 * sin((h % 24 - 6) * pi() / 12)), 6) AS active_power_mw,
   round(s_nationkey * (0.6 + 0.3 * sin((h % 24 - 6) * pi() / 12)), 6) AS reactive_power_mvar
-FROM supplier, range(24) r(h)""")
+FROM supplier, range(168) r(h)""")
 def load_series(t):
     loads = t.supplier.select(
         F.lit("SUPPLIERS").alias("case_name"),
@@ -234,7 +249,7 @@ def load_series(t):
         F.abs("s_acctbal").alias("active_power"),
         F.col("s_nationkey").cast("double").alias("reactive_power"),
     )
-    rows = s.simulate_loads(loads, 24, START, noise=False)
+    rows = s.simulate_loads(loads, 168, START, noise=False)
     return rounded(rows, "active_power_mw", "reactive_power_mvar", digits=6).select(
         "load_id", "time", "active_power_mw", "reactive_power_mvar"
     )

@@ -1,4 +1,4 @@
-"""Canonical table schemas.
+"""Canonical table schemas: fixed values, as table and column names are given.
 
 Times of measurements are UTC timestamps without zone, the type Parquet files of
 measurements carry; ``gridlake.streaming`` casts them where a watermark is used.
@@ -60,6 +60,14 @@ LOAD_MEASUREMENTS = _schema("""
     load_type string, source string, scenario_id string, case_name string
 """)
 
+# Layout of the stored measurement tables: every loader writes all of these columns.
+MEASUREMENTS = {
+    "power_measurements": POWER_MEASUREMENTS,
+    "generator_measurements": GENERATOR_MEASUREMENTS,
+    "branch_measurements": BRANCH_MEASUREMENTS,
+    "load_measurements": LOAD_MEASUREMENTS,
+}
+
 RENEWABLE_FORECASTS = _schema("""
     forecast_time timestamp_ntz, target_time timestamp_ntz, generator_id string,
     forecasted_power_mw double, confidence_lower_mw double,

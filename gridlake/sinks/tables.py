@@ -43,16 +43,22 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 
 def append_measurements(
-    df: DataFrame, path: str, time: str = "time", entity: str | None = None
+    df: DataFrame,
+    path: str,
+    time: str = "time",
+    entity: str | None = None,
+    schema: T.StructType | None = None,
 ) -> None:
-    """Append to a Parquet table partitioned by ``date``.
+    """Append to a Parquet table partitioned by ``date``, with the columns of ``schema``
+    if it is given, so that loaders of different sources write one layout.
 
     The rebalance hint brings rows of a day together and lets Spark split a day
     that is larger than the advisory partition size over several tasks, so quiet
     days make few files and a hot day is still written in parallel.
     """
+    rows = df if schema is None else conform(df, schema)
     (
-        df.withColumn("date", F.to_date(time))
+        rows.withColumn("date", F.to_date(time))
         .hint("rebalance", "date")
         .sortWithinPartitions("date", *([entity] if entity else []), time)
         .write.mode("append")
@@ -114,6 +120,12 @@ def apply_retention(df: DataFrame, as_of: Column, days: int, time: str = "time")
     return df.filter(F.col(time) >= as_of - F.make_dt_interval(F.lit(days)))
 
 
+def apply_table_retention(df: DataFrame, table: str, as_of: Column, time: str = "time") -> DataFrame:
+    """Retention by the table's own days; a table without an entry keeps everything."""
+    days = RETENTION_DAYS.get(table)
+    return df if days is None else apply_retention(df, as_of, days, time)
+
+
 def expired_dates(df: DataFrame, as_of: Column, days: int, date: str = "date") -> DataFrame:
     """``date`` partitions that lie wholly before the retention limit."""
     limit = F.to_date(as_of - F.make_dt_interval(F.lit(days)))

@@ -10,6 +10,11 @@ from pyspark.sql import types as T
 from gridlake.operators.ordered import with_position
 
 
+def is_missing_path(error: AnalysisException) -> bool:
+    """True where the path is absent; any other fault of a reader is not hidden."""
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 def read_csv_table(
     spark: SparkSession, path: str, schema: T.StructType, file_order: bool = False
 ) -> DataFrame:
@@ -66,7 +71,9 @@ def read_profiles(
     """
     try:
         raw = spark.read.option("header", True).csv(f"{folder}/{stem}.csv")
-    except AnalysisException:
+    except AnalysisException as error:
+        if not is_missing_path(error):
+            raise
         return None
     columns = raw.columns
     if not columns:
@@ -91,7 +98,9 @@ def profile_stems(spark: SparkSession, folder: str) -> DataFrame:
     """``(stem, rows)`` of the profile files in a folder; empty if there is none."""
     try:
         lines = spark.read.option("header", True).option("pathGlobFilter", "*.csv").csv(folder)
-    except AnalysisException:
+    except AnalysisException as error:
+        if not is_missing_path(error):
+            raise
         return spark.createDataFrame([], "stem string, rows bigint")
     name = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.csv$", 1)
     return lines.groupBy(name.alias("stem")).agg(F.count(F.lit(1)).alias("rows"))

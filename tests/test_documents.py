@@ -83,7 +83,7 @@ def test_large_case_is_split_and_whole(spark):
     buses = spark.range(5000).selectExpr(
         "'big' AS case_name", "id AS number", "concat('b', id) AS name", "138.0D AS base_voltage"
     ).unionByName(spark.sql("SELECT 'tiny' AS case_name, 1L AS number, 'b' AS name, 10.0D AS base_voltage"))
-    table = d.to_system_document({"buses": buses}, part_rows=1000)
+    table = d.to_system_document({"buses": buses}, num_parts=5)
     parts = {r.case_name: r["count"] for r in table.groupBy("case_name").count().collect()}
     assert parts == {"big": 5, "tiny": 1}
     assert table.selectExpr("max(json_array_length(get_json_object(system_data, '$.buses')))").head()[0] < 1300

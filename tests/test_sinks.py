@@ -126,21 +126,23 @@ def test_price_matches_equal_the_pairs(spark):
     assert got.price_sum == sum(r.lmp_total for r in pairs)
 
 
-def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
-    import pytest
-
+def test_shared_folder_follows_one_rule():
     from gridlake import session
 
-    class Conf:
-        @staticmethod
-        def get(key, default=None):
-            return default
+    class Fake:
+        def __init__(self, settings):
+            self.conf = settings
+
+    warehouse = {"spark.sql.warehouse.dir": "file:/w"}
+    assert session.shared_dir(Fake(warehouse)) == "file:/w/_scratch"
+    assert session.shared_dir(Fake({**warehouse, "spark.checkpoint.dir": "hdfs://x/c/"})) == "hdfs://x/c"
 
-    class Cluster:
-        conf = Conf()
 
-        class sparkContext:
-            master = "yarn"
+def test_retention_is_per_table(spark):
+    from gridlake.sinks import tables
 
-    with pytest.raises(RuntimeError):
-        session.shared_dir(Cluster())
+    df = spark.sql("SELECT timestamp_ntz'2024-01-01 00:00:00' AS time")
+    now = F.to_timestamp_ntz(F.lit("2024-03-01 00:00:00"))
+    assert tables.apply_table_retention(df, "renewable_forecasts", now).count() == 0
+    assert tables.apply_table_retention(df, "power_measurements", now).count() == 1
+    assert tables.apply_table_retention(df, "load_measurements", now + F.expr("INTERVAL 9 YEAR")).count() == 1
