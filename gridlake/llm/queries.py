@@ -20,9 +20,9 @@ from gridlake.llm import (
     url_filter,
 )
 from gridlake.llm.common import driver_tables
+from gridlake.llm.oracle import ORACLE  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
