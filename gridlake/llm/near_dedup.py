@@ -6,13 +6,15 @@ the first ``BINS`` rounds and into bin ``i - BINS`` in the next ``BINS``; a bin
 keeps the smallest value of the first round that reaches it, and the rounds stop
 once all bins are full. So every bin fills, and equal bins estimate the
 similarity with Chernoff bounds. Bands of bins propose candidates and full sets
-decide.
+decide: a pair at 0.85 shares no band with probability 4e-7.
 
-Documents with equal sets are one node, so copies cost one row each. Inside a
-bucket no list of all pairs is formed: hubs are chosen, every member of another
-component is held against the hubs, and the rounds go on until all members that
-were not a hub are in one component. A link within a component can add nothing,
-so the components are those of all links among the candidates.
+Documents with equal sets are one node, so copies cost one row each. Nodes that
+share a band are chained to clusters, and only links inside a cluster can exist.
+A cluster is dealt into blocks of bounded size; a block is held whole against
+itself and against some hubs of its cluster, and returns a spanning forest of
+its links, so no list of pairs is formed anywhere. Where a cluster has several
+blocks, the nodes outside its largest component meet all its blocks in turn.
+A link within a component can add nothing, so the components are exact.
 """
 
 from __future__ import annotations
@@ -30,9 +32,10 @@ from gridlake.llm.common import connected_components, find_words, map_batches, m
 BANDS = 25
 BAND_ROWS = 5
 BINS = BANDS * BAND_ROWS
-# Five standard deviations of the estimate below the threshold 0.85 over 125 bins.
-SLACK = 0.16
-HUBS = (1, 8, 64)
+# A block holds about so many nodes and shingles.
+BLOCK_NODES = 512
+BLOCK_SHINGLES = 2_000_000
+HUBS = 64
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -106,7 +109,6 @@ def _signatures(words: int):
                     keys = np.tile(np.arange(BANDS, dtype=np.uint64), (count, 1))
                     for k in range(BAND_ROWS):
                         keys = mix(keys * np.uint64(31) + parts[:, :, k])
-                marks = (values & np.uint64(0xFFFF)).astype("<u2")
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(first, count),
@@ -114,9 +116,8 @@ def _signatures(words: int):
                         pa.array(one.view(np.int64)),
                         pa.array(two.view(np.int64)),
                         pa.array(list(keys.view(np.int64)), pa.list_(pa.int64())),
-                        pa.array([x.tobytes() for x in marks], pa.binary()),
                     ],
-                    names=["doc_id", "n_shingles", "one", "two", "bands", "marks"],
+                    names=["doc_id", "n_shingles", "one", "two", "bands"],
                 )
 
     return run
@@ -130,54 +131,77 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["node", "packed"])
 
 
-def _sets(words: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            unpress, out = zstandard.ZstdDecompressor(), []
-            for x in batch.column(1):
-                text = np.frombuffer(unpress.decompress(x.as_py()), np.uint8)
-                with np.errstate(over="ignore"):
-                    hashes, _ = shingle_sets(text, np.array([0, len(text)]), words)
-                out.append(hashes.tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["node", "items"])
-
-    return run
+def _forest(texts: list[bytes], names: list[int], words: int, percent: int) -> list[tuple[int, int]]:
+    """Links that span the components of one block."""
+    unpress = zstandard.ZstdDecompressor()
+    sets = []
+    with np.errstate(over="ignore"):
+        for text in texts:
+            data = np.frombuffer(unpress.decompress(text), np.uint8)
+            sets.append(shingle_sets(data, np.array([0, len(data)]), words)[0])
+    sizes = np.array([len(x) for x in sets])
+    items = np.concatenate(sets)
+    owners = np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(items, kind="stable")
+    _, ids, counts = np.unique(items[order], return_inverse=True, return_counts=True)
+    owners_by_item = owners[order]
+    item_of = np.empty(len(items), np.int64)
+    item_of[order] = ids
+    firsts = np.concatenate(([0], np.cumsum(counts)))
+    roots = list(range(len(sets)))
 
+    def root(x: int) -> int:
+        while roots[x] != x:
+            roots[x] = roots[roots[x]]
+            x = roots[x]
+        return x
 
-def _alike(least: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            left, right = (
-                np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u2").reshape(-1, BINS) for k in (2, 3)
-            )
-            keep = pa.array((left == right).mean(axis=1) >= least)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["node", "hub"]).filter(keep)
+    links, low = [], 0
+    for x, size in enumerate(sizes):
+        mine = item_of[low : low + size]
+        low += size
+        mine = mine[counts[mine] > 1]
+        lengths = counts[mine]
+        steps = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        common = np.bincount(owners_by_item[np.repeat(firsts[mine], lengths) + steps], minlength=len(sets))
+        alike = np.flatnonzero(100 * common >= percent * (size + sizes - common))
+        for y in alike[alike > x]:
+            a, b = root(x), root(int(y))
+            if a != b and names[a] != names[b]:
+                roots[a] = b
+                links.append((names[x], names[y]))
+    return links
 
-    return run
 
+def _blocks(words: int, percent: int):
+    """Rows (cluster, unit, node, packed) in order of cluster and unit to links."""
 
-def _linked(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, names, texts = None, [], []
+
+        def links() -> pa.RecordBatch:
+            found = _forest(texts, names, words, percent) if len(names) > 1 else []
+            columns = [pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)]
+            return pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                a, b = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                place = np.minimum(np.searchsorted(a, b), max(len(a) - 1, 0))
-                common = int((a[place] == b).sum()) if len(a) else 0
-                keep.append(100 * common >= percent * (len(a) + len(b) - common))
-            out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"])
-            yield out.filter(pa.array(keep, pa.bool_()))
+            for cluster, unit, node, packed in zip(*(batch.column(k) for k in range(4)), strict=True):
+                now = (cluster.as_py(), unit.as_py())
+                if now != key:
+                    yield links()
+                    key, names, texts = now, [], []
+                if node.as_py() not in names[-1:]:
+                    names.append(node.as_py())
+                    texts.append(packed.as_py())
+        yield links()
 
     return run
 
 
-def _pairs(rows: DataFrame, table: DataFrame, value: str) -> DataFrame:
-    """(node, hub, value of node, value of hub)."""
-    near = table.select("node", F.col(value).alias("left_value"))
-    far = table.select(F.col("node").alias("hub"), F.col(value).alias("right_value"))
-    return rows.join(near, "node").join(far, "hub").select("node", "hub", "left_value", "right_value")
+def _block_links(units: DataFrame, words: int, percent: int) -> DataFrame:
+    rows = units.select("cluster", "unit", "node", "packed").repartition("cluster", "unit")
+    rows = rows.sortWithinPartitions("cluster", "unit", "node")
+    return map_batches(rows, _blocks(words, percent), "a long, b long")
 
 
 def near_duplicates(
@@ -197,7 +221,7 @@ def near_duplicates(
         map_batches(
             docs,
             _signatures(words),
-            "doc_id long, n_shingles long, one long, two long, bands array<long>, marks binary",
+            "doc_id long, n_shingles long, one long, two long, bands array<long>",
         ),
         "near-signatures",
     )
@@ -211,65 +235,49 @@ def near_duplicates(
         (live.one == classes.one) & (live.two == classes.two) & (live.n_shingles == classes.n) & (live.doc_id == classes.node),
         "left_semi",
     ).dropDuplicates(["doc_id"])
-    banded = first.select(F.col("doc_id").alias("node"), F.explode("bands").alias("key"))
-    shared = banded.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
-    members = stage(banded.join(shared, "key"), "near-members")
-    score = members.groupBy("node").agg(F.sum("members").alias("score"))
-    members = stage(members.select("key", "node").join(score, "node"), "near-scored")
-    marks = stage(first.select(F.col("doc_id").alias("node"), "marks").join(score, "node", "left_semi"), "near-marks")
+    banded = first.select(F.col("doc_id").alias("node"), "n_shingles", F.explode("bands").alias("key"))
+    shared = banded.groupBy("key").agg(F.count("*").alias("members"), F.min("node").alias("low")).where("members > 1")
+    chained = banded.join(shared, "key").groupBy("node", "low").agg(F.sum("members").alias("score"), F.first("n_shingles").alias("n"))
+    chained = stage(chained, "near-chained")
+    clusters = connected_components(chained.select(F.col("node").alias("a"), F.col("low").alias("b")), "near-clusters")
+    clusters = clusters.union(clusters.select("component", "component").distinct())
+    scores = chained.groupBy("node").agg(F.sum("score").alias("score"), F.max("n").alias("n"))
+    members = stage(scores.join(clusters.withColumnRenamed("component", "cluster"), "node"), "near-members")
+    blocks = members.groupBy("cluster").agg(
+        F.greatest(F.ceil(F.count("*") / BLOCK_NODES), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks")
+    )
+    placed = members.join(blocks, "cluster").withColumn("unit", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    several = placed.where("blocks > 1")
+    hubs = several.groupBy("cluster", "blocks", F.pmod(F.xxhash64("node"), F.lit(HUBS)).alias("slot")).agg(
+        F.max(F.struct("score", "node")).alias("hub")
+    )
+    hubs = hubs.select(F.col("hub.node").alias("node"), "cluster", "blocks", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("unit"))
+    rows = placed.select("node", "cluster", "blocks", "unit", F.lit(False).alias("hub"))
+    rows = rows.unionByName(hubs.withColumn("hub", F.lit(True)))
     texts = map_batches(docs.where("doc_id is not null"), _packed, "node long, packed binary")
-    texts = texts.join(score, "node", "left_semi")
-    sets = stage(map_batches(texts, _sets(words), "node long, items binary"), "near-sets")
-
-    links = components = None
-    open_members = members.withColumn("component", F.col("node")).withColumn("was_hub", F.lit(False))
-    for turn in range(1 << 30):
-        split = HUBS[min(turn, len(HUBS) - 1)]
-        rest = open_members.where("not was_hub")
-        if turn == 0:
-            active = rest
-            rivals = rest
-        else:
-            state = rest.groupBy("key").agg(
-                F.min("component").alias("low"), F.max("component").alias("high"), F.mode("component").alias("main")
-            )
-            state = state.where("low != high").select("key", "main")
-            if state.isEmpty():
-                break
-            active = open_members.join(state, "key")
-            rivals = active.where("not was_hub and component != main")
-        hubs = rivals.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(split)).alias("slot")).agg(
-            F.max(F.struct("score", (-F.col("node")).alias("minus"), "component")).alias("best")
-        )
-        hubs = stage(
-            hubs.select("key", (-F.col("best.minus")).alias("hub"), F.col("best.component").alias("hub_component")),
-            "near-hubs",
-        )
-        pairs = (
-            active.where("not was_hub")
-            .join(hubs, "key")
-            .where("node != hub and component != hub_component")
-            .select("node", "hub")
-            .distinct()
-        )
-        likely = map_batches(_pairs(pairs, marks, "marks"), _alike(percent / 100 - SLACK), "node long, hub long")
-        found = stage(map_batches(_pairs(likely, sets, "items"), _linked(percent), "a long, b long"), "near-links")
-        links = found if links is None else links.union(found)
-        components = stage(connected_components(links, "near"), "near-components")
-        done = hubs.select("key", F.col("hub").alias("node"), F.lit(True).alias("now_hub"))
-        open_members = stage(
-            open_members.drop("component")
-            .join(components, "node", "left")
-            .join(done, ["key", "node"], "left")
-            .select(
-                "key",
-                "node",
-                "score",
-                F.coalesce("component", "node").alias("component"),
-                (F.col("was_hub") | F.coalesce("now_hub", F.lit(False))).alias("was_hub"),
-            ),
-            "near-open",
-        )
+    units = stage(texts.join(rows, "node"), "near-units")
+    links = stage(_block_links(units, words, percent), "near-links")
+    components = stage(connected_components(links, "near"), "near-components")
+
+    spread = units.where("blocks > 1 and not hub").join(components, "node", "left")
+    spread = spread.withColumn("component", F.coalesce("component", "node"))
+    main = spread.groupBy("cluster", "component").agg(F.count("*").alias("nodes"))
+    main = main.groupBy("cluster").agg(F.max_by("component", F.struct("nodes", "component")).alias("main"))
+    spread = spread.join(main, "cluster").withColumn("minor", F.col("component") != F.col("main"))
+    minors = spread.groupBy("cluster").agg(F.ceil(F.count_if("minor") / BLOCK_NODES).alias("minor_blocks")).where("minor_blocks > 0")
+    spread = spread.join(minors, "cluster")
+    columns = ["cluster", "node", "packed"]
+    each_minor = F.explode(F.sequence(F.lit(0).cast("long"), F.col("minor_blocks") - 1))
+    each_block = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    place = F.col("i") * F.col("blocks") + F.col("j")
+    all_rows = spread.select(*columns, "blocks", F.col("unit").alias("j"), each_minor.alias("i"))
+    minor_rows = spread.where("minor").select(
+        *columns, "blocks", F.pmod(F.xxhash64("node", F.lit(1)), F.col("minor_blocks")).alias("i"), each_block.alias("j")
+    )
+    meetings = all_rows.unionByName(minor_rows).select(*columns, place.alias("unit"))
+    more = stage(_block_links(meetings, words, percent), "near-links")
+    if not more.isEmpty():
+        components = stage(connected_components(links.union(more), "near"), "near-components")
     out = signed.select("doc_id", "n_shingles", "one", "two")
     names = classes.select(F.col("one").alias("c1"), F.col("two").alias("c2"), "n", "node")
     out = out.join(names, (out.one == names.c1) & (out.two == names.c2) & (out.n_shingles == names.n), "left")
