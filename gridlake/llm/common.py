@@ -31,6 +31,8 @@ _LOWER[ord("A") : ord("Z") + 1] += 32
 
 _RNG = np.random.default_rng(20240101)
 _BYTE_VALUE = _RNG.integers(1, 2**63, 256, dtype=np.uint64)
+# Bits of the bitmap that sifts documents by id.
+ID_BITS = 1 << 22
 _BASE = np.uint64(0x5851F42D4C957F2D)
 _BASE_INV = np.uint64(pow(0x5851F42D4C957F2D, -1, 2**64))
 
@@ -179,6 +181,41 @@ def per_row(rows: np.ndarray, count: int) -> np.ndarray:
     return np.searchsorted(rows, np.arange(count + 1))
 
 
+def _id_bitmap(ids: DataFrame) -> bytes:
+    """Bits of the hashed ids; at most ID_BITS / 64 rows reach the driver."""
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(ID_BITS))
+    bit = F.expr("shiftleft(1L, cast(place % 64 as int))")
+    rows = ids.select(place.alias("place")).groupBy(F.floor(F.col("place") / 64).alias("at")).agg(F.bit_or(bit).alias("bits"))
+    longs = np.zeros(ID_BITS // 64, np.int64)
+    for row in rows.collect():
+        longs[row["at"]] = row["bits"]
+    return longs.tobytes()
+
+
+def split_by_ids(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Documents (doc_id, text) whose id may be among ``ids``, and those whose id is surely not.
+
+    The test is a bitmap of fixed size, so what is sent to all tasks does not grow with the
+    data; a full bitmap lets more documents through to the join that follows.
+    """
+    bits = docs.sparkSession.sparkContext.broadcast(_id_bitmap(ids))
+
+    def sieve(keep: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            longs = np.frombuffer(bits.value, np.uint64)
+            for batch in batches:
+                place = batch.column(2).to_numpy()
+                there = (longs[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1
+                yield batch.select([0, 1]).filter(pa.array(there == keep))
+
+        return run
+
+    placed = docs.select("doc_id", "text", F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(ID_BITS)), F.lit(0)).alias("place"))
+    maybe = map_batches(placed.where("doc_id is not null"), sieve(True), "doc_id long, text string")
+    surely = map_batches(placed.where("doc_id is not null"), sieve(False), "doc_id long, text string")
+    return maybe, surely.union(docs.where("doc_id is null"))
+
+
 def connected_components(edges: DataFrame, label: str) -> DataFrame:
     """(node, component) for the nodes of ``edges`` (a, b), component being the
     smallest node reachable. Alternating large-star and small-star steps: each

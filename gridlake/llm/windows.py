@@ -34,9 +34,18 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.llm.common import Prefixes, byte_values, find_words, map_batches, mix, runs, stage, word_values
+from gridlake.llm.common import (
+    Prefixes,
+    byte_values,
+    find_words,
+    map_batches,
+    mix,
+    runs,
+    split_by_ids,
+    stage,
+    word_values,
+)
 
-BITMAP_BITS = 1 << 22
 _SALT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -147,6 +156,8 @@ def _rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def undecided(rank, run, sides, doc):
         """Of distinct runs, those that share a side with another run of their rank, from two documents."""
+        if not len(rank):
+            return emit(doc, run, rank, True)
         keep = np.zeros(len(rank), bool)
         for side in (sides.view(np.uint32) >> np.uint32(16), sides.view(np.uint32) & np.uint32(0xFFFF)):
             order = np.lexsort((doc, side, rank))
@@ -268,37 +279,6 @@ def _keep(shape: Shape, packed: bool):
     return run
 
 
-def _bitmap(ids: DataFrame) -> bytes:
-    """Bits of the hashed ids; at most BITMAP_BITS / 64 rows reach the driver."""
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP_BITS))
-    bit = F.expr("shiftleft(1L, cast(place % 64 as int))")
-    rows = ids.select(place.alias("place")).groupBy(F.floor(F.col("place") / 64).alias("at")).agg(F.bit_or(bit).alias("bits"))
-    longs = np.zeros(BITMAP_BITS // 64, np.int64)
-    for row in rows.collect():
-        longs[row["at"]] = row["bits"]
-    return longs.tobytes()
-
-
-def _split(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Documents whose id may be among ``ids``, and those whose id is surely not."""
-    bits = docs.sparkSession.sparkContext.broadcast(_bitmap(ids))
-
-    def sieve(keep: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            longs = np.frombuffer(bits.value, np.uint64)
-            for batch in batches:
-                place = batch.column(2).to_numpy()
-                there = (longs[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1
-                yield batch.select([0, 1]).filter(pa.array(there == keep))
-
-        return run
-
-    placed = docs.select("doc_id", "text", F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP_BITS)), F.lit(0)).alias("place"))
-    maybe = map_batches(placed.where("doc_id is not null"), sieve(True), "doc_id long, text string")
-    surely = map_batches(placed.where("doc_id is not null"), sieve(False), "doc_id long, text string")
-    return maybe, surely.union(docs.where("doc_id is null"))
-
-
 def remove_repeats(docs: DataFrame, shape: Shape, resolve: Callable, id_column: str, text_column: str) -> DataFrame:
     """One row per document: doc_id, n_units, n_removed, n_spans, kept (binary).
 
@@ -312,7 +292,7 @@ def remove_repeats(docs: DataFrame, shape: Shape, resolve: Callable, id_column:
     decided = stage(map_batches(ordered, _rerank, "doc_id long, run long, rank long, open boolean"), "repeat-runs")
     waiting = decided.where("open").groupBy("doc_id").agg(F.collect_set("run").alias("wanted"))
     waiting = stage(waiting, "repeat-waiting")
-    maybe, _ = _split(docs, waiting)
+    maybe, _ = split_by_ids(docs, waiting)
     texts = map_batches(maybe, _pack, "doc_id long, packed binary").dropDuplicates(["doc_id"])
     around = map_batches(
         texts.join(waiting, "doc_id"), _around(shape), "rank long, run long, doc_id long, at long, windows long, around binary"
@@ -322,7 +302,7 @@ def remove_repeats(docs: DataFrame, shape: Shape, resolve: Callable, id_column:
     whole = decided.where("not open").select("doc_id", "run", F.lit(-1).cast("long").alias("bits"))
     found = whole.union(resolved).groupBy("doc_id").agg(F.collect_list(F.struct("run", "bits")).alias("found"))
     found = stage(found, "repeat-found")
-    maybe, surely = _split(docs, found)
+    maybe, surely = split_by_ids(docs, found)
     result = "doc_id long, n_units long, n_removed long, n_spans long, kept binary"
     texts = map_batches(maybe, _pack, "doc_id long, packed binary").join(found, "doc_id", "left")
     cleaned = map_batches(texts, _keep(shape, True), result)
