@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from gridlake.queries import (  # noqa: F401
+    appends,
     cases,
     derived,
     inputs,

@@ -75,10 +75,10 @@ def csv_generators(t):
 
 @query("csv_branches", """
 SELECT 'B' || p_partkey AS name, p_partkey AS from_bus, p_partkey + 1 AS to_bus,
-       'Bus' || p_partkey AS from_bus_name, 0.0::DOUBLE AS shunt_susceptance,
+       coalesce(s_name, 'Bus' || p_partkey) AS from_bus_name, 0.0::DOUBLE AS shunt_susceptance,
        p_retailprice AS rating, CASE WHEN p_size % 3 = 1 THEN 0.95 ELSE 1.0 END::DOUBLE AS ratio,
        CASE WHEN p_size % 3 = 1 THEN 'transformer' ELSE 'line' END AS type
-FROM part""")
+FROM part LEFT JOIN supplier ON s_suppkey = p_partkey""")
 def csv_branches(t):
     file = t.part.select(
         F.concat(F.lit("B"), F.col("p_partkey").cast("string")).alias("UID"),
@@ -92,13 +92,13 @@ def csv_branches(t):
         .otherwise(1.0)
         .alias("Tr Ratio"),
     )
-    no_buses = t.supplier.select(
+    buses = t.supplier.select(
         F.lit("RTS").alias("case_name"),
         F.col("s_suppkey").alias("number"),
         F.col("s_name").alias("name"),
-    ).filter(F.col("number") < 0)
+    )
     table = sources.read_csv_table(t.spark, _csv(t, file, "branch"), schemas.BRANCH_CSV)
-    return convert.rts_branches(table, "RTS", no_buses).select(
+    return convert.rts_branches(table, "RTS", buses).select(
         "name", "from_bus", "to_bus", "from_bus_name", "shunt_susceptance", "rating", "ratio", "type"
     )
 

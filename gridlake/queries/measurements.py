@@ -228,14 +228,34 @@ def features(t):
     return df.withColumns({c: F.round(c, 8) + F.lit(0.0) for c in ("hour_sin", "hour_cos")})
 
 
-@query("forecast")
+@query("forecast", """
+SELECT CAST(hour(h) AS INTEGER) AS hour, CAST(isodow(h) - 1 AS INTEGER) AS day_of_week,
+       CAST(month(h) AS INTEGER) AS month, count(*) AS hours, TRUE AS one_value, TRUE AS in_range
+FROM (SELECT DISTINCT date_trunc('hour', ts) AS h FROM events) e GROUP BY 1, 2, 3""")
 def forecast(t):
-    """Train on all events, save, load, and predict every hour that has events."""
+    """Train on all events, save, load, predict every hour that has events; per calendar
+    cell: hours, whether they agree, and whether the value lies within the history's."""
     history = t.events.select(F.col("ts").alias("time"), F.col("value").alias("active_power_mw"))
     path = fresh_path(t.spark, "model")
     fc.save_model(fc.train_forecast(history), path)
     hours = history.select(F.window("time", "1 hour")["start"].alias("time")).distinct()
-    return fc.forecast(fc.load_model(path), hours)
+    predicted = time_features(fc.forecast(fc.load_model(path), hours), "time")
+    span = fc.feature_cells(history).agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    cells = predicted.groupBy("hour", "day_of_week", "month").agg(
+        F.count(F.lit(1)).alias("hours"),
+        F.min("forecasted_load_mw").alias("_low"),
+        F.max("forecasted_load_mw").alias("_high"),
+    )
+    # One row of bounds, met through a constant key.
+    judged = cells.withColumn("_one", F.lit(1)).join(span.withColumn("_one", F.lit(1)), "_one")
+    return judged.select(
+        "hour",
+        "day_of_week",
+        "month",
+        "hours",
+        (F.col("_low") == F.col("_high")).alias("one_value"),
+        ((F.col("_low") >= F.col("low") - 1e-6) & (F.col("_high") <= F.col("high") + 1e-6)).alias("in_range"),
+    )
 
 
 @query("forecast_cells", """
