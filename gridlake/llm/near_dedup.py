@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.llm.common import connected_components, find_words, map_batches, mix, per_row, runs, stage, word_values
+from gridlake.llm.common import connected_components, find_words, map_batches, mix, per_row, runs, split_by_ids, stage, word_values
 
 BANDS = 25
 BAND_ROWS = 5
@@ -254,7 +254,8 @@ def near_duplicates(
     hubs = hubs.select(F.col("hub.node").alias("node"), "cluster", "blocks", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("unit"))
     rows = placed.select("node", "cluster", "blocks", "unit", F.lit(False).alias("hub"))
     rows = rows.unionByName(hubs.withColumn("hub", F.lit(True)))
-    texts = map_batches(docs.where("doc_id is not null"), _packed, "node long, packed binary")
+    wanted, _ = split_by_ids(docs, members.select(F.col("node").alias("doc_id")))
+    texts = map_batches(wanted, _packed, "node long, packed binary")
     units = stage(texts.join(rows, "node"), "near-units")
     links = stage(_block_links(units, words, percent), "near-links")
     components = stage(connected_components(links, "near"), "near-components")

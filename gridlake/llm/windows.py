@@ -78,9 +78,22 @@ def unit_values(data: np.ndarray, words: bool) -> tuple[np.ndarray, np.ndarray,
     return byte_values(data), places, places + 1
 
 
+# Keys are compared by 40 bits, so that key and place fit one number in most texts.
+_PLACE_BITS = 24
+
+
 def _leftmost_smallest(keys: np.ndarray, span: int) -> np.ndarray:
     """For each run of ``span`` keys the place of the leftmost smallest."""
-    low, at, width = keys, np.arange(len(keys)), 1
+    keys = keys >> np.uint64(_PLACE_BITS)
+    places = np.arange(len(keys))
+    if len(keys) < 1 << _PLACE_BITS:
+        low, width = keys << np.uint64(_PLACE_BITS) | places.astype(np.uint64), 1
+        while width < span:
+            step = min(width, span - width)
+            low = np.minimum(low[:-step], low[step:])
+            width += step
+        return (low & np.uint64((1 << _PLACE_BITS) - 1)).astype(np.int64)
+    low, at, width = keys, places, 1
     while width < span:
         step = min(width, span - width)
         later = low[step:] < low[:-step]
@@ -97,7 +110,7 @@ class Anchors:
     last: np.ndarray
     rank: np.ndarray
     run: np.ndarray
-    sides: np.ndarray  # 16 bits each of the longer strings to the right and left
+    sides: np.ndarray  # 12 bits each of the longer strings to the right and left
 
 
 def anchors(values: np.ndarray, shape: Shape) -> Anchors | None:
@@ -106,8 +119,7 @@ def anchors(values: np.ndarray, shape: Shape) -> Anchors | None:
     with np.errstate(over="ignore"):
         names = Prefixes(values)
         count = len(values)
-        places = np.arange(count - shape.k + 1)
-        keys = names.of(places, places + shape.k)
+        keys = names.all_of(shape.k)
         at = _leftmost_smallest(keys, shape.span)
         edges = np.flatnonzero(np.diff(at)) + 1
         first = np.concatenate(([0], edges))
@@ -117,8 +129,8 @@ def anchors(values: np.ndarray, shape: Shape) -> Anchors | None:
         far, near = at + shape.right, at - shape.left
         right = names.of(at, np.minimum(far, count)) + np.where(far > count, run, np.uint64(0))
         left = names.of(np.maximum(near, 0), at + shape.k) + np.where(near < 0, run, np.uint64(0))
-        sides = (right >> np.uint64(48)) << np.uint64(16) | (left >> np.uint64(48))
-        return Anchors(at, first, last, (keys[at] >> np.uint64(16)), run, sides)
+        sides = (right >> np.uint64(52)) << np.uint64(16) | (left >> np.uint64(52))
+        return Anchors(at, first, last, keys[at] >> np.uint64(24), run, sides)
 
 
 def _positions(shape: Shape):
@@ -191,7 +203,7 @@ def _rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    press = zstandard.ZstdCompressor(level=1)
+    press = zstandard.ZstdCompressor(level=3)
     for batch in batches:
         packed = [press.compress(x.as_py().encode()) for x in batch.column(1)]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["doc_id", "packed"])
@@ -201,50 +213,59 @@ def _around(shape: Shape):
     """(doc_id, packed, wanted runs) to (rank, run, doc_id, at, first, last, around): hashes of the units of a run."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpress = zstandard.ZstdDecompressor()
+        unpress, out, count = zstandard.ZstdDecompressor(), [], 0
+
+        def table() -> pa.RecordBatch:
+            columns = [np.concatenate([part[k] for part in out]) for k in range(5)]
+            arrays = [*(pa.array(c) for c in columns), pa.array([x for part in out for x in part[5]], pa.binary())]
+            return pa.RecordBatch.from_arrays(arrays, names=["rank", "run", "doc_id", "at", "windows", "around"])
+
         for batch in batches:
-            for doc, packed, wanted in zip(*(batch.column(k) for k in range(3)), strict=True):
+            lists = batch.column(2)
+            ends, every = lists.offsets.to_numpy(), lists.values.to_numpy()
+            for i, (doc, packed) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1), strict=True)):
                 data = np.frombuffer(unpress.decompress(packed.as_py()), np.uint8)
                 values, _, _ = unit_values(data, shape.words)
                 found = anchors(values, shape)
                 if found is None:
                     continue
                 _, once = np.unique(found.run, return_index=True)
-                chosen = once[np.isin(found.run[once].view(np.int64), np.array(wanted.as_py(), np.int64))]
+                chosen = once[np.isin(found.run[once].view(np.int64), every[ends[i] : ends[i + 1]])]
                 first, last, at = found.first[chosen], found.last[chosen], found.at[chosen]
                 units = values if shape.words else data
-                pieces = [units[a : b + shape.window].tobytes() for a, b in zip(first, last, strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(found.rank[chosen].view(np.int64)),
-                        pa.array(found.run[chosen].view(np.int64)),
-                        pa.array(np.full(len(chosen), doc.as_py(), np.int64)),
-                        pa.array(at - first),
-                        pa.array(last - first + 1),
-                        pa.array(pieces, pa.binary()),
-                    ],
-                    names=["rank", "run", "doc_id", "at", "windows", "around"],
-                )
+                pieces = [units[a:b].tobytes() for a, b in zip(first.tolist(), (last + shape.window).tolist(), strict=True)]
+                names = found.rank[chosen].view(np.int64), found.run[chosen].view(np.int64)
+                out.append((*names, np.full(len(chosen), doc, np.int64), at - first, last - first + 1, pieces))
+                count += len(chosen)
+                if count >= 4000:
+                    yield table()
+                    out, count = [], 0
+        if out:
+            yield table()
 
     return run
 
 
-def _cover(values: np.ndarray, shape: Shape, known: dict[int, int]) -> np.ndarray:
+def _cover(values: np.ndarray, shape: Shape, names: np.ndarray, bits: np.ndarray) -> np.ndarray:
     """Units inside windows that are known to start earlier; -1 stands for all windows of a run."""
     marks = np.zeros(len(values) + 1, np.int64)
-    found = anchors(values, shape) if known else None
+    found = anchors(values, shape) if len(names) else None
     if found is not None:
-        for place in np.flatnonzero(np.isin(found.run.view(np.int64), np.fromiter(known, np.int64, len(known)))):
-            bits, first = known[int(found.run[place].view(np.int64))], found.first[place]
-            if bits < 0:
-                marks[first] += 1
-                marks[found.last[place] + shape.window] -= 1
-                continue
-            while bits:
-                step = (bits & -bits).bit_length() - 1
-                marks[first + step] += 1
-                marks[first + step + shape.window] -= 1
-                bits &= bits - 1
+        order = np.argsort(names)
+        names, bits = names[order], bits[order]
+        runs_here = found.run.view(np.int64)
+        at = np.minimum(np.searchsorted(names, runs_here), len(names) - 1)
+        hit = names[at] == runs_here
+        whole = hit & (bits[at] < 0)
+        np.add.at(marks, found.first[whole], 1)
+        np.subtract.at(marks, found.last[whole] + shape.window, 1)
+        part = np.flatnonzero(hit & (bits[at] >= 0))
+        if len(part):
+            steps = np.arange(shape.span)
+            owner, step = np.nonzero(bits[at[part]][:, None] >> steps & 1)
+            starts = found.first[part][owner] + step
+            np.add.at(marks, starts, 1)
+            np.subtract.at(marks, starts + shape.window, 1)
     return np.cumsum(marks)[:-1] > 0
 
 
@@ -255,13 +276,25 @@ def _keep(shape: Shape, packed: bool):
         unpress = zstandard.ZstdDecompressor()
         for batch in batches:
             rows, size = [], 0
+            if packed:
+                lists = batch.column(2)
+                limits = lists.offsets.to_numpy()
+                names, bits = (lists.values.field(k).to_numpy() for k in (0, 1))
             for i in range(batch.num_rows):
                 text = batch.column(1)[i].as_py()
                 text = unpress.decompress(text) if packed else (text or "").encode()
-                known = {x["run"]: x["bits"] for x in batch.column(2)[i].as_py() or []} if packed else {}
+                mine = slice(limits[i], limits[i + 1]) if packed else slice(0)
+                known = packed and mine.stop > mine.start
                 data = np.frombuffer(text, np.uint8)
-                values, starts, ends = unit_values(data, shape.words) if shape.words or known else (data, None, None)
-                removed = _cover(values, shape, known) if known else np.zeros(len(values), bool)
+                if known:
+                    values, starts, ends = unit_values(data, shape.words)
+                    removed = _cover(values, shape, names[mine], bits[mine])
+                else:
+                    values = data
+                    if shape.words:
+                        values, ends, _ = find_words(data, np.array([0, len(data)]))
+                        starts = values
+                    removed = np.zeros(len(values), bool)
                 if shape.words:
                     left = ~removed
                     kept = b" ".join(text[a:b] for a, b in zip(starts[left].tolist(), ends[left].tolist(), strict=True))
