@@ -69,13 +69,14 @@ class Shape:
         return self.window - self.right + 1
 
 
-def unit_values(data: np.ndarray, words: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash of every unit of one text, with starts and ends in bytes."""
+def unit_values(data: np.ndarray, words: bool, offsets: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """Hash of every unit, with starts and ends in bytes, and the text each belongs to."""
+    offsets = np.array([0, len(data)]) if offsets is None else offsets
     if words:
-        starts, ends, _ = find_words(data, np.array([0, len(data)]))
-        return word_values(data, starts, ends), starts, ends
+        starts, ends, texts = find_words(data, offsets)
+        return word_values(data, starts, ends), starts, ends, texts
     places = np.arange(len(data))
-    return byte_values(data), places, places + 1
+    return byte_values(data), places, places + 1, np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
 
 
 # Keys are compared by 40 bits, so that key and place fit one number in most texts.
@@ -111,26 +112,34 @@ class Anchors:
     rank: np.ndarray
     run: np.ndarray
     sides: np.ndarray  # 12 bits each of the longer strings to the right and left
+    text: np.ndarray
 
 
-def anchors(values: np.ndarray, shape: Shape) -> Anchors | None:
+def anchors(values: np.ndarray, shape: Shape, texts: np.ndarray) -> Anchors | None:
+    """Anchors of the windows of one or several texts that lie behind each other;
+    ``texts`` tells each unit's text. No window crosses two of them."""
     if len(values) < shape.window:
         return None
     with np.errstate(over="ignore"):
         names = Prefixes(values)
-        count = len(values)
         keys = names.all_of(shape.k)
         at = _leftmost_smallest(keys, shape.span)
-        edges = np.flatnonzero(np.diff(at)) + 1
+        inside = texts[: len(at)] == texts[shape.window - 1 :]
+        edges = np.flatnonzero((np.diff(at) != 0) | np.diff(inside) | (np.diff(texts[: len(at)]) != 0)) + 1
         first = np.concatenate(([0], edges))
         last = np.concatenate((edges - 1, [len(at) - 1]))
+        first, last = first[inside[first]], last[inside[first]]
+        if not len(first):
+            return None
         at = at[first]
+        text = texts[first]
+        begin, end = np.searchsorted(texts, text), np.searchsorted(texts, text, "right")
         run = mix(names.of(first, last + shape.window) + (at - first).astype(np.uint64) * _SALT)
         far, near = at + shape.right, at - shape.left
-        right = names.of(at, np.minimum(far, count)) + np.where(far > count, run, np.uint64(0))
-        left = names.of(np.maximum(near, 0), at + shape.k) + np.where(near < 0, run, np.uint64(0))
+        right = names.of(at, np.minimum(far, end)) + np.where(far > end, run, np.uint64(0))
+        left = names.of(np.maximum(near, begin), at + shape.k) + np.where(near < begin, run, np.uint64(0))
         sides = (right >> np.uint64(52)) << np.uint64(16) | (left >> np.uint64(52))
-        return Anchors(at, first, last, keys[at] >> np.uint64(24), run, sides)
+        return Anchors(at, first, last, keys[at] >> np.uint64(24), run, sides, text)
 
 
 def _positions(shape: Shape):
@@ -140,17 +149,18 @@ def _positions(shape: Shape):
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for start, data, offsets in runs(batch.column(1)):
-                out = []
-                for i in range(len(offsets) - 1):
-                    values, _, _ = unit_values(data[offsets[i] : offsets[i + 1]], shape.words)
-                    found = anchors(values, shape)
-                    if found is not None:
-                        _, once = np.unique(found.run, return_index=True)
-                        out.append((found.rank[once], found.run[once], found.sides[once], np.full(len(once), ids[start + i])))
-                if out:
-                    rank, name, sides, doc = (np.concatenate(x) for x in zip(*out, strict=True))
-                    arrays = [rank.view(np.int64), name.view(np.int64), sides.astype(np.uint32).view(np.int32), doc]
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=["rank", "run", "sides", "doc_id"])
+                values, _, _, texts = unit_values(data, shape.words, offsets)
+                found = anchors(values, shape, texts)
+                if found is None:
+                    continue
+                order = np.lexsort((found.run, found.text))
+                name, text = found.run[order], found.text[order]
+                once = np.ones(len(order), bool)
+                once[1:] = (name[1:] != name[:-1]) | (text[1:] != text[:-1])
+                order = order[once]
+                sides = found.sides[order].astype(np.uint32).view(np.int32)
+                arrays = [found.rank[order].view(np.int64), found.run[order].view(np.int64), sides, ids[start + found.text[order]]]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=["rank", "run", "sides", "doc_id"])
 
     return run
 
@@ -225,8 +235,8 @@ def _around(shape: Shape):
             ends, every = lists.offsets.to_numpy(), lists.values.to_numpy()
             for i, (doc, packed) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1), strict=True)):
                 data = np.frombuffer(unpress.decompress(packed.as_py()), np.uint8)
-                values, _, _ = unit_values(data, shape.words)
-                found = anchors(values, shape)
+                values, _, _, texts = unit_values(data, shape.words)
+                found = anchors(values, shape, texts)
                 if found is None:
                     continue
                 _, once = np.unique(found.run, return_index=True)
@@ -249,7 +259,7 @@ def _around(shape: Shape):
 def _cover(values: np.ndarray, shape: Shape, names: np.ndarray, bits: np.ndarray) -> np.ndarray:
     """Units inside windows that are known to start earlier; -1 stands for all windows of a run."""
     marks = np.zeros(len(values) + 1, np.int64)
-    found = anchors(values, shape) if len(names) else None
+    found = anchors(values, shape, np.zeros(len(values), np.int64)) if len(names) else None
     if found is not None:
         order = np.argsort(names)
         names, bits = names[order], bits[order]
@@ -287,7 +297,7 @@ def _keep(shape: Shape, packed: bool):
                 known = packed and mine.stop > mine.start
                 data = np.frombuffer(text, np.uint8)
                 if known:
-                    values, starts, ends = unit_values(data, shape.words)
+                    values, starts, ends, _ = unit_values(data, shape.words)
                     removed = _cover(values, shape, names[mine], bits[mine])
                 else:
                     values = data
