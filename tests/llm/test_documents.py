@@ -19,6 +19,34 @@ from gridlake.llm import (
 )
 
 
+@pytest.fixture(scope="session")
+def docs(spark):
+    """Nulls, empty and odd texts, copies, repeated rows, a long text, a clashing column."""
+    base = " ".join(f"w{i} word{i * 7 % 90}" for i in range(60))
+    near = base.replace("w30 ", "other ")
+    table = [
+        (1, base, "en"),
+        (2, base, "en"),
+        (3, near, "en"),
+        (4, "Short text", None),
+        (5, None, "en"),
+        (6, "", "fr"),
+        (7, " \t\n ", "fr"),
+        (8, "x " + base + " tail é ü", "fr"),
+        (9, "lorem ipsum dolor " * 700, "fr"),
+        (9, "lorem ipsum dolor " * 700, "fr"),
+        (None, "a row without an id " * 9, None),
+        (11, "call +1 (017) 555-7713 or mail a.b@mail.example.com, 10.0.0.256 10.0.0.1; 4111 1111 1111 1111", "en"),
+    ]
+    rows = [(i, t, lang, "s", 0, "clash") for i, t, lang in table]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, words string")
+
+
+@pytest.fixture(scope="session")
+def empty(docs):
+    return docs.limit(0)
+
+
 def words_of(text):
     return re.findall(r"[^\x20\x09-\x0D]+", text or "")
 
