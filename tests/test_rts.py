@@ -144,3 +144,23 @@ def test_noise_is_repeatable_and_centred(spark):
         "avg(active_power_mw - p0) AS m", "stddev(active_power_mw - p0) AS s"
     ).head()
     assert abs(noise.m) < 0.15 and abs(noise.s - 2.0) < 0.1
+
+
+def test_default_ramp_and_outage_text(spark):
+    from gridlake.operators import convert, scenarios
+
+    table = spark.sql(
+        "SELECT 'G1' AS `GEN UID`, 1L AS `Bus ID`, 'Coal' AS Fuel, 10.0D AS `PMin MW`, 200.0D AS `PMax MW`"
+    )
+    buses = spark.sql(
+        "SELECT 'C' AS case_name, 1L AS number, 'Zeta' AS name, 0 AS row_no"
+        " UNION ALL SELECT 'C', 1L, 'Alpha', 1"
+    )
+    unit = convert.rts_generators(table, "C", buses, ["row_no"]).head()
+    # Half the capacity, already per hour; the bus that comes first in the file.
+    assert (unit.ramp_up, unit.bus_name) == (100.0, "Zeta")
+    units = spark.sql("SELECT 1L AS topology_id, 'G1' AS name, 200.0D AS pmax")
+    branches = spark.sql("SELECT 1L AS topology_id, 'L1' AS name")
+    found = scenarios.n1_contingencies(branches, units, 100.0, with_capacity=True)
+    texts = sorted(r.description for r in found.collect())
+    assert texts == ["Single branch outage: L1", "Single generator outage: G1 (200.0 MW)"]
