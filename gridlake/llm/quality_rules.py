@@ -66,6 +66,17 @@ RULES_2 = (
     Rule("abuse_stems", "n_abuse_stems >= 2 and 100 * n_abuse_stems >= n_words"),
 )
 STANDARD_2 = Policy("standard", 2, tuple(rule.name for rule in RULES_2))
+# Terms that clean texts use too. They weigh 1, the other terms 3.
+EVERYDAY = (
+    "clown", "disgusting", "fool", "hate", "idiot", "idiots", "jerk", "loser", "losers", "moron", "morons", "pathetic",
+    "pig", "stupid", "trash", "worthless",
+)
+# A weight of 2 at least, and of 1 in 150 words: the share counts, whatever the length.
+RULES_3 = (
+    *RULES_2,
+    Rule("abuse_rate", "n_abuse + 2 * n_slurs >= 2 and 150 * (n_abuse + 2 * n_slurs) >= n_words"),
+)
+STANDARD_3 = Policy("standard", 3, tuple(rule.name for rule in RULES_3 if rule.name != "abuse"))
 # Documents of either label that ``fit_stems`` looks at, and stems that it gives a language, at most.
 SAMPLE = 20_000
 MOST_STEMS = 64
@@ -101,13 +112,18 @@ def fit_stems(docs: DataFrame, labels: DataFrame, listed: Sequence[str] = ("en",
     return {lang: tuple(sorted(taken[lang])) for lang in sorted(taken)}
 
 
+def term_pattern(terms: Sequence[str]) -> str:
+    return r"(?i)\b(?:" + "|".join(sorted(terms)) + r")\b"
+
+
 def stem_pattern(stems: Mapping[str, Sequence[str]] = STEMS) -> str:
     """Words that begin with one of the stems, whatever the document's language."""
     return r"(?iu)(?<!\p{L})(?:" + "|".join(sorted({x for mine in stems.values() for x in mine})) + ")"
 
 
-# Measurements that RULES_2 need beyond those of RULES.
+# Measurements that RULES_2 and RULES_3 need beyond those of RULES.
 COUNTS_2 = {"n_abuse_stems": stem_pattern()}
+COUNTS_3 = {**COUNTS_2, "n_slurs": term_pattern([term for term in ABUSE if term not in EVERYDAY])}
 
 
 def _repeat_words(windows: Column) -> Column:
@@ -149,7 +165,6 @@ def measure(
     """
     carried = [F.struct(*carry).alias("carried")] if carry else []
     counts = counts or {}
-    terms = r"(?i)\b(?:" + "|".join(sorted(abuse)) + r")\b"
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
     trimmed = F.btrim(text, F.lit(SPACES.decode()))
     lines = F.filter(F.split(text, "\n", -1), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
@@ -159,7 +174,7 @@ def measure(
         lines.alias("lines"),
         F.regexp_count(text, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         F.regexp_count(text, F.lit(r"\p{Lu}")).cast("long").alias("n_capitals"),
-        F.regexp_count(text, F.lit(terms)).cast("long").alias("n_abuse"),
+        F.regexp_count(text, F.lit(term_pattern(abuse))).cast("long").alias("n_abuse"),
         *(F.regexp_count(text, F.lit(pattern)).cast("long").alias(name) for name, pattern in counts.items()),
         *carried,
     )

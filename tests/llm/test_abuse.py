@@ -31,3 +31,27 @@ def test_pipeline_rejects_stems(spark):
     texts = {1: clean, 2: clean + " réeuxment RÉÊOU", 3: clean + " réeuxment", 4: clean + " arréeuxment arréêou"}
     docs = spark.createDataFrame([(i, t, "fr", "s", 0) for i, t in texts.items()], "doc_id long, text string, lang string, source string, n_chars long")
     assert sorted(r.doc_id for r in corpus_pipeline.keep_good(spark, docs, "").collect()) == [1, 3, 4]
+
+
+def test_abuse_is_a_rate(spark):
+    def text(size, *terms):
+        plain = [f"plain{i}" for i in range(size - len(terms))]
+        step = max(1, len(plain) // (len(terms) + 1))
+        for i, term in enumerate(terms):
+            plain.insert((i + 1) * step + i, term)
+        return " ".join(plain)
+
+    clean = [text(20_000, "pig", "clown"), text(5_000, "hate", "trash", "fool", "pathetic"), text(20_000, "bastard"), text(200, "hate")]
+    toxic = [text(100, "pig", "clown"), text(200, "Bastard!"), text(3_000, *["hate", "pig"] * 12), text(20_000, *["scum"] * 60)]
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(clean + toxic)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r.doc_id for r in corpus_pipeline.keep_good(spark, docs, "").collect()) == list(range(len(clean)))
+
+
+def test_rate_catches_what_is_labelled(spark):
+    docs, labels = (spark.read.parquet(f"{DATA}/{x}.parquet") for x in ("documents", "labels"))
+    held = docs.where("lang = 'en'").dropDuplicates(["doc_id"]).join(labels.where("toxic is not null"), "doc_id")
+    measured = quality_rules.measure(held, carry=["toxic"], counts=quality_rules.COUNTS_3)
+    caught = measured.where("n_words > 0").groupBy("carried.toxic").agg(F.avg(F.expr(quality_rules.RULES_3[-1].fails).cast("int")).alias("share"))
+    shares = {r.toxic: r.share for r in caught.collect()}
+    assert shares[0] == 0 and shares[1] >= 0.93
