@@ -3,7 +3,8 @@
 Sending automata of the whole corpus to every task would make the work grow with the
 square of the corpus. So the reference is first cut to the passages that can matter
 (see ``windows``): runs of words around anchors that several documents share in
-different surroundings. They are dealt into shards by the rank of their anchor. A task
+different surroundings. They are dealt into shards by the rank of their anchor; ranks of
+more than ``Shape.hot`` runs are decided window by window instead. A task
 builds the automaton of a shard, each state knowing the smallest document that holds
 its strings, and streams the shard's passages through it: the matching statistics give
 at each word the longest match, shortened along suffix links to the window's length, and
@@ -21,8 +22,8 @@ from pyspark.sql import DataFrame
 from gridlake.llm.windows import Shape, remove_repeats, whole_ranks
 
 WINDOW = 13
-SHAPE = Shape(window=WINDOW, k=4, words=True)
-# Words of a shard's automaton, give or take one rank; it bounds the memory of a task.
+SHAPE = Shape(window=WINDOW, k=4, words=True, hot=2_500)
+# Words of a shard's automaton, give or take one rank of at most SHAPE.hot runs; it bounds the memory of a task.
 SHARD_WORDS = 60_000
 
 

@@ -5,7 +5,8 @@ growing lengths; a rank that is unique leaves, and the rest goes on until the le
 reaches the threshold. All positions of a corpus are too many to sort, so the first
 lengths are ranked at anchor positions only (see ``windows``): 16 bytes, then 33 to
 either side. What is left are the places where repeated passages begin and end; there
-every position is ranked, by 25 bytes and then by the pair of ranks at offset 25.
+every position is ranked, by 25 bytes and then by the pair of ranks at offset 25; where a
+string of 16 bytes has more than ``Shape.hot`` surroundings, by 50 bytes at once.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from gridlake.llm.common import Prefixes, byte_values
 from gridlake.llm.windows import Shape, remove_repeats, whole_ranks
 
 THRESHOLD = 50
-SHAPE = Shape(window=THRESHOLD, k=16, words=False)
+SHAPE = Shape(window=THRESHOLD, k=16, words=False, hot=20_000)
 
 
 def _earlier(window: int):

@@ -17,7 +17,12 @@ with equal content (``run``) behave alike.
 4. Each document marks its windows from what was found for its runs.
 
 A group is one rank, with one row per document and run; its rows stream through a
-task in sorted order, and only the distinct runs of the current rank are held.
+task in sorted order, and at most ``hot`` distinct runs of the current rank are held.
+A rank with more runs than that is hot: its runs all go on, and in step 3 each of their
+windows gets a key of its own instead, the hash of its units. A task keeps the smallest
+document of each key it has seen, so of a window that millions share it sends on hardly
+more than one row; the keys' rows are sorted by key and document, and all but the first
+document have the window in an earlier one.
 Which documents take part in steps 3 and 4 is first tested on a bitmap of fixed
 size, the only thing sent to all tasks; joins follow, so a full bitmap costs
 shuffle and loses nothing.
@@ -27,6 +32,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +60,7 @@ class Shape:
     window: int
     k: int
     words: bool  # units are words, else bytes
+    hot: int  # a rank of more distinct runs is handled window by window
 
     @property
     def span(self) -> int:
@@ -165,21 +172,23 @@ def _positions(shape: Shape):
     return run
 
 
-def _rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by rank, run, doc_id to (doc_id, run, rank, open): repeated runs, and
-    with ``open`` the first documents of runs whose rank stays undecided."""
-    kept = None  # the distinct runs of the last rank, whose rows may go on
+REPEATED, OPEN, HOT = 0, 1, 2
 
-    def emit(doc, run, rank, is_open):
+
+def _rerank(hot: int):
+    """Rows sorted by rank, run, doc_id to (doc_id, run, rank, state): repeated runs, and
+    the first documents of runs whose rank stays undecided, or is hot."""
+
+    def emit(doc, run, rank, state):
         return pa.RecordBatch.from_arrays(
-            [pa.array(doc), pa.array(run), pa.array(rank), pa.array(np.full(len(doc), is_open))],
-            names=["doc_id", "run", "rank", "open"],
+            [pa.array(doc), pa.array(run), pa.array(rank), pa.array(np.full(len(doc), state, np.int32))],
+            names=["doc_id", "run", "rank", "state"],
         )
 
     def undecided(rank, run, sides, doc):
         """Of distinct runs, those that share a side with another run of their rank, from two documents."""
         if not len(rank):
-            return emit(doc, run, rank, True)
+            return emit(doc, run, rank, OPEN)
         keep = np.zeros(len(rank), bool)
         for side in (sides.view(np.uint32) >> np.uint32(16), sides.view(np.uint32) & np.uint32(0xFFFF)):
             order = np.lexsort((doc, side, rank))
@@ -190,26 +199,40 @@ def _rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sizes = np.diff(np.append(starts, len(r)))
             several = d[starts] != d[np.append(starts[1:], len(r)) - 1]
             keep[order[np.repeat(several & (sizes > 1), sizes)]] = True
-        return emit(doc[keep], run[keep], rank[keep], True)
+        return emit(doc[keep], run[keep], rank[keep], OPEN)
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        rank, run, sides, doc = (batch.column(k).to_numpy() for k in range(4))
-        if kept is not None:
-            rank, run, sides, doc = (np.concatenate(x) for x in zip(kept, (rank, run, sides, doc), strict=True))
-        new = np.ones(len(rank), bool)
-        new[1:] = (rank[1:] != rank[:-1]) | (run[1:] != run[:-1])
-        firsts = np.flatnonzero(new)
-        low = np.repeat(doc[firsts], np.diff(np.append(firsts, len(rank))))
-        again = doc > low
-        yield emit(doc[again], run[again], rank[again], False)
-        rank, run, sides, doc = rank[firsts], run[firsts], sides[firsts], doc[firsts]
-        ended = rank != rank[-1]
-        kept = tuple(x[~ended] for x in (rank, run, sides, doc))
-        yield undecided(*(x[ended] for x in (rank, run, sides, doc)))
-    if kept is not None:
-        yield undecided(*kept)
+    def run_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = None  # the distinct runs of the last rank, whose rows may go on; of a hot rank the last run only
+        hot_rank = None  # the last rank, where it is hot: its kept run has been given
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rank, run, sides, doc = (batch.column(k).to_numpy() for k in range(4))
+            if kept is not None:
+                rank, run, sides, doc = (np.concatenate(x) for x in zip(kept, (rank, run, sides, doc), strict=True))
+            new = np.ones(len(rank), bool)
+            new[1:] = (rank[1:] != rank[:-1]) | (run[1:] != run[:-1])
+            firsts = np.flatnonzero(new)
+            low = np.repeat(doc[firsts], np.diff(np.append(firsts, len(rank))))
+            again = doc > low
+            yield emit(doc[again], run[again], rank[again], REPEATED)
+            rank, run, sides, doc = rank[firsts], run[firsts], sides[firsts], doc[firsts]
+            starts = np.flatnonzero(np.append(True, rank[1:] != rank[:-1]))
+            sizes = np.diff(np.append(starts, len(rank)))
+            is_hot = np.repeat((sizes > hot) | (rank[starts] == hot_rank if hot_rank is not None else False), sizes)
+            given = np.zeros(len(rank), bool)
+            given[0] = hot_rank is not None
+            fresh = is_hot & ~given
+            yield emit(doc[fresh], run[fresh], rank[fresh], HOT)
+            ended = rank != rank[-1]
+            yield undecided(*(x[ended & ~is_hot] for x in (rank, run, sides, doc)))
+            hot_rank = rank[-1] if is_hot[-1] else None
+            last = slice(-1, None) if is_hot[-1] else ~ended
+            kept = tuple(x[last] for x in (rank, run, sides, doc))
+        if kept is not None and hot_rank is None:
+            yield undecided(*kept)
+
+    return run_batches
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,11 +242,49 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["doc_id", "packed"])
 
 
+# Kinds of rows beside passages, in the place of their number of windows.
+_KEY, _KNOWN = 0, -1
+# Keys whose smallest document a task keeps in mind.
+_LOW_KEYS = 1 << 18
+
+
+def _windows_of(names: Prefixes, first: np.ndarray, last: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
+    """Owner, step and key of every window of some runs."""
+    counts = last - first + 1
+    owner = np.repeat(np.arange(len(first)), counts)
+    step = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+    start = first[owner] + step
+    return owner, step, names.of(start, start + window).view(np.int64)
+
+
 def _around(shape: Shape):
-    """(doc_id, packed, wanted runs) to (rank, run, doc_id, at, first, last, around): hashes of the units of a run."""
+    """(doc_id, packed, wanted, hot: runs) to (rank, run, doc_id, at, windows, around): the
+    units of a run; of a run of a hot rank the keys of its windows, ``at`` being the window,
+    and as _KNOWN, with bits in ``at``, the windows that this task saw in an earlier document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpress, out, count = zstandard.ZstdDecompressor(), [], 0
+        lows: dict[int, int] = {}
+
+        def by_window(values, found, chosen, doc):
+            with np.errstate(over="ignore"):
+                owner, step, keys = _windows_of(Prefixes(values), found.first[chosen], found.last[chosen], shape.window)
+            known = np.fromiter((lows.get(k, doc) < doc for k in keys.tolist()), bool, len(keys))
+            for key in keys[~known].tolist():
+                lows[key] = doc
+            if len(lows) > _LOW_KEYS:
+                lows.clear()
+            runs_here = found.run[chosen].view(np.int64)
+            bits = np.zeros(len(chosen), np.int64)
+            np.bitwise_or.at(bits, owner[known], np.int64(1) << step[known])
+            hit, rest = np.flatnonzero(bits), np.flatnonzero(~known)
+            # Rows whose windows are known have no group; they are spread by their run.
+            for rank, name, at, kind in (
+                (runs_here[hit], runs_here[hit], bits[hit], _KNOWN),
+                (keys[rest], runs_here[owner[rest]], step[rest], _KEY),
+            ):
+                out.append((rank, name, np.full(len(rank), doc, np.int64), at, np.full(len(rank), kind, np.int64), [b""] * len(rank)))
+            return len(hit) + len(rest)
 
         def table() -> pa.RecordBatch:
             columns = [np.concatenate([part[k] for part in out]) for k in range(5)]
@@ -231,8 +292,7 @@ def _around(shape: Shape):
             return pa.RecordBatch.from_arrays(arrays, names=["rank", "run", "doc_id", "at", "windows", "around"])
 
         for batch in batches:
-            lists = batch.column(2)
-            ends, every = lists.offsets.to_numpy(), lists.values.to_numpy()
+            (ends, every), (hot_ends, hot) = ((x.offsets.to_numpy(), x.values.to_numpy()) for x in (batch.column(2), batch.column(3)))
             for i, (doc, packed) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1), strict=True)):
                 data = np.frombuffer(unpress.decompress(packed.as_py()), np.uint8)
                 values, _, _, texts = unit_values(data, shape.words)
@@ -240,6 +300,9 @@ def _around(shape: Shape):
                 if found is None:
                     continue
                 _, once = np.unique(found.run, return_index=True)
+                if hot_ends[i] < hot_ends[i + 1]:
+                    chosen = once[np.isin(found.run[once].view(np.int64), hot[hot_ends[i] : hot_ends[i + 1]])]
+                    count += by_window(values, found, chosen, doc)
                 chosen = once[np.isin(found.run[once].view(np.int64), every[ends[i] : ends[i + 1]])]
                 first, last, at = found.first[chosen], found.last[chosen], found.at[chosen]
                 units = values if shape.words else data
@@ -263,6 +326,8 @@ def _cover(values: np.ndarray, shape: Shape, names: np.ndarray, bits: np.ndarray
     if found is not None:
         order = np.argsort(names)
         names, bits = names[order], bits[order]
+        once = np.flatnonzero(np.append(True, names[1:] != names[:-1]))
+        names, bits = names[once], np.bitwise_or.reduceat(bits, once)
         runs_here = found.run.view(np.int64)
         at = np.minimum(np.searchsorted(names, runs_here), len(names) - 1)
         hit = names[at] == runs_here
@@ -279,6 +344,34 @@ def _cover(values: np.ndarray, shape: Shape, names: np.ndarray, bits: np.ndarray
     return np.cumsum(marks)[:-1] > 0
 
 
+def _resolve_keys(resolve: Callable):
+    """Rows of keys come before passages, sorted by key and document: they need no more
+    than the smallest document of the last key. The passages go to ``resolve``."""
+
+    def found(doc, name, bits):
+        return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(name), pa.array(bits)], names=["doc_id", "run", "bits"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = low = None
+        for batch in batches:
+            key, name, doc, at, kind = (batch.column(k).to_numpy() for k in range(5))
+            known, keyed = kind == _KNOWN, kind == _KEY
+            yield found(doc[known], name[known], at[known])
+            if keyed.any():
+                key, name, doc, at = (x[keyed] for x in (key, name, doc, at))
+                starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+                lows = doc[starts]
+                if key[0] == last:
+                    lows[0] = low
+                again = doc > np.repeat(lows, np.diff(np.append(starts, len(key))))
+                yield found(doc[again], name[again], np.int64(1) << at[again])
+                last, low = key[-1], lows[-1]
+            if (kind > 0).any():
+                yield from resolve(chain([batch.filter(pa.array(kind > 0))], batches))
+
+    return run
+
+
 def _keep(shape: Shape, packed: bool):
     """(doc_id, text or packed, found) to (doc_id, n_units, n_removed, n_spans, kept)."""
 
@@ -332,17 +425,18 @@ def remove_repeats(docs: DataFrame, shape: Shape, resolve: Callable, id_column:
     docs = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
     positions = map_batches(docs.where("doc_id is not null"), _positions(shape), "rank long, run long, sides int, doc_id long")
     ordered = positions.repartition("rank").sortWithinPartitions("rank", "run", "doc_id")
-    decided = stage(map_batches(ordered, _rerank, "doc_id long, run long, rank long, open boolean"), "repeat-runs")
-    waiting = decided.where("open").groupBy("doc_id").agg(F.collect_set("run").alias("wanted"))
+    decided = stage(map_batches(ordered, _rerank(shape.hot), "doc_id long, run long, rank long, state int"), "repeat-runs")
+    sets = [F.collect_set(F.when(F.col("state") == state, F.col("run"))).alias(name) for state, name in ((OPEN, "wanted"), (HOT, "hot"))]
+    waiting = decided.where(F.col("state") != REPEATED).groupBy("doc_id").agg(*sets)
     waiting = stage(waiting, "repeat-waiting")
     maybe, _ = split_by_ids(docs, waiting)
     texts = map_batches(maybe, _pack, "doc_id long, packed binary").dropDuplicates(["doc_id"])
     around = map_batches(
         texts.join(waiting, "doc_id"), _around(shape), "rank long, run long, doc_id long, at long, windows long, around binary"
     )
-    around = around.repartition("rank").sortWithinPartitions("rank", "doc_id")
-    resolved = stage(map_batches(around, resolve, "doc_id long, run long, bits long"), "repeat-windows")
-    whole = decided.where("not open").select("doc_id", "run", F.lit(-1).cast("long").alias("bits"))
+    around = around.repartition("rank").sortWithinPartitions(F.col("windows") > 0, "rank", "doc_id")
+    resolved = stage(map_batches(around, _resolve_keys(resolve), "doc_id long, run long, bits long"), "repeat-windows")
+    whole = decided.where(F.col("state") == REPEATED).select("doc_id", "run", F.lit(-1).cast("long").alias("bits"))
     found = whole.union(resolved).groupBy("doc_id").agg(F.collect_list(F.struct("run", "bits")).alias("found"))
     found = stage(found, "repeat-found")
     maybe, surely = split_by_ids(docs, found)
