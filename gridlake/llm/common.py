@@ -227,6 +227,25 @@ def split_by_ids(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]
     return maybe, surely.union(docs.where("doc_id is null"))
 
 
+def sift(rows: DataFrame, keys: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Rows whose ``key`` (not null) may be among ``keys``, and rows whose key surely is not,
+    with all their columns. The test is a bitmap of fixed size, as in ``split_by_ids``."""
+    bits = rows.sparkSession.sparkContext.broadcast(_id_bitmap(keys.select(F.col(key).alias("doc_id"))))
+
+    def sieve(keep: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            longs = np.frombuffer(bits.value, np.uint64)
+            for batch in batches:
+                place = batch.column(batch.num_columns - 1).to_numpy()
+                there = (longs[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1
+                yield batch.select(list(range(batch.num_columns - 1))).filter(pa.array(there == keep))
+
+        return run
+
+    placed = rows.select("*", F.pmod(F.xxhash64(key), F.lit(ID_BITS)).alias("__place"))
+    return map_batches(placed, sieve(True), rows.schema), map_batches(placed, sieve(False), rows.schema)
+
+
 def connected_components(edges: DataFrame, label: str) -> DataFrame:
     """(node, component) for the nodes of ``edges`` (a, b), component being the
     smallest node reachable. Alternating large-star and small-star steps: each

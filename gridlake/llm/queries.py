@@ -13,6 +13,7 @@ from gridlake.llm import (
     language,
     near_dedup,
     packing,
+    periodic_runs,
     pii,
     quality_rules,
     substring_dedup,
@@ -131,3 +132,23 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host, path, rule and verdict of every page's url."""
     return url_filter.judge(driver_tables(spark, sf_dir, "pages"))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maximal runs of words in every document, the longest one, and what is left without repeats."""
+    docs = driver_tables(spark, sf_dir, "documents")
+    planted = docs.select("doc_id", periodic_runs.plant_period(F.col("text"), F.col("doc_id")).alias("text"))
+    rows = periodic_runs.periodic_runs(planted).withColumn("best", periodic_runs.longest(F.col("runs")))
+    length, period = F.col("best.length"), -F.col("best.period")
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return rows.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
