@@ -12,6 +12,7 @@ from gridlake.llm import (
     html_text,
     language,
     near_dedup,
+    neighbours,
     packing,
     periodic_runs,
     pii,
@@ -152,3 +153,9 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
     )
+
+
+@query
+def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 rows of largest inner product found for every twentieth embedding."""
+    return neighbours.nearest_neighbours(driver_tables(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
