@@ -221,7 +221,7 @@ def index(rows: DataFrame, keep: int = NEIGHBOURS, shard_nodes: int = SHARD_NODE
     norm = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     nodes = stage(nodes.withColumn("norm", norm), "neighbour-nodes")
     sizes = nodes.groupBy("dim").agg(F.max("norm").alias("largest"), F.ceil(F.count("*") / shard_nodes).alias("shards"))
-    dealt = nodes.join(F.broadcast(sizes), "dim").withColumn("shard", F.pmod(F.xxhash64("vector", "ids"), F.col("shards")))
+    dealt = nodes.join(sizes, "dim").withColumn("shard", F.pmod(F.xxhash64("vector", "ids"), F.col("shards")))
     dealt = dealt.repartition("dim", "shard").sortWithinPartitions("dim", "shard", F.col("ids")[0])
     dealt = dealt.select("dim", "shard", "largest", "ids", "vector")
     return map_batches(dealt, _graphs, "dim int, shard long, nodes long, entry long, vectors binary, ids binary, id_ends binary, edges binary")
@@ -268,7 +268,7 @@ def pack_queries(queries: DataFrame, block_queries: int = BLOCK_QUERIES) -> Data
     """Blocks of queries (id, vector): dim, block, members."""
     sized = queries.withColumn("dim", F.size("vector"))
     blocks = sized.groupBy("dim").agg(F.ceil(F.count("*") / block_queries).alias("blocks"))
-    dealt = sized.join(F.broadcast(blocks), "dim").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    dealt = sized.join(blocks, "dim").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
     return dealt.groupBy("dim", "block").agg(F.array_sort(F.collect_list(F.struct("id", "vector"))).alias("members"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake.llm import (
+    alignment,
     decontaminate,
     html_text,
     language,
@@ -159,3 +160,12 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 rows of largest inner product found for every twentieth embedding."""
     return neighbours.nearest_neighbours(driver_tables(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two tokenisers that share bytes, their groups, and how often their ids are linked."""
+    import public_tokenizers
+
+    paths = [str(public_tokenizers.path(name)) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return alignment.align(driver_tables(spark, sf_dir, "documents"), *paths, with_groups=False)
