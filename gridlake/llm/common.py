@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -51,7 +51,8 @@ _shipped: set[str] = set()
 
 def map_batches(df: DataFrame, run, schema) -> DataFrame:
     """``mapInArrow`` whose workers can import this package, wherever they start:
-    its source goes to them as a Spark file, once per application."""
+    its source goes to them as a Spark file, once per application. What functions of other
+    modules have kept in a reused worker is let go first."""
     context = df.sparkSession.sparkContext
     if context.applicationId not in _shipped:
         archive = Path(tempfile.mkdtemp(prefix="gridlake-code-")) / "gridlake.zip"
@@ -61,7 +62,27 @@ def map_batches(df: DataFrame, run, schema) -> DataFrame:
                 out.write(source, source.relative_to(package.parent))
         context.addPyFile(str(archive))
         _shipped.add(context.applicationId)
-    return df.mapInArrow(run, schema)
+    owner = run.__module__
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_others(owner)
+        yield from run(batches)
+
+    return df.mapInArrow(task, schema)
+
+
+_kept: dict[str, Callable[[], None]] = {}
+
+
+def on_release(owner: str, release: Callable[[], None]) -> None:
+    """``release`` empties what ``owner`` keeps in a worker between its tasks."""
+    _kept[owner] = release
+
+
+def release_others(owner: str) -> None:
+    for name, release in _kept.items():
+        if name != owner:
+            release()
 
 
 def driver_tables(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -203,11 +224,12 @@ def _id_bitmap(ids: DataFrame) -> bytes:
     return longs.tobytes()
 
 
-def split_by_ids(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_by_ids(docs: DataFrame, ids: DataFrame, apply=None, schema="doc_id long, text string") -> tuple[DataFrame, DataFrame]:
     """Documents (doc_id, text) whose id may be among ``ids``, and those whose id is surely not.
 
     The test is a bitmap of fixed size, so what is sent to all tasks does not grow with the
-    data; a full bitmap lets more documents through to the join that follows.
+    data; a full bitmap lets more documents through to the join that follows. ``apply`` maps
+    the batches of the first ones (to ``schema``) in the same worker that sifts them.
     """
     bits = docs.sparkSession.sparkContext.broadcast(_id_bitmap(ids))
 
@@ -222,7 +244,9 @@ def split_by_ids(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]
         return run
 
     placed = docs.select("doc_id", "text", F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(ID_BITS)), F.lit(0)).alias("place"))
-    maybe = map_batches(placed.where("doc_id is not null"), sieve(True), "doc_id long, text string")
+    chosen = sieve(True)
+    run = chosen if apply is None else lambda batches: apply(chosen(batches))
+    maybe = map_batches(placed.where("doc_id is not null"), run, schema)
     surely = map_batches(placed.where("doc_id is not null"), sieve(False), "doc_id long, text string")
     return maybe, surely.union(docs.where("doc_id is null"))
 

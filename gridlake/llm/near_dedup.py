@@ -34,7 +34,9 @@ BAND_ROWS = 5
 BINS = BANDS * BAND_ROWS
 # A block holds about so many nodes and shingles.
 BLOCK_NODES = 512
-BLOCK_SHINGLES = 2_000_000
+BLOCK_SHINGLES = 1_000_000
+# Shingles of a set that are met with the block's sets at once, times these sets.
+MEETINGS = 1 << 18
 HUBS = 64
 
 
@@ -161,9 +163,13 @@ def _forest(texts: list[bytes], names: list[int], words: int, percent: int) -> l
         mine = item_of[low : low + size]
         low += size
         mine = mine[counts[mine] > 1]
-        lengths = counts[mine]
-        steps = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        common = np.bincount(owners_by_item[np.repeat(firsts[mine], lengths) + steps], minlength=len(sets))
+        common = np.zeros(len(sets), np.int64)
+        # A shingle meets at most the block's sets, so a slice has a bounded number of meetings.
+        width = max(1, MEETINGS // len(sets))
+        for part in (mine[k : k + width] for k in range(0, len(mine), width)):
+            lengths = counts[part]
+            steps = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            common += np.bincount(owners_by_item[np.repeat(firsts[part], lengths) + steps], minlength=len(sets))
         alike = np.flatnonzero(100 * common >= percent * (size + sizes - common))
         for y in alike[alike > x]:
             a, b = root(x), root(int(y))
@@ -254,8 +260,7 @@ def near_duplicates(
     hubs = hubs.select(F.col("hub.node").alias("node"), "cluster", "blocks", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("unit"))
     rows = placed.select("node", "cluster", "blocks", "unit", F.lit(False).alias("hub"))
     rows = rows.unionByName(hubs.withColumn("hub", F.lit(True)))
-    wanted, _ = split_by_ids(docs, members.select(F.col("node").alias("doc_id")))
-    texts = map_batches(wanted, _packed, "node long, packed binary")
+    texts, _ = split_by_ids(docs, members.select(F.col("node").alias("doc_id")), _packed, "node long, packed binary")
     units = stage(texts.join(rows, "node"), "near-units")
     links = stage(_block_links(units, words, percent), "near-links")
     components = stage(connected_components(links, "near"), "near-components")

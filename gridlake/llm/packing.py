@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridlake.llm.common import map_batches, stage
+from gridlake.llm.common import map_batches, on_release, stage
 
 SEQUENCE = 2048
 END_ID = 1
@@ -100,6 +100,14 @@ class WordTokens:
 _LOADED: dict[str, WordTokens] = {}
 
 
+def _forget() -> None:
+    for tokens in _LOADED.values():
+        tokens.known.clear()
+
+
+on_release(__name__, _forget)
+
+
 def word_tokens(path: str) -> WordTokens:
     if path not in _LOADED:
         _LOADED[path] = WordTokens(path)

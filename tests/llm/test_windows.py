@@ -7,9 +7,9 @@ from dataclasses import replace
 import numpy as np
 import pyarrow as pa
 import pytest
+from brute_text import brute_repeats, words_of
 
 from gridlake.llm import substring_dedup, suffix_dedup, windows
-from test_documents import brute_repeats, words_of
 
 LINE = "this one line of words stands in very many documents between others, each its own"
 
