@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.operators.joins import affected_elements, spread_join
+from gridlake.operators.series import each_step
 
 # Probability and severity of single outages, the capacity above
 # which a unit counts as large, the weight of a contingency's cost, and the
@@ -112,9 +113,9 @@ def base_dispatch(
     ``cost`` may price the output from the unit's curve instead.
     """
     power = midpoint(pmin, pmax)
-    return generators.select(
+    return each_step(generators, steps, "time_step", 1).select(
         *keep,
-        F.explode(F.sequence(F.lit(1), F.lit(steps))).alias("time_step"),
+        "time_step",
         F.col(name).alias("generator_id"),
         F.lit(BASE).alias("scenario_type"),
         power.alias("active_power_mw"),

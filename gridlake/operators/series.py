@@ -1,7 +1,8 @@
 """Hourly series: time axes, profiles, area loads, simulated measurements.
 
-A series is made by exploding each component into its hours, so the work is one
-row per component and hour; no component-to-component product is formed.
+A series is made by exploding each component into blocks of hours, dealing the
+blocks out to all tasks, and exploding them there: a component table is small and
+often one partition, its series is neither. No component-to-component product is formed.
 """
 
 from __future__ import annotations
@@ -29,12 +30,33 @@ SERIES_START = "2024-01-01 00:00:00"
 HOURS_PER_YEAR = 8760
 THERMAL_LOADING = 0.7
 NOMINAL_HZ = 60.0
+# Steps that one task makes of a row at a time.
+BLOCK_STEPS = 168
+
+
+def each_step(df: DataFrame, steps: int, output: str = "hour_index", first: int = 0) -> DataFrame:
+    """Each row once per step ``first``, ``first + 1``, ...; ``steps`` in all, none below 1.
+
+    The rows of one block of steps are dealt to a task by the hash of their columns and
+    the block, so a table of one partition, or of one row, is spread as well.
+    """
+    if steps < 1:
+        return df.withColumn(output, F.lit(first)).limit(0)
+    spark = df.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    last = F.lit(steps - 1)
+    block = F.explode(F.sequence(F.lit(0), F.lit((steps - 1) // BLOCK_STEPS)))
+    dealt = df.withColumn("_block", block).repartition(tasks, F.xxhash64(*columns, "_block"))
+    start = F.col("_block") * BLOCK_STEPS
+    inside = F.sequence(start, F.least(start + F.lit(BLOCK_STEPS - 1), last))
+    step = F.explode(F.transform(inside, lambda i: i + F.lit(first)) if first else inside)
+    return dealt.withColumn(output, step).drop("_block")
 
 
 def with_hours(df: DataFrame, hours: int, start: str = SERIES_START) -> DataFrame:
     """Each row once per hour, with ``hour_index`` and ``time``."""
-    exploded = df.withColumn("hour_index", F.explode(F.sequence(F.lit(0), F.lit(hours - 1))))
-    return exploded.withColumn("time", hours_after(F.col("hour_index"), start))
+    return with_time(each_step(df, hours), start)
 
 
 def with_time(df: DataFrame, start: str = SERIES_START) -> DataFrame:
@@ -69,9 +91,7 @@ def scale_profile(
 def constant_series(units: DataFrame, hours: int = HOURS_PER_YEAR) -> DataFrame:
     """Every hour at 70 % of the unit's range."""
     level = in_range(F.lit(THERMAL_LOADING), F.col("pmin"), F.col("pmax"))
-    return units.withColumn("active_power_mw", level).withColumn(
-        "hour_index", F.explode(F.sequence(F.lit(0), F.lit(hours - 1)))
-    )
+    return each_step(units.withColumn("active_power_mw", level), hours)
 
 
 def shared_profile(
@@ -87,9 +107,7 @@ def shared_profile(
     measured sizes of the counts per case and of the profile and broadcasts them.
     """
     shares = units.groupBy(*case).agg(F.count(F.lit(1)).alias("_units"))
-    hourly = units.join(shares, list(case)).withColumn(
-        "hour_index", F.explode(F.sequence(F.lit(0), F.lit(hours - 1)))
-    )
+    hourly = each_step(units.join(shares, list(case)), hours)
     values = profile.filter(F.col("hour_index") < hours).select(
         "hour_index", F.col(f"`{column}`").alias("_share")
     )

@@ -95,14 +95,16 @@ def read_profiles(
 
 
 def profile_stems(spark: SparkSession, folder: str) -> DataFrame:
-    """``(stem, rows)`` of the profile files in a folder; empty if there is none."""
+    """``(stem, rows)`` of the profiles in a folder, each one file or a folder of several
+    with the profile's name; empty if there is none."""
+    reader = spark.read.option("header", True).option("pathGlobFilter", "*.csv")
     try:
-        lines = spark.read.option("header", True).option("pathGlobFilter", "*.csv").csv(folder)
+        lines = reader.option("recursiveFileLookup", True).csv(folder)
     except AnalysisException as error:
         if not is_missing_path(error):
             raise
         return spark.createDataFrame([], "stem string, rows bigint")
-    name = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.csv$", 1)
+    name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.csv(?:/part-[^/]*)?$", 1)
     return lines.groupBy(name.alias("stem")).agg(F.count(F.lit(1)).alias("rows"))
 
 
