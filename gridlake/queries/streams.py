@@ -10,7 +10,9 @@ from gridlake.operators import quality as q
 from gridlake.operators import rollups
 from gridlake.queries.registry import Tables, as_of, query, rounded
 from gridlake.session import fresh_path
+from gridlake.streaming import first_writes as first
 from gridlake.streaming import measurements as st
+from gridlake.streaming import partials
 
 
 def _stream(t: Tables) -> DataFrame:
@@ -91,10 +93,43 @@ def stream_dedupe(t):
     """Every event arrives twice and is kept once, however the input is cut into batches."""
     twice = _stream(t).select(
         "event_id", F.col("ts").alias("time"), F.col("user_id").alias("bus_id"), "value",
-        F.explode(F.array(F.lit(1), F.lit(2))).alias("copy"),
+        F.explode(F.array(F.lit(1), F.lit(2))).alias("arrival"),
     )
-    stored, _ = _unseen(t, twice.drop("copy"), ["time", "bus_id", "event_id"])
-    return _naive(stored.drop("batch", "date"), "time")
+    stored, _ = _first(t, twice, ["time", "bus_id", "event_id"], arrival="arrival")
+    return _naive(stored.filter("arrival = 1").drop("batch", "date", "arrival"), "time")
+
+
+@query("stream_copies", """
+SELECT user_id AS bus_id, count(*) AS copies, min(event_id) AS first_event FROM (
+  SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id, date_trunc('hour', ts) ORDER BY event_id) AS n
+  FROM events) WHERE n > 1 GROUP BY 1""")
+def stream_copies(t):
+    """Side output: rows of a bus after the first to arrive in an hour."""
+    rows = _stream(t).select("event_id", F.date_trunc("hour", "ts").alias("time"), F.col("user_id").alias("bus_id"))
+    out, checkpoint = fresh_path(t.spark, "rows"), fresh_path(t.spark, "rows-checkpoint")
+    first.store_first(rows, out, checkpoint, ["time", "bus_id"], arrival="event_id").awaitTermination()
+    found = first.stored_rows(t.spark, out, rows.schema, "copies")
+    return found.groupBy("bus_id").agg(F.count(F.lit(1)).alias("copies"), F.min("event_id").alias("first_event"))
+
+
+@query("stream_late", """
+WITH marks AS (SELECT event_id % 3 AS batch, max(ts) AS newest FROM events GROUP BY 1),
+seen AS (SELECT batch, max(newest) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM marks)
+SELECT date_trunc('day', ts) AS day, count(*) AS late_rows
+FROM events JOIN seen ON seen.batch = event_id % 3 WHERE ts < seen - INTERVAL 3 HOUR GROUP BY 1""")
+def stream_late(t):
+    """Side output: rows more than three hours behind what earlier batches have shown."""
+    folder = fresh_path(t.spark, "late")
+    events = t.events.select("event_id", F.col("ts").cast("timestamp").alias("time"), F.col("user_id").alias("bus_id"))
+    for batch in range(3):
+        events.filter(F.col("event_id") % 3 == batch).coalesce(1).write.parquet(f"{folder}/{batch}")
+    rows = st.file_stream(t.spark, f"{folder}/*", events.schema, files_per_trigger=1)
+    out, checkpoint = fresh_path(t.spark, "rows"), fresh_path(t.spark, "rows-checkpoint")
+    keys = ["time", "bus_id", "event_id"]
+    first.store_first(rows, out, checkpoint, keys).awaitTermination()
+    late = first.late_rows(first.stored_rows(t.spark, out, rows.schema), F.expr("INTERVAL 3 HOURS"))
+    days = late.groupBy(F.date_trunc("day", "time").alias("day")).agg(F.count(F.lit(1)).alias("late_rows"))
+    return _naive(days, "day")
 
 
 @query("stream_alerts", """
@@ -120,12 +155,13 @@ def stream_rerun_requests(t):
     return requests.select("bus_id").distinct()
 
 
-def _unseen(t: Tables, rows: DataFrame, keys: list[str], rollup=None, bucket: str = ""):
-    """Stored rows, and the rollup that went along with them."""
+def _first(t: Tables, rows: DataFrame, keys: list[str], rollup: partials.Rollup | None = None, arrival: str | None = None):
+    """Stored rows, and the rollup whose parts went along with them."""
     out, target, checkpoint = (fresh_path(t.spark, x) for x in ("rows", "rollup", "rows-checkpoint"))
-    refresh = [(rollup, target, bucket)] if rollup else []
-    st.store_unseen(rows, out, checkpoint, keys, refresh=refresh).awaitTermination()
-    return t.spark.read.parquet(out), t.spark.read.parquet(target) if rollup else None
+    rollups = [(rollup, target)] if rollup else []
+    first.store_first(rows, out, checkpoint, keys, arrival, rollups=rollups).awaitTermination()
+    rolled = partials.read_rollup(t.spark, target, rows.schema, rollup) if rollup else None
+    return first.stored_rows(t.spark, out, rows.schema), rolled
 
 
 def _rollup_input(df: DataFrame, *more: str) -> DataFrame:
@@ -146,9 +182,9 @@ SELECT date_trunc('hour', ts) AS bucket, user_id AS bus_id, event_type AS case_n
        count(*) AS measurement_count
 FROM events GROUP BY 1, 2, 3""")
 def stream_hourly(t):
-    """Hourly rollup kept complete while rows are stored."""
+    """Hourly rollup kept as mergeable parts while rows are stored."""
     rows = _rollup_input(_stream(t), "event_id")
-    _, rolled = _unseen(t, rows, ["time", "bus_id", "event_id"], rollups.hourly_rollup, "bucket")
+    _, rolled = _first(t, rows, ["time", "bus_id", "event_id"], partials.HOURLY)
     return _naive(rounded(rolled, "avg_voltage"), "bucket").select(
         "bucket", "bus_id", "case_name", "avg_voltage", "min_voltage", "max_voltage",
         "measurement_count",
@@ -160,15 +196,18 @@ SELECT date_trunc('day', ts) AS day, user_id AS generator_id, max(value) AS peak
        round(sum(value), 4) AS total_generation_mwh
 FROM events GROUP BY 1, 2""")
 def stream_daily(t):
-    """Daily statistics kept complete while rows are stored."""
-
-    def daily(rows: DataFrame) -> DataFrame:
-        return rollups.daily_stats(rows, ["generator_id"], power="value", cost="value")
-
+    """Daily statistics kept as mergeable parts while rows are stored."""
+    daily = partials.Rollup(
+        ("generator_id",),
+        width="1 day",
+        bucket="day",
+        sums={"total_generation_mwh": "value"},
+        highs={"peak_generation": "value"},
+    )
     rows = _stream(t).select(
         F.col("ts").alias("time"), F.col("user_id").alias("generator_id"), "value", "event_id"
     )
-    _, rolled = _unseen(t, rows, ["time", "generator_id", "event_id"], daily, "day")
+    _, rolled = _first(t, rows, ["time", "generator_id", "event_id"], daily)
     return _naive(rounded(rolled, "total_generation_mwh"), "day").select(
         "day", "generator_id", "peak_generation", "total_generation_mwh"
     )
