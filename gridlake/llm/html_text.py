@@ -105,16 +105,57 @@ DROPPED = frozenset(
 RAW = frozenset("script style textarea title iframe noscript".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CHROME = frozenset("nav header footer aside form menu dialog fieldset search".split())
-BAD_NAMES = re.compile(
-    r"(?i)(?:^|[\s_-])(?:ads?|advert\w*|advertisement|adsense|banner|breadcrumbs?|comments?|comment-?list|consent|cookies?|copyright|"
-    r"disqus|footer|header|login|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|overlay|pagination|popup|promo\w*|"
-    r"recommend\w*|related|replies|reply|respond|search|share|sharing|sidebar|signup|skip|social|sponsor\w*|subscribe|subscription|"
-    r"teaser|toolbar|tracking|warning|widget)(?:$|[\s_-])"
+# Words of class and id names, and those that turn a name into a remark on the layout.
+BAD_WORDS = re.compile(
+    r"ads?|advert\w*|adsense|banner|breadcrumbs?|comments?|consent|cookies?|copyright|disqus|footer|header|login|masthead|menu|modal|"
+    r"nav|navbar|navigation|newsletter|notice|overlay|pagination|popup|promo\w*|recommend\w*|related|replies|reply|respond|search|"
+    r"share|sharing|sidebar|signup|skip|social|sponsor\w*|subscribe|subscription|teaser|toolbar|tracking|warning|widget"
 )
+LAYOUT_WORDS = frozenset("no not non has have with without is hide hides".split())
 GOOD_NAMES = re.compile(r"(?i)(?:^|[\s_-])(?:article|body|content|entry|main|post|story|text)(?:$|[\s_-])")
 BAD_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)(?:>|(?=<)|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"([A-Za-z_:][\w:.-]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+# A quote belongs to a value only behind an equals sign; elsewhere it is a character like any other.
+_TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|"
+    r"<(/?)([A-Za-z][A-Za-z0-9:-]*)((?>=\s*\"[^\"]*\"|=\s*'[^']*'|[^<>])*+)(?:>|(?=<)|\Z)",
+    re.S,
+)
+_ATTRIBUTE = re.compile(r"([A-Za-z_:][\w:.-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+# Elements that end an open paragraph, and for the others with implied ends: what they end, within what.
+ENDS_P = frozenset(
+    "address article aside blockquote center details dialog dir div dl dd dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
+    "header hgroup hr li main menu nav ol p pre search section summary table ul".split()
+)
+_ROWS = frozenset("tr tbody thead tfoot".split())
+IMPLIED = {
+    "li": (frozenset(["li"]), frozenset("ul ol menu dir".split())),
+    "dt": (frozenset("dt dd".split()), frozenset(["dl"])),
+    "dd": (frozenset("dt dd".split()), frozenset(["dl"])),
+    "td": (frozenset("td th".split()), frozenset(["table"]) | _ROWS),
+    "th": (frozenset("td th".split()), frozenset(["table"]) | _ROWS),
+    "tr": (frozenset("tr td th".split()), frozenset(["table"])),
+    "tbody": (_ROWS | frozenset("td th".split()), frozenset(["table"])),
+    "thead": (_ROWS | frozenset("td th".split()), frozenset(["table"])),
+    "tfoot": (_ROWS | frozenset("td th".split()), frozenset(["table"])),
+}
+
+
+def _is_bad(names: str) -> bool:
+    """Whether a class or id names an advert, a notice, a menu and the like."""
+    for name in names.lower().split():
+        words = re.split(r"[_-]+", name)
+        if any(BAD_WORDS.fullmatch(w) for w in words) and not LAYOUT_WORDS.intersection(words):
+            return True
+    return False
+
+
+def _is_hidden(found: dict[str, str]) -> bool:
+    shown = found.get("aria-hidden", "").lower() != "true" and not re.search(r"display\s*:\s*none", found.get("style", ""), re.I)
+    return "hidden" in found or not shown
+
+
+def _attributes(source: str) -> dict[str, str]:
+    return {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(source)}
 
 
 class _Page:
@@ -153,20 +194,57 @@ class _Page:
             article = 1
         elif name in CHROME:
             chrome = 1
-        if attributes.strip():
-            found = {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(attributes)}
+        # What is said of the whole page says nothing of its parts.
+        if attributes.strip() and name not in ("html", "body"):
+            found = _attributes(attributes)
             names = " ".join((found.get("class", ""), found.get("id", "")))
             if found.get("role", "").lower() in BAD_ROLES:
                 chrome = 1
-            if "hidden" in found or found.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", found.get("style", "")):
+            if _is_hidden(found):
                 dropped = 1
-            if BAD_NAMES.search(names):
+            if _is_bad(names):
                 bad = 1
             elif GOOD_NAMES.search(names):
                 good = 1
         self.open.append((name, before))
         self.state = (article, chrome, bad, good, dropped)
 
+    def enter_inline(self, name: str, attributes: str) -> None:
+        """Hidden text inside a block, and adverts there, are left out."""
+        found = _attributes(attributes)
+        names = " ".join((found.get("class", ""), found.get("id", "")))
+        if _is_hidden(found) or name in ("span", "ins") and _is_bad(names):
+            self.open.append((name, self.state))
+            self.state = (*self.state[:4], 1)
+
+    def leave_inline(self, name: str) -> None:
+        for place in range(len(self.open) - 1, -1, -1):
+            if self.open[place][0] == name:
+                self.state = self.open[place][1]
+                del self.open[place:]
+                return
+            if self.open[place][0] not in INLINE:
+                return
+
+    def end_implied(self, name: str) -> None:
+        """End what an opening ``name`` ends without a closing tag."""
+        if name in ENDS_P:
+            place = len(self.open) - 1
+            while place >= 0 and self.open[place][0] in INLINE:
+                place -= 1
+            if place >= 0 and self.open[place][0] == "p":
+                self.leave("p")
+        ended, within = IMPLIED.get(name, ((), ()))
+        last = None
+        for place in range(len(self.open) - 1, -1, -1):
+            if self.open[place][0] in within:
+                break
+            if self.open[place][0] in ended:
+                last = place
+        if last is not None:
+            self.state = self.open[last][1]
+            del self.open[last:]
+
     def leave(self, name: str) -> None:
         for place in range(len(self.open) - 1, -1, -1):
             if self.open[place][0] == name:
@@ -186,10 +264,13 @@ class _Page:
             if token[2] is None:
                 continue
             name, closing = token[2].lower(), bool(token[1])
-            if name == "a":
-                self.links = 0 if closing else 1
-                continue
             if name in INLINE:
+                if name == "a":
+                    self.links = 0 if closing else 1
+                if closing:
+                    self.leave_inline(name)
+                elif token[3].strip() and name not in VOID:
+                    self.enter_inline(name, token[3])
                 continue
             if name == "br":
                 self.pieces.append(" ")
@@ -197,11 +278,12 @@ class _Page:
             self.close()
             self.heading = int(not closing and name in ("h1", "h2", "h3", "h4", "h5", "h6"))
             self.item = int(not closing and name in ("li", "dd", "dt", "td", "th"))
-            if name in VOID or name == "p":
-                continue
             if closing:
                 self.leave(name)
                 continue
+            self.end_implied(name)
+            if name in VOID:
+                continue
             if token[3].rstrip().endswith("/"):
                 continue
             if name == "body":
@@ -267,7 +349,8 @@ def main_text(pages: DataFrame, model=None, **columns) -> DataFrame:
 
     Blocks that the tree takes for content, joined in page order by one space; inside a block
     character references are decoded and white space becomes one space. Null or empty html, and
-    pages without content, give an empty text. Broken markup ends at the next tag or the end.
+    pages without content, give an empty text. Broken markup ends at the next tag or the end; ends
+    that HTML implies are implied. A long page is read whole, in one pass.
     Repeated rows, null ids and null urls come back as they are; an empty table gives no rows;
     other columns are not read.
     """

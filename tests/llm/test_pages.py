@@ -26,8 +26,53 @@ def test_main_text(spark):
     assert html_text.main_text(pages.limit(0)).count() == 0
 
 
+LONG = "This is a sentence of the article that says something at length."
+ARTICLE = f"<article><h1>Head</h1><p>{LONG}</p>{{}}<p>{LONG}</p></article>"
+
+
+def around(middle):
+    return f"Head {LONG} {middle} {LONG}" if middle else f"Head {LONG} {LONG}"
+
+
+# Markup inside an article, and the text that it adds between the two paragraphs.
+INSIDE = [
+    ("<p hidden>secret</p>", ""),
+    ("<p hidden=hidden>secret<p>Seen here.", "Seen here."),
+    ('<p class="advert">Buy now</p>', ""),
+    ("<p class=x don't><p>It's two</p>", "It's two"),
+    ("<p title='a > b'>Text one</p>", "Text one"),
+    ('<p title="it\'s <b>">Text two</p>', "Text two"),
+    ("<p class=\"open>Text three</p>", "Text three"),
+    ('<p>Before <span style="display: none">gone</span>after</p>', "Before after"),
+    ('<p>Before <span aria-hidden="true">gone <b>bold</b></span>after</p>', "Before after"),
+    ('<p>Before <span class="sponsored">gone</span> after</p>', "Before after"),
+    ("<p>Unclosed <span hidden>gone<p>Next one</p>", "Unclosed Next one"),
+    ('<p>A <a href="x" class="nav-link">link</a> stays</p>', "A link stays"),
+    ("<ul><li class=share>Share<li>First item<li>Second item</ul>", "First item Second item"),
+    ("<ol><li>One<ul><li class='ad'>Ad</ul><li>Two</ol>", "One Two"),
+    ("<dl><dt class=ad>Term<dd>Meaning one<dt>Other<dd hidden>Gone<dd>Meaning two</dl>", "Meaning one Other Meaning two"),
+    ("<table><tr><td hidden>gone<td>Cell one<tr class=advert><td>gone<tr><td>Cell two</table>", "Cell one Cell two"),
+    ("<div class='has-sidebar'><p>Kept text here</p></div>", "Kept text here"),
+    ("<div class='no-comments'><p>Kept text too</p></div>", "Kept text too"),
+    ("<div id='cookie-notice'><p>We use cookies</p></div>", ""),
+    ("<div class='post_comments'><p>I disagree</p></div>", ""),
+    ("<p>Ends here<div>Division of text</div>", "Ends here Division of text"),
+    ("<p>One<br>line &lt;p&gt; &amp;amp;</p>", "One line <p> &amp;"),
+    ("</span></p></li><p>After stray ends</p>", "After stray ends"),
+    ("<!-- <p>no</p> --><p>Seen <!-- x -->text</p>", "Seen text"),
+    ("<p>if a < b and c > d then</p>", "if a < b and c > d then"),
+]
+
+
+@pytest.mark.parametrize("body", ["<body>", '<body class="post no-sidebar">', "<body class=sidebar id=comments>", "<html class='ads'><body hidden>"])
+def test_markup_inside_an_article(spark, body):
+    pages = [(k, "u", f"{body}<nav><a href=/>Home</a></nav>{ARTICLE.format(markup)}<footer>End</footer>") for k, (markup, _) in enumerate(INSIDE)]
+    got = html_text.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == {k: around(text) for k, (_, text) in enumerate(INSIDE)}
+
+
 def test_long_and_broken_markup():
-    for source in ("<" * 5000, "<p " + "x" * 100_000, "<div>" * 20_000 + "text", "&" * 1000 + "<!-- open", "<a <b <c>d"):
+    for source in ("<" * 5000, "<p " + "x" * 100_000, "<div>" * 20_000 + "text", "&" * 1000 + "<!-- open", "<a <b <c>d", "<p a='" * 20_000, "<p =\"" * 20_000, "<li>" * 5000, "<span hidden>" * 5000):
         html_text._rows(source)
 
 
