@@ -1,14 +1,15 @@
 """URL verdicts from rules and from a path-template tree per host.
 
 Rules decide first: the longest that fits wins. Their verdicts are also the labels of
-the tree. The tree is grown level by level with one aggregation and one join each: a
-position of a path with many different segments becomes a wildcard that keeps the file
-ending, and literal branches whose labels do not differ from their parent's are merged
-into one. A template's purity is the share of blocked among its labelled URLs, smoothed
-towards its parent's, and templates that are pure enough are rejected.
-
-All steps work on distinct (host, path) with counts, so repeated URLs cost one row, and
-only sums are grouped, so a host of any size is added up in parts.
+the tree. The tree is grown level by level, until no template holds two URLs that go on:
+a position of a path with many different segments becomes a wildcard that keeps the file
+ending; literal branches whose labels do not differ from their parent's are merged into
+one, and of the others, in order of their rates, neighbours that do not differ are merged.
+A template's purity is the share of blocked among its labelled URLs, smoothed towards its
+parent's, and templates that are pure enough are rejected.
+
+All steps count distinct (host, path), so repeated URLs change nothing, and only sums are
+grouped, so a host of any size is added up in parts.
 """
 
 from __future__ import annotations
@@ -16,15 +17,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridlake.llm.common import ascii_lower, hold, stage
 
-DEPTH = 4
-# A position is variable if its parent has more different segments than this, and more
-# than this share of its URLs.
-VARIABLE = (8, 0.2)
+# A position is variable if its parent has more different segments than the first number, and
+# they make up more than the second share of the paths below, or more than the third share
+# of them has a digit.
+VARIABLE = (8, 0.2, 0.5)
 SMOOTHING = 10.0
 REJECT = 0.8
 # Standard errors by which a branch must differ from its parent to stay apart.
@@ -79,45 +80,80 @@ def _wild(segment: Column) -> Column:
     return F.concat(F.lit(WILDCARD), F.regexp_extract(segment, r"(\.[A-Za-z0-9]{1,5})$", 1))
 
 
-def templates(parsed: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """host, path, template, purity for every distinct host and path. Segments beyond
-    ``depth`` belong to the template of the first ``depth``."""
-    label = F.when(F.col("given") == "block", 1).when(F.col("given") == "allow", 0)
-    urls = parsed.groupBy("host", "path").agg(
-        F.count("*").alias("urls"), F.count(label).alias("labelled"), F.sum(F.coalesce(label, F.lit(0))).alias("blocked")
+def _merged_branches(sums: DataFrame) -> DataFrame:
+    """(template, branch, merged) from the labels (l, b) of branches and their parent's purity p.
+
+    A wildcard stays. A literal branch without labels, or with a rate like its parent's, is
+    merged into one rest; the others are ordered by rate and cut where two neighbours differ.
+    """
+    rate = F.col("b") / F.greatest("l", F.lit(1))
+    spread = lambda of: F.greatest(of * (1 - of), F.lit(0.01)) / F.greatest("l", F.lit(1))
+    wild = F.col("branch").startswith(WILDCARD)
+    apart = (F.col("l") > 0) & (F.abs(rate - F.col("p")) > APART * F.sqrt(spread(F.col("p"))))
+    sums = sums.withColumns({"rate": rate, "error": spread(rate), "apart": apart & ~wild})
+    by_rate = Window.partitionBy("template", "apart").orderBy("rate", "branch")
+    gap = F.col("rate") - F.lag("rate").over(by_rate)
+    fresh = F.coalesce(gap > APART * F.sqrt(F.col("error") + F.lag("error").over(by_rate)), F.lit(True))
+    sums = sums.withColumn("_fresh", fresh.cast("int")).withColumn("part", F.sum("_fresh").over(by_rate))
+    alike = Window.partitionBy("template", "apart", "part")
+    named = F.when(F.count("*").over(alike) > 1, F.concat(F.lit(MERGED), F.min("branch").over(alike))).otherwise(F.col("branch"))
+    return sums.select(
+        "template", "branch", F.when(wild, F.col("branch")).when(F.col("apart"), named).otherwise(MERGED).alias("merged")
     )
+
+
+def _smoothed(tree: DataFrame) -> DataFrame:
+    """The tree with every template's purity, from its own labels and its parent's purity."""
+    sums = tree.groupBy("template").agg(F.count("label").alias("l"), F.sum(F.coalesce("label", F.lit(0))).alias("b"))
+    smooth = (F.col("b") + SMOOTHING * F.col("purity")) / (F.col("l") + SMOOTHING)
+    return tree.join(sums, "template").withColumn("purity", smooth).drop("l", "b")
+
+
+def templates(parsed: DataFrame) -> DataFrame:
+    """host, path, template, purity for every distinct host and path.
+
+    A template with one path is not split further. There are as many levels as the deepest
+    template of two paths has segments.
+    """
+    label = F.when(F.col("given") == "block", 1).when(F.col("given") == "allow", 0)
+    urls = parsed.groupBy("host", "path").agg(F.max(label).alias("label"))
     parts = F.filter(F.split(F.regexp_replace("path", "^/", ""), "/", -1), lambda s: s != "")
-    total = urls.agg(((F.sum("blocked") + 1) / (F.sum("labelled") + 2)).alias("rate")).first()["rate"]
+    labelled = F.count("label")
+    total = urls.agg(((F.sum("label") + 1) / (labelled + 2)).alias("rate")).first()["rate"]
     start = F.lit(0.5 if total is None else total)
-    tree = stage(urls.withColumns({"parts": parts, "template": F.col("host"), "purity": start}), "url-tree")
-    for level in range(depth + 1):
-        keys = ["template"]
-        if level:
-            segment = F.get("parts", F.lit(level - 1))
-            spread = tree.where(segment.isNotNull()).groupBy(*keys, segment.alias("segment")).agg(F.sum("urls").alias("urls"))
-            spread = spread.groupBy(*keys).agg(F.count("*").alias("different"), F.sum("urls").alias("under"))
-            variable = (F.col("different") > VARIABLE[0]) & (F.col("different") > VARIABLE[1] * F.col("under"))
-            tree = tree.join(spread.select(*keys, variable.alias("variable")), keys, "left")
-            branch = F.when(F.col("variable"), _wild(segment)).otherwise(segment)
-            tree = hold(tree.withColumn("branch", branch).drop("variable"))
-            sums = tree.where("branch is not null").groupBy("template", "branch").agg(
-                F.sum("labelled").alias("l"), F.sum("blocked").alias("b"), F.first("purity").alias("p")
-            )
-            error = F.sqrt(F.greatest(F.col("p") * (1 - F.col("p")), F.lit(0.01)) / F.greatest("l", F.lit(1)))
-            apart = (F.col("l") > 0) & (F.abs(F.col("b") / F.greatest("l", F.lit(1)) - F.col("p")) > APART * error)
-            wild = F.col("branch").startswith(WILDCARD)
-            named = sums.select("template", "branch", F.when(apart | wild, F.col("branch")).otherwise(MERGED).alias("merged"))
-            tree = tree.join(named, ["template", "branch"], "left")
-            tree = tree.withColumn("template", F.when(F.col("merged").isNull(), F.col("template")).otherwise(F.concat_ws("/", "template", "merged")))
-            tree = stage(tree.drop("branch", "merged"), "url-tree")
-        sums = tree.groupBy("template").agg(F.sum("labelled").alias("l"), F.sum("blocked").alias("b"))
-        tree = tree.join(sums, "template")
-        smooth = (F.col("b") + SMOOTHING * F.col("purity")) / (F.col("l") + SMOOTHING)
-        tree = stage(tree.withColumn("purity", smooth).drop("l", "b"), "url-tree")
+    tree = urls.withColumns({"parts": parts, "template": F.col("host"), "purity": start})
+    tree = stage(_smoothed(stage(tree, "url-tree")), "url-tree")
+    level = 0
+    while True:
+        segment = F.get("parts", F.lit(level))
+        segments = tree.where(segment.isNotNull()).groupBy("template", segment.alias("segment")).agg(F.count("*").alias("paths"))
+        spread = segments.groupBy("template").agg(
+            F.count("*").alias("different"), F.sum("paths").alias("under"), F.count_if(F.col("segment").rlike("[0-9]")).alias("digits")
+        )
+        paths = tree.groupBy("template").agg(F.count("*").alias("paths")).where("paths > 1").select("template")
+        many = (F.col("different") > VARIABLE[1] * F.col("under")) | (F.col("digits") > VARIABLE[2] * F.col("different"))
+        variable = (F.col("different") > VARIABLE[0]) & many
+        spread = stage(spread.join(paths, "template").select("template", variable.alias("variable")), "url-spread")
+        if spread.isEmpty():
+            break
+        tree = tree.join(spread, "template", "left")
+        branch = F.when(F.col("variable"), _wild(segment)).when(~F.col("variable"), segment)
+        tree = hold(tree.withColumn("branch", branch).drop("variable"))
+        sums = tree.where("branch is not null").groupBy("template", "branch").agg(
+            F.count("label").alias("l"), F.sum(F.coalesce("label", F.lit(0))).alias("b"), F.first("purity").alias("p")
+        )
+        tree = tree.join(_merged_branches(sums), ["template", "branch"], "left")
+        longer = F.concat_ws("/", "template", "merged")
+        tree = tree.withColumn("template", F.when(F.col("merged").isNull(), F.col("template")).otherwise(longer))
+        # Paths that end here keep the purity they have.
+        moved = stage(tree.withColumn("moved", F.col("merged").isNotNull()).drop("branch", "merged"), "url-tree")
+        grown = _smoothed(moved.where("moved")).select(*moved.columns).unionByName(moved.where("NOT moved"))
+        tree = stage(grown.drop("moved"), "url-tree")
+        level += 1
     return tree.select("host", "path", "template", F.round("purity", 9).alias("purity"))
 
 
-def judge(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", rules: Sequence[Rule] = RULES, depth: int = DEPTH) -> DataFrame:
+def judge(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", rules: Sequence[Rule] = RULES) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict, template, purity.
 
     The verdict is the rule's, else ``block`` for templates whose smoothed purity is at
@@ -127,7 +163,7 @@ def judge(pages: DataFrame, id_column: str = "page_id", url_column: str = "url",
     their length.
     """
     parsed = parse(pages, id_column, url_column, rules)
-    known = templates(parsed, depth)
+    known = templates(parsed)
     rows = parsed.join(known, ["host", "path"], "left")
     own = F.when(F.col("purity") >= REJECT, "block").otherwise("allow")
     return rows.select("page_id", "host", "path", "rule", F.coalesce("given", own).alias("verdict"), "template", "purity")
