@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gridlake.functions.scalars import power_factor
 from gridlake.operators.ordered import (
     number_bucket,
-    time_bucket,
+    spread_ranges,
     with_previous,
     with_running_sum,
 )
@@ -41,10 +41,11 @@ def ramp_rates(
     order: Sequence[str] | None = None,
     bucket: Column | None = None,
 ) -> DataFrame:
-    """Change of output per hour since the unit's previous row."""
-    stepped = with_previous(
-        df, entity, order or [time], [time, power], bucket if bucket is not None else time_bucket(time)
-    )
+    """Change of output per hour since the unit's previous row. Without a ``bucket`` the rows
+    are cut into days, and days of many rows into ranges."""
+    if bucket is None:
+        df, bucket = spread_ranges(df, entity, time)
+    stepped = with_previous(df, entity, order or [time], [time, power], bucket).drop("_range")
     hours = _hours_between(F.col(f"prev_{time}"), F.col(time))
     return stepped.withColumn(
         "ramp_rate_actual",
@@ -173,13 +174,10 @@ def gap_report(
     bucket: Column | None = None,
 ) -> DataFrame:
     """Rows, span, widest gap and gaps above the limit per entity."""
-    stepped = with_previous(
-        df.select(*entity, *dict.fromkeys([time, *(order or [])])),
-        entity,
-        order or [time],
-        [time],
-        bucket if bucket is not None else time_bucket(time),
-    )
+    rows = df.select(*entity, *dict.fromkeys([time, *(order or [])]))
+    if bucket is None:
+        rows, bucket = spread_ranges(rows, entity, time)
+    stepped = with_previous(rows, entity, order or [time], [time], bucket)
     gap = _hours_between(F.col(f"prev_{time}"), F.col(time))
     report = stepped.groupBy(*entity).agg(
         F.count(F.lit(1)).alias("rows"),

@@ -17,10 +17,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from gridlake.session import fresh_path
+
 _BUCKET = "_bucket"
 _CELL = "_cell"
 
 
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def time_bucket(column: str, unit: str = "day") -> Column:
     """Bucket for data ordered by time.
 
@@ -37,6 +46,45 @@ def number_bucket(column: str, width: int = 100_000) -> Column:
     return number - F.pmod(number, F.lit(width))
 
 
+# Rows of a cell that one task should sort.
+RANGE_ROWS = 100_000
+_RANGE = "_range"
+
+
+def spread_ranges(
+    df: DataFrame,
+    keys: Sequence[str],
+    by: str,
+    bucket: Column | None = None,
+    slot: Column | None = None,
+    most: int | None = None,
+) -> tuple[DataFrame, Column]:
+    """The rows with ``_range``, and a bucket that cuts large cells into ranges of about ``most``
+    rows (RANGE_ROWS without it).
+
+    Rows are counted per cell and ``slot`` (a minute of ``by``), a combinable sum; the running
+    count over a cell's slots gives the splitters. Only cells above ``most`` have ranges, and
+    where there are none the rows are not joined with anything. Rows of one slot stay together.
+    """
+    most = RANGE_ROWS if most is None else most
+    base = time_bucket(by) if bucket is None else bucket
+    at = F.date_trunc("minute", F.col(by)) if slot is None else slot
+    cell = F.struct(*[F.col(k) for k in keys], base.alias(_BUCKET))
+    counted = df.groupBy(cell.alias(_CELL), at.alias("_slot")).agg(F.count(F.lit(1)).alias("_n"))
+    inside = Window.partitionBy(_CELL)
+    before = F.sum("_n").over(inside.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1))
+    ranges = counted.withColumns({"_before": F.coalesce(before, F.lit(0)), "_all": F.sum("_n").over(inside)})
+    ranges = ranges.filter(F.col("_all") > most).select(
+        F.struct(_CELL, "_slot").alias("_place"), F.floor(F.col("_before") / most).cast("long").alias(_RANGE)
+    )
+    ranges = stage(ranges, "ranges")
+    split = F.struct(base.alias("_base"), F.col(_RANGE).alias("_of"))
+    if ranges.isEmpty():
+        return df.withColumn(_RANGE, F.lit(0).cast("long")), split
+    placed = df.withColumn("_place", F.struct(cell.alias(_CELL), at.alias("_slot"))).join(ranges, "_place", "left")
+    return placed.drop("_place").withColumn(_RANGE, F.coalesce(_RANGE, F.lit(0).cast("long"))), split
+
+
 def _cells(df: DataFrame, keys: Sequence[str], bucket: Column) -> DataFrame:
     """Tag rows with their (group, bucket) cell.
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.operators.ordered import time_bucket, with_position
+from gridlake.operators.ordered import spread_ranges, with_position
 
 
 def since(df: DataFrame, as_of: Column, hours: int, time: str = "time") -> DataFrame:
@@ -158,12 +158,10 @@ def series_arrays(
     several bounded rows instead of one unbounded one; a year of hourly values
     is exactly one chunk.
     """
-    placed = with_position(
-        df.select(entity, time, value),
-        [entity],
-        [time, value],
-        time_bucket(time) if bucket is None else bucket,
-    )
+    rows = df.select(entity, time, value)
+    if bucket is None:
+        rows, bucket = spread_ranges(rows, [entity], time)
+    placed = with_position(rows, [entity], [time, value], bucket)
     point = F.struct(F.col("position"), F.col(time).alias("time"), F.col(value).alias("value"))
     return (
         placed.withColumn("chunk_no", F.floor(F.col("position") / F.lit(chunk_rows)))
@@ -178,6 +176,6 @@ def series_arrays(
     )
 
 
-def ordered_sample(df: DataFrame, order: Sequence[str], rows: int = 10_000) -> DataFrame:
+def ordered_sample(df: DataFrame, order: Sequence[str], rows: int) -> DataFrame:
     """The first ``rows`` rows by ``order``: a repeatable sample."""
     return df.orderBy(*order).limit(rows)

@@ -104,3 +104,36 @@ def test_spread_join_equals_plain_join(spark, df, how):
 def test_spread_join_refuses_full_outer(df):
     with pytest.raises(ValueError):
         spread_join(df, df, ["k"], "full_outer", 2)
+
+
+def test_one_hot_day_is_cut_into_ranges(spark, monkeypatch):
+    """Minutes of one entity and day are spread; previous rows, gaps, ramps and arrays are as in one piece."""
+    from gridlake.operators import derived
+
+    start = F.lit("2024-01-05 00:00:00").cast("timestamp_ntz")
+    rows = spark.range(6000).select(
+        F.when(F.col("id") < 5000, "hot").when(F.col("id") < 5990, "b").alias("k"),
+        (start + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("id") * 13.5)).alias("time"),
+        F.pmod(F.xxhash64("id"), F.lit(100)).cast("double").alias("v"),
+    )
+    placed, bucket = ordered.spread_ranges(rows, ["k"], "time", most=300)
+    cells = placed.groupBy("k", bucket.alias("cell")).count().filter("k = 'hot'")
+    assert cells.count() >= 15 and cells.agg(F.max("count")).first()[0] <= 310
+    monkeypatch.setattr(ordered, "RANGE_ROWS", 300)
+    day = ordered.time_bucket("time")
+    want = derived.ramp_rates(rows, ["k"], "time", "v", bucket=day)
+    got = derived.ramp_rates(rows, ["k"], "time", "v")
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    reports = [derived.gap_report(rows, ["k"], "time", bucket=b) for b in (None, day)]
+    assert len({str(sorted(map(str, r.collect()))) for r in reports}) == 1
+    chunks = [c for c in series_arrays(rows, "k", "time", "v", 500).collect() if c["k"] == "hot"]
+    values = [v for c in sorted(chunks, key=lambda c: c["chunk_no"]) for v in c["values"]]
+    assert values == [r["v"] for r in rows.filter("k = 'hot'").orderBy("time").collect()]
+
+
+def test_ranges_of_null_keys_and_empty_tables(spark):
+    rows = spark.createDataFrame([(None, None), (None, "2024-01-01 00:00:00")], "k string, t string").withColumn("t", F.col("t").cast("timestamp_ntz"))
+    placed, _ = ordered.spread_ranges(rows, ["k"], "t", most=1)
+    assert placed.count() == 2
+    assert ordered.spread_ranges(rows.limit(0), ["k"], "t")[0].count() == 0
