@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from gridlake.llm.quality_rules import ABUSE, RULES
+from gridlake.llm.quality_rules import ABUSE, RULES_3, SLURS, STANDARD_3, STEMS, mask
 
 _WORDS = r"list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _LOWER = f"translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}')"
 
-_BITS = " + ".join(f"CASE WHEN {rule.fails} THEN {1 << i} ELSE 0 END" for i, rule in enumerate(RULES))
+_BITS = " + ".join(f"CASE WHEN {rule.fails} THEN {1 << i} ELSE 0 END" for i, rule in enumerate(RULES_3))
+_STEMS = "|".join(sorted({stem for stems in STEMS.values() for stem in stems}))
 
 QUALITY_RULES = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
@@ -24,11 +25,14 @@ m AS (SELECT doc_id, len(words) AS n_words,
         len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, len(lines) AS n_lines,
         len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words,
         len(regexp_extract_all(text, '\p{{Lu}}')) AS n_capitals,
-        len(regexp_extract_all(text, '(?i)\b(?:{"|".join(sorted(ABUSE))})\b')) AS n_abuse
+        len(regexp_extract_all(text, '(?i)\b(?:{"|".join(sorted(ABUSE))})\b')) AS n_abuse,
+        len(regexp_extract_all(text, '(?i)\b(?:{"|".join(sorted(SLURS))})\b')) AS n_slurs,
+        len(list_filter(regexp_split_to_array(text, '[^\p{{L}}]+'), lambda x: regexp_matches(x, '(?i)^(?:{_STEMS})'))) AS n_abuse_stems
       FROM w LEFT JOIN covered USING (doc_id)),
 b AS (SELECT *, CAST({_BITS} AS BIGINT) AS failed_rules FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-       n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, failed_rules = 0 AS kept, failed_rules
+       n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       failed_rules & {mask(STANDARD_3, RULES_3)} = 0 AS kept, failed_rules
 FROM b"""
 
 NEAR_DUPLICATES = rf"""

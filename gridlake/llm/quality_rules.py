@@ -118,12 +118,15 @@ def term_pattern(terms: Sequence[str]) -> str:
 
 def stem_pattern(stems: Mapping[str, Sequence[str]] = STEMS) -> str:
     """Words that begin with one of the stems, whatever the document's language."""
-    return r"(?iu)(?<!\p{L})(?:" + "|".join(sorted({x for mine in stems.values() for x in mine})) + ")"
+    listed = sorted({x for mine in stems.values() for x in mine})
+    # Most places are passed over by the first letter alone.
+    first = "".join(sorted({x[0] for x in listed}))
+    return rf"(?iu)(?=[{first}])(?<!\p{{L}})(?:" + "|".join(listed) + ")"
 
 
 # Measurements that RULES_2 and RULES_3 need beyond those of RULES.
 COUNTS_2 = {"n_abuse_stems": stem_pattern()}
-COUNTS_3 = {**COUNTS_2, "n_slurs": term_pattern([term for term in ABUSE if term not in EVERYDAY])}
+SLURS = tuple(term for term in ABUSE if term not in EVERYDAY)
 
 
 def _repeat_words(windows: Column) -> Column:
@@ -153,10 +156,12 @@ def measure(
     abuse: Sequence[str] = ABUSE,
     carry: Sequence[str] = (),
     counts: Mapping[str, str] | None = None,
+    slurs: Sequence[str] = (),
 ) -> DataFrame:
     """One row per document with the measurements; of the other columns those in
     ``carry`` come along, in a struct ``carried`` so that no name can clash. Each of
     ``counts`` is one more measurement: a name and the pattern whose matches it counts.
+    With ``slurs``, some of the ``abuse`` terms, n_slurs counts these among the terms found.
 
     Words are runs of characters other than ASCII white space. Null and empty
     texts have no words; repeated rows and null ids are measured like any other;
@@ -174,7 +179,7 @@ def measure(
         lines.alias("lines"),
         F.regexp_count(text, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         F.regexp_count(text, F.lit(r"\p{Lu}")).cast("long").alias("n_capitals"),
-        F.regexp_count(text, F.lit(term_pattern(abuse))).cast("long").alias("n_abuse"),
+        F.regexp_extract_all(text, F.lit(term_pattern(abuse)), F.lit(0)).alias("abuse"),
         *(F.regexp_count(text, F.lit(pattern)).cast("long").alias(name) for name, pattern in counts.items()),
         *carried,
     )
@@ -190,7 +195,8 @@ def measure(
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         "n_capitals",
-        "n_abuse",
+        F.size("abuse").cast("long").alias("n_abuse"),
+        *([F.size(F.filter("abuse", lambda w: F.lower(w).isin(*slurs))).cast("long").alias("n_slurs")] if slurs else []),
         *counts,
         windows.alias("windows"),
         *(["carried"] if carry else []),

@@ -41,8 +41,10 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Measurements, base rules and the verdict of the standard policy."""
-    rows = quality_rules.ledger(quality_rules.measure(driver_tables(spark, sf_dir, "documents")))
+    """Measurements, base rules and the verdict of the standard policy's newest version."""
+    docs = driver_tables(spark, sf_dir, "documents")
+    measured = quality_rules.measure(docs, counts=quality_rules.COUNTS_2, slurs=quality_rules.SLURS)
+    rows = quality_rules.ledger(measured, quality_rules.RULES_3)
     return rows.select(
         "doc_id",
         "n_words",
@@ -51,7 +53,7 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_dup_lines",
         "n_repeat_words",
         (~quality_rules.passes(quality_rules.BASE)).alias("base_failed"),
-        quality_rules.passes(quality_rules.STANDARD).alias("kept"),
+        quality_rules.passes(quality_rules.STANDARD_3, quality_rules.RULES_3).alias("kept"),
         F.col("failed").alias("failed_rules"),
     )
 
