@@ -14,6 +14,7 @@ from gridlake.queries.quality import RULES, arrival
 from gridlake.queries.registry import ORACLE, Tables, as_of, query, rounded
 from gridlake.queries.scenario import _branches, _units
 from gridlake.session import fresh_path
+from gridlake.sinks import once
 from gridlake.sinks import tables as sinks
 from gridlake.sources import tables as sources
 from gridlake.streaming import measurements as st
@@ -54,6 +55,43 @@ def bus_results_append(t):
     )
 
 
+@query("results_once", """
+SELECT CAST(l_linenumber AS VARCHAR) AS execution_id, count(*) AS result_rows, sum(l_quantity) AS active_power_mw
+FROM lineitem WHERE l_linenumber <= 3 GROUP BY 1""")
+def results_once(t):
+    """Three executions stored, two of them offered again, before and after the folders are merged."""
+    path = fresh_path(t.spark, "results-once")
+    lines = t.lineitem.select(F.col("l_quantity").alias("active_power_mw"), "l_linenumber")
+
+    def offer(run: int) -> None:
+        rows = sinks.tag_results(lines.filter(F.col("l_linenumber") == run), str(run))
+        once.append_once(rows, path, str(run), schemas.DISPATCH_RESULTS)
+
+    for run in (1, 2, 1):
+        offer(run)
+    once.compact_once(t.spark, path, schemas.DISPATCH_RESULTS)
+    for run in (2, 3):
+        offer(run)
+    stored = once.read_once(t.spark, path, schemas.DISPATCH_RESULTS)
+    return stored.groupBy("execution_id").agg(
+        F.count(F.lit(1)).alias("result_rows"), F.sum("active_power_mw").alias("active_power_mw")
+    )
+
+
+@query("measurements_once", """
+SELECT event_id, ts AS time, value FROM events
+WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-13'""")
+def measurements_once(t):
+    """All events in two loads, each of them run twice; three days read back by their folders."""
+    path = fresh_path(t.spark, "measurements-once")
+    rows = t.events.select("event_id", F.col("ts").alias("time"), "value")
+    purchase = F.col("event_type").eqNullSafe("purchase")
+    for batch, chosen in 2 * [("purchases", purchase), ("others", ~purchase)]:
+        some = t.events.filter(chosen).select("event_id", F.col("ts").alias("time"), "value")
+        once.append_once(some, path, batch, time="time")
+    return once.read_once(t.spark, path, rows.schema, dates=("2024-01-10", "2024-01-12"))
+
+
 @query("convergence_append", """
 SELECT CAST(o_custkey AS VARCHAR) AS execution_id,
        CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS INTEGER) AS iteration,
