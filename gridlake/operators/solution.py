@@ -68,6 +68,53 @@ def densify(axes: dict[str, DataFrame], sparse: DataFrame, value: str, default:
     return with_parameter(index_grid(axes), sparse, list(axes), value, default)
 
 
+def dense_totals(
+    axes: dict[str, DataFrame], sparse: DataFrame, value: str, default: float, by: str | None = None
+) -> DataFrame:
+    """Count, sum, mean and extremes of :func:`densify` without its grid, in all or per ``by``.
+
+    A group has as many cells as the other axes have combinations. What the stored cells do
+    not fill has the default, so a sum is ``stored + (cells - stored cells) * default``: the
+    work grows with the stored cells and the axes, not with the combinations.
+
+    An axis holds each value once, and ``sparse`` each cell once. Stored cells outside the
+    axes do not count, a stored null has the default. Without cells the measures are null.
+    """
+    # An axis' size is looked up once, as a number of the plan, and starts no job here.
+    cells = F.lit(1).cast("bigint")
+    for name, df in axes.items():
+        if name != by:
+            cells = cells * df.agg(F.count(F.lit(1))).scalar()
+    inside = sparse.filter(F.col(value).isNotNull())
+    for name, df in axes.items():
+        inside = inside.join(df.select(name), name, "left_semi")
+    measures = [
+        F.count(F.lit(1)).alias("stored"),
+        F.sum(value).alias("_sum"),
+        F.min(value).alias("_low"),
+        F.max(value).alias("_high"),
+    ]
+    if by is None:
+        found, keys = inside.agg(*measures), []
+    else:
+        found, keys = axes[by].select(by).join(inside.groupBy(by).agg(*measures), by, "left"), [by]
+    stored, rest = F.coalesce("stored", F.lit(0)), F.col("cells") - F.col("stored")
+    fill = F.when(rest > 0, F.lit(float(default)))
+    return (
+        found.withColumns({"cells": cells, "stored": stored})
+        .withColumn("total", F.coalesce("_sum", F.lit(0.0)) + F.coalesce(rest * fill, F.lit(0.0)))
+        .select(
+            *keys,
+            "cells",
+            "stored",
+            F.when(F.col("cells") > 0, F.col("total")).alias("total"),
+            F.when(F.col("cells") > 0, F.col("total") / F.col("cells")).alias("mean"),
+            F.least("_low", fill).alias("low"),
+            F.greatest("_high", fill).alias("high"),
+        )
+    )
+
+
 def _reduced(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Amounts summed before a parameter or region is joined."""
     return df.groupBy(*keys).agg(F.sum("amount").alias("amount"))

@@ -95,6 +95,46 @@ def lp_densify(t):
     return so.densify(axes, used, "amount", -1.0)
 
 
+def _price_cells(t):
+    """Unit prices per supplier, line number and flag, known for some of them."""
+    ln = _lines(t)
+    axes = {
+        "source": t.supplier.select(F.col("s_suppkey").alias("source")),
+        "basin": ln.select("basin").distinct(),
+        "feedstock": ln.select("feedstock").distinct(),
+    }
+    known = ln.filter(F.col("l_discount") > 0.08).groupBy(*axes).agg(F.sum("amount").alias("amount"))
+    return axes, known
+
+
+DENSE_SQL = """
+WITH grid AS (
+  SELECT s_suppkey AS source, basin, feedstock FROM supplier,
+    (SELECT DISTINCT l_linenumber AS basin FROM lineitem) b,
+    (SELECT DISTINCT l_returnflag AS feedstock FROM lineitem) f),
+known AS (SELECT l_suppkey AS source, l_linenumber AS basin, l_returnflag AS feedstock,
+          sum(l_quantity) AS amount FROM lineitem WHERE l_discount > 0.08 GROUP BY 1, 2, 3),
+dense AS (SELECT source, basin, feedstock, amount IS NOT NULL AS is_stored, coalesce(amount, 1000.0) AS v
+          FROM grid LEFT JOIN known USING (source, basin, feedstock))
+SELECT {key} count(*) AS cells, count(*) FILTER (WHERE is_stored) AS stored, round(sum(v), 4) AS total,
+       round(avg(v), 6) AS mean, min(v) AS low, max(v) AS high FROM dense {group}"""
+
+
+@query("lp_dense_totals", DENSE_SQL.format(key="source,", group="GROUP BY source"))
+def lp_dense_totals(t):
+    """Default-filled prices per supplier, without the combinations."""
+    axes, known = _price_cells(t)
+    found = so.dense_totals(axes, known, "amount", so.PRICE_DEFAULT, by="source")
+    return rounded(rounded(found, "total"), "mean", digits=6)
+
+
+@query("lp_dense_total", DENSE_SQL.format(key="", group=""))
+def lp_dense_total(t):
+    axes, known = _price_cells(t)
+    found = so.dense_totals(axes, known, "amount", so.PRICE_DEFAULT)
+    return rounded(rounded(found, "total"), "mean", digits=6)
+
+
 @query("lp_balance", """
 SELECT coalesce(o_orderkey, l_orderkey) AS order_key, round(coalesce(p, 0), 4) AS left_total,
   round(coalesce(o_totalprice, 0), 4) AS right_total,

@@ -2,6 +2,7 @@
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from gridlake.operators import solution as so
 
@@ -93,3 +94,37 @@ def test_plant_and_pipe_audits(spark):
     assert rows(so.transport_audit(y, u, factor), "violated") == [(False,)]
     assert rows(so.arrival_audit(y, z), "residual", "violated") == [(1.0, True)]
     assert rows(so.pipeline_audit(y), "capacity", "violated") == [(1_000_000.0, False)]
+
+
+def test_dense_totals_equal_the_grid(spark):
+    """All groupings, a full group, an empty one, cells outside the axes and stored nulls."""
+    axes = {
+        "a": spark.createDataFrame([(1,), (2,), (3,)], "a int"),
+        "b": spark.createDataFrame([("x",), ("y",)], "b string"),
+    }
+    sparse = spark.createDataFrame(
+        [(1, "x", 5.0), (1, "y", -2.0), (2, "y", None), (2, "x", 9.0), (7, "x", 50.0), (None, "x", 3.0)],
+        "a int, b string, v double",
+    )
+    dense = so.densify(axes, sparse, "v", 1.5)
+    for by in (None, "a", "b"):
+        keys = [by] if by else []
+        want = dense.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("cells"), F.sum("v").alias("total"), F.avg("v").alias("mean"),
+            F.min("v").alias("low"), F.max("v").alias("high"),
+        )
+        got = so.dense_totals(axes, sparse, "v", 1.5, by=by)
+        assert rows(got.drop("stored")) == rows(want)
+    assert rows(so.dense_totals(axes, sparse, "v", 1.5), "stored") == [(3,)]
+
+
+def test_dense_totals_of_empty_axes(spark):
+    none = spark.createDataFrame([], "b string")
+    axes = {"a": spark.createDataFrame([(1,)], "a int"), "b": none}
+    sparse = spark.createDataFrame([(1, "x", 5.0)], "a int, b string, v double")
+    assert rows(so.dense_totals(axes, sparse, "v", 1.0)) == [(0, 0, None, None, None, None)]
+    assert rows(so.dense_totals(axes, sparse, "v", 1.0, by="a")) == [(1, 0, 0, None, None, None, None)]
+    assert rows(so.dense_totals(axes, sparse, "v", 1.0, by="b")) == []
+    stored_none = sparse.limit(0)
+    full = {"a": axes["a"], "b": spark.createDataFrame([("x",), ("y",)], "b string")}
+    assert rows(so.dense_totals(full, stored_none, "v", 1.0)) == [(2, 0, 2.0, 1.0, 1.0, 1.0)]
