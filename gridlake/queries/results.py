@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gridlake.operators import joins, reports, rollups, scenarios
+from gridlake.operators import joins, reports, rollups, scenarios, versions
 from gridlake.queries.mapping import bus_results, dispatch, executions, power, topology
 from gridlake.queries.registry import as_of, query, rounded
 
@@ -156,6 +156,19 @@ def topology_by_id(t):
     return topology(t).filter(F.col("topology_id") == chosen)
 
 
+def _order_versions(t):
+    """Orders as versions of their customer's case; some say when they end."""
+    until = F.when(
+        F.col("o_orderstatus") == "F", F.col("o_orderdate") + F.make_dt_interval(F.lit(365))
+    )
+    return t.orders.select(
+        F.col("o_custkey").alias("case_name"),
+        F.col("o_orderkey").alias("topology_id"),
+        F.col("o_orderdate").alias("valid_from"),
+        until.alias("valid_until"),
+    )
+
+
 @query("asof_topology", """
 WITH versions AS (
   SELECT o_custkey AS case_name, o_orderkey AS topology_id, o_orderdate AS valid_from,
@@ -166,20 +179,28 @@ SELECT case_name, topology_id, valid_from, valid_until FROM (
   FROM versions WHERE valid_until IS NULL OR valid_until > TIMESTAMP '1998-06-01') v
 WHERE rn = 1""")
 def asof_topology(t):
-    until = F.when(
-        F.col("o_orderstatus") == "F", F.col("o_orderdate") + F.make_dt_interval(F.lit(365))
-    )
-    versions = t.orders.select(
-        F.col("o_custkey").alias("case_name"),
-        F.col("o_orderkey").alias("topology_id"),
-        F.col("o_orderdate").alias("valid_from"),
-        until.alias("valid_until"),
-    )
-    return joins.as_of_version(versions, as_of("1998-06-01 00:00:00")).select(
+    return joins.as_of_version(_order_versions(t), as_of("1998-06-01 00:00:00")).select(
         "case_name", "topology_id", "valid_from", "valid_until"
     )
 
 
+@query("valid_topology", """
+WITH closed AS (
+  SELECT o_custkey AS case_name, o_orderkey AS topology_id, o_orderdate AS valid_from,
+         least(CASE WHEN o_orderstatus = 'F' THEN o_orderdate + INTERVAL 365 DAY END,
+               lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)) AS valid_until
+  FROM orders)
+SELECT l_orderkey, l_linenumber, l_suppkey AS case_name, topology_id
+FROM lineitem LEFT JOIN closed
+  ON case_name = l_suppkey AND valid_from <= l_shipdate AND (valid_until IS NULL OR l_shipdate < valid_until)""")
+def valid_topology(t):
+    """The version valid when a row was measured: an order holds until the customer's next one."""
+    rows = t.lineitem.select(
+        "l_orderkey", "l_linenumber", F.col("l_suppkey").alias("case_name"), F.col("l_shipdate").alias("time")
+    )
+    return versions.with_valid_version(rows, _order_versions(t)).drop("time")
+
+
 @query("dispatch_lmp_join", """
 SELECT a.l_orderkey AS execution_id, a.l_linenumber AS time_step, count(*) AS pairs,
        round(sum(a.l_quantity * b.l_extendedprice), 2) AS mw_price_sum,
