@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gridlake.functions import forecast as fc
@@ -258,6 +259,33 @@ def forecast(t):
     )
 
 
+@query("forecast_held_out", """
+WITH origins AS (SELECT unnest([TIMESTAMP '2024-01-15', TIMESTAMP '2024-01-22']) AS origin),
+past AS (SELECT origin, hour(ts) AS h, isodow(ts) AS d, value FROM events JOIN origins ON ts < origin),
+cell AS (SELECT origin, h, d, avg(value) AS m FROM past GROUP BY 1, 2, 3),
+by_hour AS (SELECT origin, h, avg(value) AS m FROM past GROUP BY 1, 2),
+everything AS (SELECT origin, avg(value) AS m FROM past GROUP BY 1)
+SELECT e.origin, CAST(hour(ts) AS INTEGER) AS hour, count(*) AS held_out,
+       round(avg(abs(value - coalesce(c.m, b.m, a.m))), 6) AS seasonal_mae, TRUE AS forest_close
+FROM events JOIN origins e ON ts >= e.origin AND ts < e.origin + INTERVAL 7 DAY
+  JOIN everything a ON a.origin = e.origin
+  LEFT JOIN by_hour b ON b.origin = e.origin AND b.h = hour(ts)
+  LEFT JOIN cell c ON c.origin = e.origin AND c.h = hour(ts) AND c.d = isodow(ts)
+WHERE value IS NOT NULL GROUP BY 1, 2""")
+def forecast_held_out(t):
+    """Errors per hour over the weeks after two origins. The forest's error over an origin's
+    whole week is held to a tenth above the seasonal mean's, which SQL states."""
+    history = t.events.select(F.col("ts").alias("time"), F.col("value").alias("active_power_mw"))
+    origins = [as_of("2024-01-15 00:00:00"), as_of("2024-01-22 00:00:00")]
+    errors = fc.rolling_origin(history, origins, trees=20)
+
+    def total(name):
+        return F.sum(F.col(name) * F.col("held_out")).over(Window.partitionBy("origin"))  # 24 rows
+
+    close = total("forest_mae") <= 1.1 * total("seasonal_mae")
+    return rounded(errors.withColumn("forest_close", close), "seasonal_mae", digits=6).drop("forest_mae")
+
+
 @query("forecast_cells", """
 SELECT CAST(hour(ts) AS INTEGER) AS hour, CAST(isodow(ts) - 1 AS INTEGER) AS day_of_week,
        CAST(month(ts) AS INTEGER) AS month, round(avg(value), 4) AS label,
