@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake import schemas
 from gridlake.operators import documents, joins, scenarios
+from gridlake.sinks import once
 from gridlake.sinks import tables as sinks
 
 CASE = ("case_name",)
@@ -64,3 +65,17 @@ def save_study(result: Study, execution_id: str, warehouse: str) -> None:
         schemas.DISPATCH_RESULTS,
         f"{warehouse}/generator_dispatch_results",
     )
+
+
+def save_study_once(result: Study, execution_id: str, path: str) -> bool:
+    """As :func:`save_study`, in a table of repeatable appends at ``path``: an execution that
+    is stored is not added again. Says whether it was; :func:`stored_studies` reads it."""
+    rows = result.base.unionByName(result.changes.drop("base_power_mw", "base_cost"))
+    return once.append_once(
+        sinks.tag_results(rows, execution_id), path, execution_id, schemas.DISPATCH_RESULTS
+    )
+
+
+def stored_studies(spark: SparkSession, path: str) -> DataFrame:
+    """Dispatch rows of all executions stored by :func:`save_study_once`."""
+    return once.read_once(spark, path, schemas.DISPATCH_RESULTS)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from gridlake.operators import scenarios as sc
 from gridlake.operators.documents import to_system_document
 from gridlake.operators.joins import affected_elements, as_of_version
-from gridlake.plans.scenario_run import save_study, study
+from gridlake.plans.scenario_run import save_study, save_study_once, stored_studies, study
 
 UNITS = [("c1", "G1", 10.0, 110.0), ("c1", "G2", 0.0, 50.0), ("c2", "G1", 20.0, 40.0)]
 OUTAGES = [
@@ -155,3 +155,7 @@ def test_study_end_to_end(spark, tables, tmp_path):
     stored = spark.read.parquet(f"{tmp_path}/generator_dispatch_results")
     assert stored.count() == result.base.count() + result.changes.count() > 0
     assert rows(stored.select("execution_id").distinct()) == [("run-1",)]
+    table = str(tmp_path / "studies")
+    added = [save_study_once(result, run, table) for run in ("run-1", "run-2", "run-1")]
+    assert added == [True, True, False]
+    assert stored_studies(spark, table).count() == 2 * stored.count()
