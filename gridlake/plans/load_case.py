@@ -14,19 +14,19 @@ from gridlake.operators import convert, documents, scenarios, series
 from gridlake.operators.joins import new_cases
 from gridlake.session import fresh_path
 from gridlake.sinks import tables as sinks
-from gridlake.sources import case_text
+from gridlake.sources import case_lines, case_text
 from gridlake.sources.tables import is_missing_path, read_csv_table, read_measurements, read_profiles
 
 
 def matpower_components(cases: DataFrame) -> dict[str, DataFrame]:
-    """Component tables of any number of case texts at once.
+    """Component tables of any number of case texts at once, as whole texts or as lines.
 
     The parsed blocks are staged in the shared folder, so the texts are read and
     parsed once and a lost executor repeats only a Parquet scan.
     """
     spark = cases.sparkSession
     path = fresh_path(spark, "blocks")
-    case_text.stage_blocks(cases, path)
+    _reader(cases).stage_blocks(cases, path)
     rows = lambda name: case_text.staged_rows(spark, path, name)
     buses = convert.matpower_buses(rows("bus"), case_text.staged_names(spark, path))
     return {
@@ -37,6 +37,10 @@ def matpower_components(cases: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def _reader(cases: DataFrame):
+    return case_lines if "line" in cases.columns else case_text
+
+
 def staged(components: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Component tables that several outputs use, written once."""
     return {name: sinks.stage(df, name) for name, df in components.items()}
@@ -80,11 +84,12 @@ def contingencies_of(
 
 def load_matpower_cases(
     spark: SparkSession, path: str, warehouse: str, hours: int = 168, start: str = series.SERIES_START,
-    noise: bool = True,
+    noise: bool = True, by_line: bool = False,
 ) -> None:
     """Parse all case files below ``path`` and append topology, contingencies and
-    simulated measurements; cases that are loaded already are skipped."""
-    cases = case_text.read_case_text(spark, path)
+    simulated measurements; cases that are loaded already are skipped. ``by_line`` reads
+    texts that are too large for one task."""
+    cases = case_lines.read_case_lines(spark, path) if by_line else case_text.read_case_text(spark, path)
     existing = _existing(spark, f"{warehouse}/network_topology")
     if existing is not None:
         cases = new_cases(cases, existing)
@@ -103,7 +108,7 @@ def load_matpower_cases(
         _append_series(spark, rows, f"{warehouse}/{table}", entity, start, hours)
     _append_contingencies(spark, contingencies_of(components), warehouse)
     sinks.append_results(
-        documents.to_system_document(components, case_text.base_mva(cases), "MATPOWER"),
+        documents.to_system_document(components, _reader(cases).base_mva(cases), "MATPOWER"),
         schemas.NETWORK_TOPOLOGY,
         f"{warehouse}/network_topology",
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from gridlake.queries import (  # noqa: F401
     appends,
+    case_lines,
     cases,
     derived,
     inputs,

@@ -41,30 +41,30 @@ def _block(name: str, opening: str, closing: str) -> Column:
     return F.regexp_extract("content", pattern, 1)
 
 
-def _trim(text: Column) -> Column:
+def trim_blanks(text: Column) -> Column:
     return F.trim(text, F.lit(_BLANKS))
 
 
-def _clean_line(line: Column) -> Column:
-    without_comment = _trim(F.substring_index(line, "%", 1))
-    return _trim(F.rtrim(without_comment, F.lit(";")))
+def clean_line(line: Column) -> Column:
+    without_comment = trim_blanks(F.substring_index(line, "%", 1))
+    return trim_blanks(F.rtrim(without_comment, F.lit(";")))
 
 
 def _lines(name: str) -> Column:
     """Non-empty cleaned lines of a matrix block, in file order."""
-    lines = F.transform(F.split(_block(name, r"\[", r"\]"), "\n"), _clean_line)
+    lines = F.transform(F.split(_block(name, r"\[", r"\]"), "\n"), clean_line)
     return F.filter(lines, lambda line: line != "")
 
 
-def _numbers(line: Column) -> Column:
+def numbers(line: Column) -> Column:
     return F.transform(F.split(line, r"\s+"), lambda token: token.try_cast("double"))
 
 
-def _all_numbers(values: Column) -> Column:
+def all_numbers(values: Column) -> Column:
     return F.forall(values, lambda v: v.isNotNull())
 
 
-def _suffixed(line: Column) -> Column:
+def suffixed(line: Column) -> Column:
     """A number with a type letter, which a cast takes but a case file may not have."""
     return line.rlike(r"[\d.][dDfF](\s|$)")
 
@@ -87,8 +87,8 @@ def _exploded(cases: DataFrame, rows: Column, output: str) -> DataFrame:
 
 def _matrix(name: str) -> Column:
     """Rows of numbers of a block, in file order."""
-    plain = F.filter(_lines(name), lambda line: ~_suffixed(line))
-    return F.filter(F.transform(plain, _numbers), _all_numbers)
+    plain = F.filter(_lines(name), lambda line: ~suffixed(line))
+    return F.filter(F.transform(plain, numbers), all_numbers)
 
 
 BLOCKS = ("bus", "gen", "branch", "gencost")
@@ -139,7 +139,7 @@ def _staged(spark: SparkSession, path: str) -> DataFrame:
 def rejected_lines(cases: DataFrame, name: str) -> DataFrame:
     """``(case_name, line)`` for block lines that are not rows of numbers."""
     bad = F.filter(
-        _lines(name), lambda line: _suffixed(line) | ~_all_numbers(_numbers(line))
+        _lines(name), lambda line: suffixed(line) | ~all_numbers(numbers(line))
     )
     return _exploded(cases, bad, "line").drop("row_no")
 
@@ -150,6 +150,6 @@ def bus_names(cases: DataFrame) -> DataFrame:
 
 
 def _names() -> Column:
-    lines = F.transform(F.split(_block("bus_name", r"\{", r"\}"), "\n"), _trim)
+    lines = F.transform(F.split(_block("bus_name", r"\{", r"\}"), "\n"), trim_blanks)
     quoted = F.filter(lines, lambda line: line.rlike("^'.*?'"))
     return F.transform(quoted, lambda line: F.regexp_extract(line, "'(.*?)'", 1))
