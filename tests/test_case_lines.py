@@ -46,7 +46,7 @@ def test_same_rows_as_whole_texts(spark, folder, split_bytes):
         folder = f"{folder}/odd.m"
     lines, whole = case_lines.read_case_lines(spark, folder), case_text.read_case_text(spark, folder)
     if split_bytes <= 2000:
-        assert lines.rdd.getNumPartitions() > 15
+        assert lines.rdd.getNumPartitions() > 10
     for block in ("bus", "gen", "branch", "gencost"):
         assert plain(case_lines.matrix_rows(lines, block)) == plain(case_text.matrix_rows(whole, block))
         assert plain(case_lines.rejected_lines(lines, block)) == plain(case_text.rejected_lines(whole, block))
