@@ -34,13 +34,13 @@ LOAD_HEADROOM = 1.2
 REQUIRED_BUS_FIELDS = ["number", "name", "base_voltage"]
 REQUIRED_GENERATOR_FIELDS = ["name", "bus_number", "pmin", "pmax"]
 
-_SECTIONS = {
+SECTIONS = {
     "buses": schemas.BUS_ELEMENT,
     "generators": schemas.GENERATOR_ELEMENT,
     "branches": schemas.BRANCH_ELEMENT,
     "loads": schemas.LOAD_ELEMENT,
 }
-_COUNTS = {
+COUNTS = {
     "buses": "num_buses",
     "generators": "num_generators",
     "branches": "num_branches",
@@ -48,7 +48,7 @@ _COUNTS = {
 }
 
 
-def _element(df: DataFrame, schema: T.StructType):
+def element(df: DataFrame, schema: T.StructType):
     """Component row as an element; fields the table lacks are left out."""
     present = [f for f in schema.fields if f.name in df.columns]
     return F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in present])
@@ -70,12 +70,12 @@ def to_system_document(
         row = df.select(
             "case_name",
             F.xxhash64(F.lit(name), F.col("name")).alias("_spread"),
-            _element(df, _SECTIONS[name]).alias(name),
+            element(df, SECTIONS[name]).alias(name),
         )
         tagged = row if tagged is None else tagged.unionByName(row, allowMissingColumns=True)
     counts = [
-        F.count(name).alias(_COUNTS[name]) if name in sections else F.lit(0).cast("bigint").alias(_COUNTS[name])
-        for name in _SECTIONS
+        F.count(name).alias(COUNTS[name]) if name in sections else F.lit(0).cast("bigint").alias(COUNTS[name])
+        for name in SECTIONS
     ]
     totals = tagged.groupBy("case_name").agg(*counts)
     arrays = [
@@ -96,7 +96,7 @@ def to_system_document(
         "case_name",
         "part_no",
         F.lit(num_parts).alias("num_parts"),
-        *_COUNTS.values(),
+        *COUNTS.values(),
         "base_mva",
         F.to_json(F.struct("base_mva", *sections)).alias("system_data"),
         F.lit(source).alias("source"),
@@ -105,7 +105,7 @@ def to_system_document(
 
 def explode_section(topology: DataFrame, section: str) -> DataFrame:
     """Elements of one document section as rows; only that section is parsed."""
-    schema = T.StructType([T.StructField(section, T.ArrayType(_SECTIONS[section]))])
+    schema = T.StructType([T.StructField(section, T.ArrayType(SECTIONS[section]))])
     parsed = topology.select(
         "case_name", F.from_json("system_data", schema).alias("_doc")
     )
@@ -185,26 +185,26 @@ def document_loads(topology: DataFrame) -> DataFrame:
     )
 
 
-_SHALLOW = ", ".join(f"{section} array<variant>" for section in _SECTIONS)
+_SHALLOW = ", ".join(f"{section} array<variant>" for section in SECTIONS)
 
 
-def _shallow(topology: DataFrame) -> DataFrame:
+def shallow(topology: DataFrame) -> DataFrame:
     """Documents parsed once, elements left as variants."""
     return topology.withColumn("_doc", F.from_json("system_data", _SHALLOW))
 
 
-def _array_size(section: str):
+def array_size(section: str):
     return F.coalesce(F.size(F.col(f"_doc.{section}")), F.lit(0)).cast("bigint")
 
 
 def component_counts(topology: DataFrame) -> DataFrame:
     """Array sizes per case, summed over its parts."""
-    return _shallow(topology).groupBy("case_name").agg(
-        *[F.sum(_array_size(s)).alias(_COUNTS[s]) for s in _SECTIONS]
+    return shallow(topology).groupBy("case_name").agg(
+        *[F.sum(array_size(s)).alias(COUNTS[s]) for s in SECTIONS]
     )
 
 
-def _incomplete(section: str, fields: list[str]):
+def incomplete(section: str, fields: list[str]):
     """Whether some element lacks a required key; an explicit null is a key."""
 
     def lacks(element):
@@ -223,14 +223,19 @@ def _any(conditions):
 def topology_checks(topology: DataFrame, contingencies: DataFrame | None = None) -> DataFrame:
     """Per case: declared against actual counts, required fields, contingencies."""
     checked = ["buses", "generators", "branches"]
-    report = _shallow(topology).groupBy("case_name", "topology_id").agg(
-        *[F.sum(_array_size(s)).alias(f"actual_{s}") for s in checked],
-        *[F.max(_COUNTS[s]).alias(f"declared_{s}") for s in checked],
-        F.max(_incomplete("buses", REQUIRED_BUS_FIELDS)).alias("bus_field_missing"),
-        F.max(_incomplete("generators", REQUIRED_GENERATOR_FIELDS)).alias(
+    report = shallow(topology).groupBy("case_name", "topology_id").agg(
+        *[F.sum(array_size(s)).alias(f"actual_{s}") for s in checked],
+        *[F.max(COUNTS[s]).alias(f"declared_{s}") for s in checked],
+        F.max(incomplete("buses", REQUIRED_BUS_FIELDS)).alias("bus_field_missing"),
+        F.max(incomplete("generators", REQUIRED_GENERATOR_FIELDS)).alias(
             "generator_field_missing"
         ),
     )
+    return with_verdict(report, checked, contingencies)
+
+
+def with_verdict(report: DataFrame, checked: list[str], contingencies: DataFrame | None = None) -> DataFrame:
+    """Whether declared and actual counts agree and no required field is missing."""
     counts_match = F.lit(True)
     for s in checked:
         counts_match = counts_match & (F.col(f"actual_{s}") == F.col(f"declared_{s}"))

@@ -6,6 +6,7 @@ from gridlake.queries import (  # noqa: F401
     appends,
     case_lines,
     cases,
+    chunks,
     derived,
     inputs,
     measurements,
