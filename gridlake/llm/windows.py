@@ -416,7 +416,8 @@ def _keep(shape: Shape, packed: bool):
 
 
 def remove_repeats(docs: DataFrame, shape: Shape, resolve: Callable, id_column: str, text_column: str) -> DataFrame:
-    """One row per document: doc_id, n_units, n_removed, n_spans, kept (binary).
+    """One row per document: doc_id, n_units, n_removed, n_spans, kept (binary). Rows of one id
+    with different texts are judged each by its own text, and never by one another's.
 
     ``resolve`` gets batches of (rank, run, doc_id, at, windows, around) sorted by rank
     and gives (doc_id, run, bits), a bit for each window of the run, counted from its
@@ -430,7 +431,9 @@ def remove_repeats(docs: DataFrame, shape: Shape, resolve: Callable, id_column:
     waiting = decided.where(F.col("state") != REPEATED).groupBy("doc_id").agg(*sets)
     waiting = stage(waiting, "repeat-waiting")
     maybe, _ = split_by_ids(docs, waiting)
-    texts = map_batches(maybe, _pack, "doc_id long, packed binary").dropDuplicates(["doc_id"])
+    # An id may stand over several texts: all of them may hold its runs. Copies are one.
+    texts = map_batches(maybe, _pack, "doc_id long, packed binary").groupBy("doc_id").agg(F.collect_set("packed").alias("texts"))
+    texts = texts.select("doc_id", F.explode("texts").alias("packed"))
     around = map_batches(
         texts.join(waiting, "doc_id"), _around(shape), "rank long, run long, doc_id long, at long, windows long, around binary"
     )

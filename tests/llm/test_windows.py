@@ -68,6 +68,48 @@ def test_hot_words(crowd, hot):
     assert sum(r.n_removed for r in got) > 1000 * 13
 
 
+@pytest.mark.parametrize("kind", ["bytes", "words"])
+def test_one_id_over_several_texts(spark, kind):
+    """Ids 0 to 9 have one text, 10 to 29 two or three with parts of earlier ones, some of them twice."""
+    rng = random.Random(3)
+
+    def fresh(n):
+        return [f"{rng.choice('xyz')}{rng.randrange(10**6)}" for _ in range(n)]
+
+    base = [fresh(60) for _ in range(10)]
+    table = [(i, " ".join(w)) for i, w in enumerate(base)]
+    for i in range(10, 30):
+        for _ in range(2 + i % 2):
+            at, size = rng.randrange(30), rng.randrange(13, 30)
+            part = rng.choice(base)[at : at + size]
+            table.append((i, " ".join([*fresh(15), *part, *fresh(9)])))
+            base.append(table[-1][1].split())
+        if i % 3 == 0:
+            table.append(table[-1])
+    shape, earlier, window, units = {
+        "bytes": (suffix_dedup.SHAPE, suffix_dedup._earlier, 50, lambda t: t.encode()),
+        "words": (substring_dedup.SHAPE, substring_dedup._earlier, 13, lambda t: tuple(words_of(t))),
+    }[kind]
+    first = {}
+    for doc, text in table:
+        u = units(text)
+        for i in range(len(u) - window + 1):
+            first[u[i : i + window]] = min(first.get(u[i : i + window], doc), doc)
+
+    def kept(doc, text):
+        u, covered = units(text), set()
+        for i in range(len(u) - window + 1):
+            if first[u[i : i + window]] < doc:
+                covered.update(range(i, i + window))
+        left = [x for i, x in enumerate(u) if i not in covered]
+        return bytes(left) if kind == "bytes" else " ".join(left).encode()
+
+    docs = spark.createDataFrame(table, "doc_id long, text string").repartition(5)
+    got = windows.remove_repeats(docs, shape, earlier(window), "doc_id", "text").collect()
+    assert sorted((r.doc_id, bytes(r.kept)) for r in got) == sorted((d, kept(d, t)) for d, t in table)
+    assert sum(r.n_removed for r in got) > 20 * window
+
+
 @pytest.mark.parametrize("size", [1, 3, 1000])
 def test_hot_rank_is_not_held(size):
     """Rank 1 has 6 runs, rank 2 has 5; every run's first document comes once, in one state."""
