@@ -4,9 +4,9 @@ Generators find spans by pattern. Four kinds have a check of their own (the part
 an address, Luhn's sum, the count of digits) and are taken whenever they pass it.
 Two wider generators (long codes, and groups of digits) overlap these and each
 other; gradient-boosted trees score them by their format and the characters around
-them. The trees learn from a bounded sample of candidates whose label follows from
-the checks, and the threshold of each wide kind is set on the part of the sample held
-back from training: the lowest score at which the wanted precision holds.
+them. The trees learn from all candidates whose label follows from the checks, but a
+quarter, counted by their features; the threshold of each wide kind is set on all of
+that quarter: the lowest score at which the wanted precision holds.
 
 Only built-in functions and Spark ML run on the executors. A position is the sum of
 the lengths of what lies before it, taken with a window over the matches of one
@@ -50,9 +50,9 @@ WIDE = (
 )
 KINDS = tuple(g.kind for g in BASE + WIDE)
 CONTEXT = 24
-# Bounds of the sample that trains the trees, for each wide kind and label.
-SAMPLE = 4000
 PRECISION = 0.99
+# Steps of the score at which a threshold may lie.
+LEVELS = 10000
 # Words that announce a credential or a personal number.
 CREDENTIAL_WORDS = r"(?i)(?:token|key|secret|passw(?:or)?d|pwd|credential|bearer|auth)"
 NUMBER_WORDS = r"(?i)(?:tel|phone|fax|mobile|card|account|iban|ssn|passport)"
@@ -125,7 +125,7 @@ def candidates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
 
 
 def _share(pattern: str) -> Column:
-    return F.regexp_count("found", F.lit(pattern)) / F.length("found")
+    return F.round(F.regexp_count("found", F.lit(pattern)) / F.length("found"), 2)
 
 
 def _flag(condition: Column) -> Column:
@@ -143,7 +143,7 @@ def features() -> dict[str, Column]:
         "upper_share": _share("[A-Z]"),
         "mark_share": _share("[^A-Za-z0-9]"),
         "hex": _flag(F.col("found").rlike("^[0-9A-Fa-f]+$")),
-        "changes": F.regexp_count("found", F.lit("[0-9](?=[A-Za-z])|[A-Za-z](?=[0-9])")) / F.length("found"),
+        "changes": _share("[0-9](?=[A-Za-z])|[A-Za-z](?=[0-9])"),
         "bracket": _flag(F.col("found").rlike(r"^\(?[0-9]{3}\)?[\x20.-]")),
         "tail": _flag(F.col("found").rlike(r"[0-9]{3}[\x20.-][0-9]{4}$")),
         "assigned": _flag(F.col("before").rlike(r"[=:]\s*[\"']?$")),
@@ -164,58 +164,57 @@ def _label() -> Column:
     return F.when(F.col("kind") == "secret", secret).otherwise(number)
 
 
-def _sample(wide: DataFrame, size: int) -> DataFrame:
-    """At most ``size`` distinct candidates of each wide kind and label, by hash order."""
+def _cells(wide: DataFrame) -> DataFrame:
+    """All distinct candidates with a label, counted by kind, label, features and ``held``: ``n``.
+
+    Every fourth hash is held back. Candidates differ more than their formats do, so the
+    cells stay few while their counts grow with the data.
+    """
     rows = wide.withColumn("label", _label().cast("double")).where("label is not null")
-    rows = rows.select("kind", "label", "found", "before", "after").distinct()
-    order = F.xxhash64("found", "before", "after")
-    parts = [
-        rows.where((F.col("kind") == g.kind) & (F.col("label") == label)).orderBy(order, "found", "before", "after").limit(size)
-        for g in WIDE
-        for label in (0.0, 1.0)
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.union(part)
-    return out.withColumn("held", F.pmod(order, F.lit(4)) == 0)
-
-
-def added_spans(found: DataFrame, sample: int = SAMPLE, precision: float = PRECISION) -> DataFrame:
+    rows = rows.select("kind", "label", "found", "before", "after").distinct().withColumns(features())
+    held = (F.pmod(F.xxhash64("found", "before", "after"), F.lit(4)) == 0).alias("held")
+    cells = rows.groupBy("kind", "label", held, *features()).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    # In one order, so that equal inputs give equal trees.
+    return cells.coalesce(1).sortWithinPartitions("kind", "label", "held", *features())
+
+
+def added_spans(found: DataFrame, precision: float = PRECISION) -> DataFrame:
     """The wide candidates that the trees accept, with their score.
 
-    Without both labels in the sample there is nothing to learn and nothing is added.
+    Without both labels among the candidates there is nothing to learn and nothing is added.
     """
     wide = found.where(F.col("kind").isin([g.kind for g in WIDE]))
-    rows = stage(_sample(wide, sample).withColumns(features()).coalesce(1), "pii-sample").coalesce(1)
+    rows = stage(_cells(wide), "pii-cells").coalesce(1)
     labels = {r["label"] for r in rows.where("not held").select("label").distinct().collect()}
     none = wide.withColumn("score", F.lit(0.0)).where("false")
     if len(labels) < 2:
         return none
     assembler = VectorAssembler(inputCols=list(features()), outputCol="features", handleInvalid="keep")
-    trees = GBTClassifier(maxIter=15, maxDepth=3, stepSize=0.3, seed=7, maxBins=32, cacheNodeIds=False)
-    model = trees.fit(assembler.transform(rows.where("not held")).select("features", "label"))
+    trees = GBTClassifier(maxIter=15, maxDepth=3, stepSize=0.3, seed=7, maxBins=32, cacheNodeIds=False, weightCol="n")
+    model = trees.fit(assembler.transform(rows.where("not held")).select("features", "label", "n"))
 
     def score(df: DataFrame) -> DataFrame:
         scored = model.transform(assembler.transform(df))
         return scored.withColumn("score", F.round(vector_to_array("probability")[1], 6))
 
-    held = score(rows.where("held")).groupBy("kind", "score").agg(F.sum("label").alias("right"), F.count("*").alias("all"))
+    held = score(rows.where("held")).groupBy("kind", F.floor(F.col("score") * LEVELS).alias("level"))
+    held = held.agg(F.sum(F.col("label") * F.col("n")).alias("right"), F.sum("n").alias("all"))
     limits: dict[str, float] = {}
-    right, total = dict.fromkeys(KINDS, 0.0), dict.fromkeys(KINDS, 0)
-    # At most as many rows as the held-back part of the sample has.
-    for row in sorted(held.collect(), key=lambda r: -r["score"]):
+    right, total = dict.fromkeys(KINDS, 0.0), dict.fromkeys(KINDS, 0.0)
+    # At most LEVELS + 1 rows per wide kind.
+    for row in sorted(held.collect(), key=lambda r: -r["level"]):
         kind = row["kind"]
         right[kind] += row["right"]
         total[kind] += row["all"]
         if right[kind] >= precision * total[kind]:
-            limits[kind] = row["score"]
+            limits[kind] = row["level"] / LEVELS
     accepted = F.lit(False)
     for kind, limit in limits.items():
         accepted = accepted | ((F.col("kind") == kind) & (F.col("score") >= max(limit, 0.5)))
     return score(wide.withColumns(features())).where(accepted).select(*found.columns, "score")
 
 
-def find_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", sample: int = SAMPLE) -> DataFrame:
+def find_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Spans to redact: doc_id, text_key, kind, kind_no, start, end, found, score, base.
 
     Base spans are the valid matches of the base kinds and may overlap each other. An
@@ -226,7 +225,7 @@ def find_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     found = stage(candidates(docs, id_column, text_column), "pii-candidates")
     names = F.array(*[F.lit(k) for k in KINDS])
     base = found.where("valid").withColumn("score", F.lit(1.0))
-    rows = base.unionByName(added_spans(found, sample))
+    rows = base.unionByName(added_spans(found))
     rows = rows.withColumn("kind_no", F.array_position(names, F.col("kind")).cast("int"))
     rows = rows.withColumn("rank", F.greatest(F.col("kind_no") - len(BASE), F.lit(0)))  # 0 for base kinds
     near = Window.partitionBy("doc_id", "text_key").orderBy("start", "kind_no")
@@ -259,13 +258,13 @@ def spans_by_document(docs: DataFrame, spans: DataFrame, id_column: str = "doc_i
     return rows.join(listed, match, "left").drop("span_id", "span_key")
 
 
-def redact(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", sample: int = SAMPLE) -> DataFrame:
+def redact(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``docs`` with every found span replaced by its kind in angle brackets.
 
     Overlapping spans are replaced once, under the first one's kind. All columns come
     back; a null text stays null.
     """
-    spans = find_spans(docs, id_column, text_column, sample)
+    spans = find_spans(docs, id_column, text_column)
     listed = spans_by_document(docs, spans, id_column, text_column)
     listed = listed.where("spans is not null").distinct().withColumnsRenamed({"doc_id": "_span_id", "text_key": "_span_key", "spans": "_spans"})
     rows = docs.withColumn("_key", F.xxhash64(F.col(text_column)))

@@ -196,6 +196,23 @@ def test_trees_add_credentials(spark):
     assert found <= set(range(400)) and len(found) >= 390 and {r.kind for r in added} == {"secret"}
 
 
+def test_trees_learn_from_every_candidate(spark):
+    """Over 4000 of a kind and label: all are counted, whatever their hash."""
+    chars = "abcdefghijklmnop"
+    letters = F.translate(F.md5(F.col("id").cast("string")), "0123456789abcdef", chars)
+    table = spark.range(9000).select(F.col("id").alias("doc_id"), F.concat(F.lit("plain "), letters, F.lit(" words")).alias("text"))
+    code = F.concat(F.lit('token = "'), F.sha1(F.col("id").cast("string")), F.lit('" here'))
+    table = table.union(spark.range(9000, 14000).select("id", code))
+    found = pii.candidates(table)
+    cells = pii._cells(found.where("kind = 'secret'")).groupBy("label", "held").agg(F.sum("n").alias("n")).collect()
+    counted = {(r.label, r.held): r.n for r in cells}
+    assert counted[0.0, False] + counted[0.0, True] == 9000
+    assert counted[1.0, False] + counted[1.0, True] == 5000
+    # Before base spans, which some codes hold, hide a few.
+    added = pii.added_spans(found).where("kind = 'secret'").select("doc_id").collect()
+    assert {r.doc_id for r in added} == set(range(9000, 14000))
+
+
 def test_packing(docs, empty):
     import numpy as np
     import public_tokenizers
