@@ -30,28 +30,56 @@ SERIES_START = "2024-01-01 00:00:00"
 HOURS_PER_YEAR = 8760
 THERMAL_LOADING = 0.7
 NOMINAL_HZ = 60.0
-# Steps that one task makes of a row at a time.
+# Steps of the smallest block, and blocks that a row is cut into where these are larger;
+# no block is longer than a year.
 BLOCK_STEPS = 168
+BLOCKS = 8
 
 
-def each_step(df: DataFrame, steps: int, output: str = "hour_index", first: int = 0) -> DataFrame:
+def each_step(
+    df: DataFrame, steps: int, output: str = "hour_index", first: int = 0, by: Sequence[str] = ()
+) -> DataFrame:
     """Each row once per step ``first``, ``first + 1``, ...; ``steps`` in all, none below 1.
 
     The rows of one block of steps are dealt to a task by the hash of their columns and
-    the block, so a table of one partition, or of one row, is spread as well.
+    the block, so a table of one partition, or of one row, is spread as well. A row has few
+    blocks, so what is grouped by it later meets few partial sums. With ``by``, rows are dealt
+    by these columns alone, and a join on them finds all steps in their place.
     """
     if steps < 1:
         return df.withColumn(output, F.lit(first)).limit(0)
+    size, last = _block_size(steps), F.lit(steps - 1)
+    start = F.col("_block") * size
+    inside = F.sequence(start, F.least(start + F.lit(size - 1), last))
+    step = F.explode(F.transform(inside, lambda i: i + F.lit(first)) if first else inside)
+    return _dealt(df, steps, by).withColumn(output, step).drop("_block")
+
+
+def _block_size(steps: int) -> int:
+    return min(max(BLOCK_STEPS, -(-steps // BLOCKS)), HOURS_PER_YEAR)
+
+
+def _dealt(df: DataFrame, steps: int, by: Sequence[str] = ()) -> DataFrame:
+    """Each row once per ``_block`` of its steps, dealt out to all tasks."""
     spark = df.sparkSession
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    block = F.explode(F.sequence(F.lit(0), F.lit((steps - 1) // _block_size(steps))))
+    if by:
+        return df.repartition(tasks, *[F.col(f"`{c}`") for c in by]).withColumn("_block", block)
     columns = [F.col(f"`{c}`") for c in df.columns]
-    last = F.lit(steps - 1)
-    block = F.explode(F.sequence(F.lit(0), F.lit((steps - 1) // BLOCK_STEPS)))
-    dealt = df.withColumn("_block", block).repartition(tasks, F.xxhash64(*columns, "_block"))
-    start = F.col("_block") * BLOCK_STEPS
-    inside = F.sequence(start, F.least(start + F.lit(BLOCK_STEPS - 1), last))
-    step = F.explode(F.transform(inside, lambda i: i + F.lit(first)) if first else inside)
-    return dealt.withColumn(output, step).drop("_block")
+    return df.withColumn("_block", block).repartition(tasks, F.xxhash64(*columns, "_block"))
+
+
+def _with_profile(units: DataFrame, profile: DataFrame, hours: int, start: str) -> DataFrame:
+    """Every unit and block with its hours of a profile (hour_index, share) that all units
+    follow: ``_steps``, an array of (time, share). A block without hours has no row.
+
+    What is broadcast is a row per block, an entry per hour of the axis.
+    """
+    inside = profile.filter((F.col("hour_index") >= 0) & (F.col("hour_index") < hours))
+    block = F.floor(F.col("hour_index") / _block_size(hours)).cast("int").alias("_block")
+    packed = with_time(inside, start).groupBy(block).agg(F.collect_list(F.struct("time", "share")).alias("_steps"))
+    return _dealt(units, hours).join(F.broadcast(packed), "_block").drop("_block")
 
 
 def with_hours(df: DataFrame, hours: int, start: str = SERIES_START) -> DataFrame:
@@ -78,8 +106,11 @@ def scale_profile(
 
     ``profile`` has ``hour_index`` and one column per unit name, or is already long
     with ``hour_index``, ``name`` and ``share``; ``units`` has ``name`` and ``pmax``.
+    A long profile is not sorted for the join, nor moved where it lies by name.
     """
     long = profile.filter(F.col("hour_index") < hours)
+    if set(profile.columns) == {"hour_index", "name", "share"}:
+        units = units.hint("shuffle_hash")
     if set(profile.columns) != {"hour_index", "name", "share"}:
         names = [c for c in profile.columns if c != "hour_index"]
         long = wide_to_long(long, ["hour_index"], names, "name", "share")
@@ -90,8 +121,16 @@ def scale_profile(
 
 def constant_series(units: DataFrame, hours: int = HOURS_PER_YEAR) -> DataFrame:
     """Every hour at 70 % of the unit's range."""
-    level = in_range(F.lit(THERMAL_LOADING), F.col("pmin"), F.col("pmax"))
-    return each_step(units.withColumn("active_power_mw", level), hours)
+    return each_step(units.withColumn("active_power_mw", _steady_level()), hours)
+
+
+def _steady_level() -> Column:
+    return in_range(F.lit(THERMAL_LOADING), F.col("pmin"), F.col("pmax"))
+
+
+def _sharing(units: DataFrame, case: Sequence[str]) -> DataFrame:
+    """Units with the number of units of their case: ``_units``."""
+    return units.join(units.groupBy(*case).agg(F.count(F.lit(1)).alias("_units")), list(case))
 
 
 def shared_profile(
@@ -103,16 +142,15 @@ def shared_profile(
 ) -> DataFrame:
     """One profile shared equally by the units of a case.
 
-    The units are exploded into hours and meet the profile on the hour. AQE sees the
-    measured sizes of the counts per case and of the profile and broadcasts them.
+    The units are exploded into hours and meet the profile on the hour. The profile is
+    broadcast, a row per hour of the axis, so the series is not shuffled for it.
     """
-    shares = units.groupBy(*case).agg(F.count(F.lit(1)).alias("_units"))
-    hourly = each_step(units.join(shares, list(case)), hours)
-    values = profile.filter(F.col("hour_index") < hours).select(
+    hourly = each_step(_sharing(units, case), hours)
+    values = profile.filter((F.col("hour_index") >= 0) & (F.col("hour_index") < hours)).select(
         "hour_index", F.col(f"`{column}`").alias("_share")
     )
     return (
-        hourly.join(values, "hour_index")
+        hourly.join(F.broadcast(values), "hour_index")
         .withColumn("active_power_mw", F.col("_share") * F.col("pmax") / F.col("_units"))
         .drop("_share", "_units")
     )
@@ -185,33 +223,48 @@ def generator_year(
     unit's column is missing the unit has no rows.
     """
     fuel = F.col("fuel")
+    # What a unit keeps all year is made once per unit.
+    units = units.select(
+        "case_name", "name", "pmin", "pmax", "fuel", "marginal_cost",
+        F.col("bus_number").cast("string").alias("bus_id"), unit_type(fuel).alias("generator_type"),
+    )
+    one = F.lit(1.0)
     profiled: list[str] = []
     series: list[DataFrame] = []
+    kept = ["name", "bus_id", "marginal_cost", "generator_type", "case_name", "_factor", "_parts", "_steps"]
     for name, profile in (("Wind", wind), ("Solar", solar)):
         if profile is not None:
             profiled.append(name)
-            series.append(scale_profile(profile, units.filter(fuel == name), hours, spread))
+            scaled = with_time(scale_profile(profile, units.filter(fuel == name), hours, spread), start)
+            step = F.array(F.struct("time", F.col("active_power_mw").alias("share")))
+            series.append(scaled.withColumns({"_factor": one, "_parts": one, "_steps": step}).select(kept))
     if hydro is not None:
         profiled.append("Hydro")
         if hydro_column in hydro.columns:
-            series.append(
-                shared_profile(hydro, units.filter(fuel == "Hydro"), hydro_column, hours=hours)
-            )
+            shared = hydro.select("hour_index", F.col(f"`{hydro_column}`").cast("double").alias("share"))
+            sharing = _sharing(units.filter(fuel == "Hydro"), ["case_name"])
+            sharing = sharing.withColumns({"_factor": F.col("pmax"), "_parts": F.col("_units").cast("double")})
+            series.append(_with_profile(sharing, shared, hours, start).select(kept))
     steady = units.filter(~F.coalesce(fuel.isin(profiled), F.lit(False))) if profiled else units
-    rows = constant_series(steady, hours)
+    steady = steady.withColumns({"_factor": _steady_level(), "_parts": one})
+    axis = units.sparkSession.range(hours).select(F.col("id").cast("int").alias("hour_index"), one.alias("share"))
+    rows = _with_profile(steady, axis, hours, start).select(kept)
     for s in series:
         rows = rows.unionByName(s)
-    power = zero_if_missing(F.col("active_power_mw"))
-    return with_time(rows, start).select(
-        "time",
+    # Blocks are joined and put together, and only then made rows: the last step, which what
+    # follows can be fused with.
+    rows = rows.select("*", F.explode("_steps").alias("_step"))
+    power = zero_if_missing(F.col("_step.share") * F.col("_factor") / F.col("_parts"))
+    return rows.select(
+        F.col("_step.time").alias("time"),
         F.col("name").alias("generator_id"),
         F.col("name").alias("generator_name"),
-        F.col("bus_number").cast("string").alias("bus_id"),
+        "bus_id",
         power.alias("active_power_mw"),
         reactive_power(power).alias("reactive_power_mvar"),
         F.lit(True).alias("commitment_status"),
         "marginal_cost",
-        unit_type(fuel).alias("generator_type"),
+        "generator_type",
         F.lit("RTS-GMLC").alias("source"),
         "case_name",
     )

@@ -178,7 +178,9 @@ def generator_year(t):
     with an odd key, which so have no rows; solar has no file."""
     frame = units(t).withColumn("marginal_cost", F.lit(30.0))
     known = frame.filter((F.col("fuel") == "Wind") & (F.col("unit_key") % 2 == 0)).select("name")
-    hours = s.with_hours(known, s.HOURS_PER_YEAR).join(hourly(t), "hour_index")
+    # The profile is made where the join with its units will look for it.
+    year = hourly(t).filter(F.col("hour_index").between(0, s.HOURS_PER_YEAR - 1))
+    hours = s.each_step(known, s.HOURS_PER_YEAR, by=["name"]).join(F.broadcast(year), "hour_index")
     wind = hours.select("hour_index", "name", (F.col("Hydro") / 1000).alias("share"))
     rows = s.generator_year(frame, wind=wind, solar=None, hydro=hourly(t), start=START)
     year = rows.groupBy("generator_id", "bus_id", "generator_type").agg(
