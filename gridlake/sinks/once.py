@@ -106,8 +106,10 @@ def read_once(spark: SparkSession, path: str, schema: T.StructType, dates: tuple
 
 
 def _counting(rows: DataFrame, winners: DataFrame) -> DataFrame:
+    """Rows of the winning folders. Dealt by folder, a batch would be the work of one task, so
+    the winners go to the rows: one row per stored batch, whatever the rows."""
     named = winners.withColumnRenamed("batch", BATCH)
-    return rows.join(named, ["attempt", BATCH], "left_semi")
+    return rows.join(F.broadcast(named), ["attempt", BATCH], "left_semi")
 
 
 def compact_once(spark: SparkSession, path: str, schema: T.StructType, time: str | None = None) -> int:

@@ -77,6 +77,24 @@ def test_compaction(spark, tmp_path, monkeypatch, step):
     assert live == 1
 
 
+def test_compaction_does_not_deal_rows_by_folder(spark, tmp_path, monkeypatch):
+    """The rows of one batch are not brought together in one task."""
+    path = str(tmp_path / "t")
+    for batch in "ab":
+        once.append_once(some(spark, batch, 1000), path, batch)
+    plans = []
+    write = once._write_rows
+
+    def noted(df, *rest):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        write(df, *rest)
+
+    monkeypatch.setattr(once, "_write_rows", noted)
+    assert once.compact_once(spark, path, SCHEMA) == 2
+    assert "BroadcastHashJoin" in plans[0] and "Exchange hashpartitioning" not in plans[0] and "SortMergeJoin" not in plans[0]
+    assert len(stored(spark, path)) == 2000
+
+
 def test_empty_table_batch_and_rows(spark, tmp_path):
     path = str(tmp_path / "t")
     assert stored(spark, path) == [] and once.compact_once(spark, path, SCHEMA) == 0
