@@ -251,9 +251,10 @@ def split_by_ids(docs: DataFrame, ids: DataFrame, apply=None, schema="doc_id lon
     return maybe, surely.union(docs.where("doc_id is null"))
 
 
-def sift(rows: DataFrame, keys: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+def sift(rows: DataFrame, keys: DataFrame, key: str, apply=None, schema=None) -> tuple[DataFrame, DataFrame]:
     """Rows whose ``key`` (not null) may be among ``keys``, and rows whose key surely is not,
-    with all their columns. The test is a bitmap of fixed size, as in ``split_by_ids``."""
+    with all their columns. The test is a bitmap of fixed size, as in ``split_by_ids``.
+    ``apply`` maps the batches of the second ones (to ``schema``) in the worker that sifts them."""
     bits = rows.sparkSession.sparkContext.broadcast(_id_bitmap(keys.select(F.col(key).alias("doc_id"))))
 
     def sieve(keep: bool):
@@ -267,7 +268,9 @@ def sift(rows: DataFrame, keys: DataFrame, key: str) -> tuple[DataFrame, DataFra
         return run
 
     placed = rows.select("*", F.pmod(F.xxhash64(key), F.lit(ID_BITS)).alias("__place"))
-    return map_batches(placed, sieve(True), rows.schema), map_batches(placed, sieve(False), rows.schema)
+    others = sieve(False)
+    run = others if apply is None else lambda batches: apply(others(batches))
+    return map_batches(placed, sieve(True), rows.schema), map_batches(placed, run, schema or rows.schema)
 
 
 def connected_components(edges: DataFrame, label: str) -> DataFrame:

@@ -31,8 +31,9 @@ MIN_LENGTH = 12
 TILE_WORDS = 4096
 # Matches longer than this are left to the Z-function.
 _DIRECT = 32
-# Words of tiles handled as one array.
-_RUN = 1 << 20
+# Words of tiles handled as one array, and texts written at a time.
+_RUN = 1 << 19
+_TEXTS = 1000
 
 RUNS = "array<struct<start:bigint,length:bigint,period:bigint>>"
 
@@ -208,6 +209,13 @@ def _solve(min_length: int):
     return run
 
 
+def _fragments(min_length: int):
+    """Rows (key, text) to fragments. A worker makes its tiles and solves them, a run of tiles
+    at a time: they go neither to another worker nor through the JVM."""
+    tiles, solve = _tiles(min_length), _solve(min_length)
+    return lambda batches: solve(tiles(batches))
+
+
 def stitch(fragments: DataFrame, min_length: int = MIN_LENGTH) -> DataFrame:
     """Runs (key, start, length, period) from fragments (key, period, start, end) that overlap."""
     order = Window.partitionBy("key", "period").orderBy("start", "end")
@@ -221,9 +229,15 @@ def stitch(fragments: DataFrame, min_length: int = MIN_LENGTH) -> DataFrame:
     return runs.groupBy("key", "start", "length").agg(F.min("period").alias("period"))
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for first in range(0, batch.num_rows, _TEXTS):
+            yield batch.slice(first, _TEXTS)
+
+
 def _collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Adds the text without what the runs repeat; columns: ..., text, runs."""
-    for batch in batches:
+    for batch in _slices(batches):
         at = batch.schema.get_field_index("runs")
         out = []
         for text, runs in zip(batch.column("text"), batch.column(at), strict=True):
@@ -240,6 +254,13 @@ def _collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*kept, pa.array(out, pa.string())], names=[*names, "collapsed"])
 
 
+def _respaced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, collapsed) of texts without runs; columns: id, text."""
+    for batch in _slices(batches):
+        texts = (b" ".join((text.as_py() or "").encode().split()).decode() for text in batch.column("text"))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["id", "collapsed"])
+
+
 def periodic_runs(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_length: int = MIN_LENGTH
 ) -> DataFrame:
@@ -257,10 +278,7 @@ def periodic_runs(
     docs = docs.select(F.col(id_column).alias("id"), text.alias("text"))
     # Rows of one text share their runs, whatever their ids.
     docs = docs.withColumn("key", F.unhex(F.md5("text")))
-    tiles = map_batches(
-        docs.select("key", "text"), _tiles(min_length), "key binary, low long, first long, lead long, owned long, words binary"
-    )
-    fragments = map_batches(tiles, _solve(min_length), "key binary, period long, start long, end long")
+    fragments = map_batches(docs.select("key", "text"), _fragments(min_length), "key binary, period long, start long, end long")
     runs = stitch(stage(fragments, "run-fragments"), min_length)
     run = F.struct("start", "length", "period")
     lists = runs.groupBy("key").agg(F.collect_list(run).alias("runs"))
@@ -268,12 +286,13 @@ def periodic_runs(
     by_place = F.transform("runs", lambda r: F.struct(r["start"], r["period"], r["length"]))
     by_place = F.transform(F.array_sort(by_place), lambda r: F.struct(r["start"].alias("start"), r["length"].alias("length"), r["period"].alias("period")))
     lists = stage(lists.select("key", by_place.alias("runs")), "runs")
-    maybe, surely = sift(docs, lists.select("key"), "key")
-    with_runs = maybe.join(lists, "key", "left").select("id", "text", F.coalesce("runs", F.array().cast(RUNS)).alias("runs"))
-    without = surely.select("id", "text", F.array().cast(RUNS).alias("runs"))
     kind = docs.schema["id"].dataType.simpleString()
-    out = map_batches(with_runs.unionByName(without), _collapse, f"id {kind}, runs {RUNS}, collapsed string")
-    return out.withColumnRenamed("id", id_column)
+    maybe, surely = sift(docs, lists.select("key"), "key", _respaced, f"id {kind}, collapsed string")
+    # Merged, not broadcast: the workers that sift are done before those that collapse begin.
+    with_runs = maybe.join(lists.hint("merge"), "key", "left").select("id", "text", F.coalesce("runs", F.array().cast(RUNS)).alias("runs"))
+    collapsed = map_batches(with_runs, _collapse, f"id {kind}, runs {RUNS}, collapsed string")
+    without = surely.select("id", F.array().cast(RUNS).alias("runs"), "collapsed")
+    return collapsed.union(without).withColumnRenamed("id", id_column)
 
 
 def longest(runs: Column) -> Column:

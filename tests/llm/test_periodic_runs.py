@@ -158,3 +158,33 @@ def test_query_against_brute_force(spark, sf):
         assert row["collapsed_sha256"] == hashlib.sha256(brute_collapse(words, runs).encode()).hexdigest()
         checked += 1
     assert checked > 100
+
+
+def test_one_python_worker_per_task(spark, monkeypatch):
+    """Every stage passes its rows through Python once: no worker feeds another."""
+    plans = []
+    write = periodic_runs.stage
+
+    def noted(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, label)
+
+    monkeypatch.setattr(periodic_runs, "stage", noted)
+    table = spark.createDataFrame(list(CASES.items()), "doc_id long, text string")
+    out = periodic_runs.periodic_runs(table)
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) == 3 and "MapInArrow" in plans[0]
+    for plan in plans:
+        open_at = []
+        for line in plan.splitlines():
+            at = len(line) - len(line.lstrip(" :+-"))
+            open_at = [(d, kind) for d, kind in open_at if d < at]
+            kind = line.lstrip(" :+-").split(" ")[0]
+            inside = [k for _, k in open_at]
+            last = inside[len(inside) - inside[::-1].index("Exchange") :] if "Exchange" in inside else inside
+            assert not (kind == "MapInArrow" and "MapInArrow" in last), plan
+            open_at.append((at, kind))
+    got = {r.doc_id: (len(r.runs), r.collapsed) for r in out.collect()}
+    for doc_id, text in CASES.items():
+        runs = brute_runs(words_of(text))
+        assert got[doc_id] == (len(runs), brute_collapse(words_of(text), runs))
