@@ -22,12 +22,14 @@ from pyspark.sql import functions as F
 from gridlake.llm.common import ascii_lower, stage
 
 # ASCII characters that end a word, after lower-casing.
-WORD = r"([^\x00-\x2F\x3A-\x60\x7B-\x7F]+)"
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]++"
 BITMAP_BITS = 1 << 18
 
 
 def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(ascii_lower(F.coalesce(text.cast("string"), F.lit(""))), F.lit(WORD), F.lit(1))
+    """Splitting is several times faster than extracting; before the first and after the last
+    separator it may leave an empty string."""
+    return F.array_remove(F.split(ascii_lower(F.coalesce(text.cast("string"), F.lit(""))), BETWEEN), "")
 
 
 def _place(word: Column) -> Column:
