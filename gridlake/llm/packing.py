@@ -12,6 +12,8 @@ task plus the counts of the tasks before it, so no length is ranked in one task.
 from __future__ import annotations
 
 import os
+import string
+import unicodedata
 import zlib
 from bisect import insort
 from collections import defaultdict
@@ -30,6 +32,12 @@ END_ID = 1
 # Words a Python worker remembers; beyond that it starts afresh, with the same ids.
 REMEMBERED = 700_000
 _RUN = 4 << 20
+_MARKS = string.punctuation.encode()
+
+
+def _all_letters(word: bytes) -> bool:
+    """Letters only, also after the tokeniser's normalising: it may leave marks of a letter."""
+    return word.isalpha() or (not word.isascii() and unicodedata.normalize("NFC", word.decode()).lower().isalpha())
 
 
 class WordTokens:
@@ -56,16 +64,18 @@ class WordTokens:
     def _learn(self, words: set[bytes]) -> None:
         letters, others, stopped = [], [], []
         for word in words:
-            if word.isalpha() or (not word.isascii() and word.decode().isalpha()):
+            head = word.rstrip(_MARKS)
+            if not head or not _all_letters(head):
+                others.append(word)
+            elif len(head) == len(word):
                 letters.append(word)
-            elif word[-1:] in (b",", b".") and (head := word[:-1]) and (head.isalpha() or (not head.isascii() and head.decode().isalpha())):
-                stopped.append(word)
+            else:
+                # Letters, then marks: two runs, whose tokens do not depend on each other.
+                stopped.append((word, head, word[len(head) :]))
                 if head not in self.known and head not in words:
                     letters.append(head)
-            else:
-                others.append(word)
-        if stopped:
-            others += [mark for mark in (b",", b".") if mark not in self.known and mark not in words]
+        marks = {mark for _, _, mark in stopped}
+        others += [mark for mark in marks if mark not in self.known and mark not in words]
         letters = list(dict.fromkeys(letters))
         # A word of letters alone is one run of tokens, and the last one closes it.
         ids = self._ids(b" ".join(letters).decode())
@@ -79,22 +89,31 @@ class WordTokens:
             others += letters
         for word, found in zip(others, self.tokenizer.encode_batch([w.decode() for w in others], add_special_tokens=False), strict=True):
             self.known[word] = np.array(found.ids, "<u4").tobytes()
-        for word in stopped:
-            self.known[word] = self.known[word[:-1]] + self.known[word[-1:]]
+        for word, head, mark in stopped:
+            self.known[word] = self.known[head] + self.known[mark]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        split = [None if "<|" in text else text.encode().lower().split() for text in texts]
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        fresh = set().union(*(x for x in split if x)).difference(self.known)
-        if fresh:
-            self._learn(fresh)
         get = self.known.__getitem__
-        return [
-            self._ids(text).tobytes() if words is None else b"".join(map(get, words))
-            for text, words in zip(texts, split, strict=True)
-        ]
+        out: list[bytes] = []
+        unsure: list[tuple[int, list[bytes]]] = []  # texts with words not seen before
+        for k, text in enumerate(texts):
+            if "<|" in text:
+                out.append(self._ids(text).tobytes())
+                continue
+            words = text.encode().lower().split()
+            try:
+                out.append(b"".join(map(get, words)))
+            except KeyError:
+                out.append(b"")
+                unsure.append((k, words))
+        if unsure:
+            self._learn(set().union(*(words for _, words in unsure)).difference(self.known))
+            for k, words in unsure:
+                out[k] = b"".join(map(get, words))
+        return out
 
 
 _LOADED: dict[str, WordTokens] = {}

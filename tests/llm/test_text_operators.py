@@ -259,6 +259,32 @@ def test_odd_words_have_the_ids_of_the_whole_text():
         assert np.frombuffer(found, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+def test_letters_then_marks_have_the_ids_of_the_whole_text():
+    """A letter that is normalised to a letter and a mark is one run with the marks behind it."""
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = str(public_tokenizers.path("word_bpe_49k.json"))
+    tokenizer, words = Tokenizer.from_file(path), packing.WordTokens(path)
+    texts = ["\u0130, \u0130$$$ \u0958.", "over$$$ over over,!! \u00e9t\u00e9### '! x'! it's it's! <a> a<|", "over, over,!! a_ _ 5, \u0130 \u0958"]
+    for text, found in zip(texts, words.encode(texts), strict=True):
+        assert np.frombuffer(found, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def test_words_between_ascii_separators(spark):
+    from gridlake.llm import decontaminate
+
+    texts = ["", " ", None, "a", " a ", ",.a,,b.", "\x00A1\x7f\u0080b\u00a0c", "\u0130 \u24b6x\U0001f642 {z}", "A_b-c/d0:9@e`f{g"]
+    table = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    got = table.select("i", "text", decontaminate.words_of(F.col("text")).alias("words"))
+    for r in got.collect():
+        lowered = "".join(c.lower() if c.isascii() else c for c in r.text or "")
+        assert r.words == re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered), r.text
+    # Extracting took most of the operator's time.
+    assert "regexp_extract_all" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_patterns_use_every_piece_once():
     histogram = {1: 7, 5: 3, 30: 11, 33: 4, 64: 2, 63: 5}
     patterns = packing.shortest_pack_first(histogram, 64)
