@@ -213,6 +213,26 @@ def test_trees_learn_from_every_candidate(spark):
     assert {r.doc_id for r in added} == set(range(9000, 14000))
 
 
+def test_pipeline_trains_on_every_candidate(spark, monkeypatch):
+    import corpus_pipeline
+
+    counts = []
+    write = pii.stage
+
+    def noted(df, label):
+        out = write(df, label)
+        if "held" in df.columns:
+            counts.append(out.agg(F.sum("n")).first()[0])
+        return out
+
+    monkeypatch.setattr(pii, "stage", noted)
+    code = F.concat(F.lit('token = "'), F.sha1(F.col("id").cast("string")), F.lit('" here'))
+    docs = spark.range(5000).select(F.col("id").alias("doc_id"), code.alias("text"))
+    docs = docs.select("*", *[F.lit(None).cast("string").alias(c) for c in corpus_pipeline.COLUMNS if c not in docs.columns])
+    corpus_pipeline.replace_personal_data(spark, docs, "")
+    assert counts and counts[0] >= 5000
+
+
 def test_packing(docs, empty):
     import numpy as np
     import public_tokenizers
