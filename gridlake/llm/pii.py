@@ -4,9 +4,10 @@ Generators find spans by pattern. Four kinds have a check of their own (the part
 an address, Luhn's sum, the count of digits) and are taken whenever they pass it.
 Two wider generators (long codes, and groups of digits) overlap these and each
 other; gradient-boosted trees score them by their format and the characters around
-them. The trees learn from all candidates whose label follows from the checks, but a
-quarter, counted by their features; the threshold of each wide kind is set on all of
-that quarter: the lowest score at which the wanted precision holds.
+them. The trees learn from all candidates whose label follows from the checks, counted
+by their features. The threshold of each wide kind is set on all of them too: each half
+is scored by trees that learned from the other half, and the threshold is the lowest
+score at which the wanted precision holds.
 
 Only built-in functions and Spark ML run on the executors. A position is the sum of
 the lengths of what lies before it, taken with a window over the matches of one
@@ -15,9 +16,11 @@ document, so a text with very many matches costs no more than a sort of them.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
@@ -53,6 +56,8 @@ CONTEXT = 24
 PRECISION = 0.99
 # Steps of the score at which a threshold may lie.
 LEVELS = 10000
+# Counted formats that one task holds while trees learn.
+CELLS_PER_TASK = 100_000
 # Words that announce a credential or a personal number.
 CREDENTIAL_WORDS = r"(?i)(?:token|key|secret|passw(?:or)?d|pwd|credential|bearer|auth)"
 NUMBER_WORDS = r"(?i)(?:tel|phone|fax|mobile|card|account|iban|ssn|passport)"
@@ -167,42 +172,50 @@ def _label() -> Column:
 def _cells(wide: DataFrame) -> DataFrame:
     """All distinct candidates with a label, counted by kind, label, features and ``held``: ``n``.
 
-    Every fourth hash is held back. Candidates differ more than their formats do, so the
-    cells stay few while their counts grow with the data.
+    ``held`` tells the two halves apart, by hash. Candidates differ more than their formats
+    do, so the cells stay few while their counts grow with the data.
     """
     rows = wide.withColumn("label", _label().cast("double")).where("label is not null")
     rows = rows.select("kind", "label", "found", "before", "after").distinct().withColumns(features())
-    held = (F.pmod(F.xxhash64("found", "before", "after"), F.lit(4)) == 0).alias("held")
-    cells = rows.groupBy("kind", "label", held, *features()).agg(F.count(F.lit(1)).cast("double").alias("n"))
-    # In one order, so that equal inputs give equal trees.
-    return cells.coalesce(1).sortWithinPartitions("kind", "label", "held", *features())
+    held = (F.pmod(F.xxhash64("found", "before", "after"), F.lit(2)) == 0).alias("held")
+    return rows.groupBy("kind", "label", held, *features()).agg(F.count(F.lit(1)).cast("double").alias("n"))
 
 
 def added_spans(found: DataFrame, precision: float = PRECISION) -> DataFrame:
     """The wide candidates that the trees accept, with their score.
 
-    Without both labels among the candidates there is nothing to learn and nothing is added.
+    The trees that decide learn from all labelled candidates. A half of these is judged
+    only by trees that learned from the other one; where that one lacks a label, it is not
+    judged. If neither is, nothing is added.
     """
     wide = found.where(F.col("kind").isin([g.kind for g in WIDE]))
-    rows = stage(_cells(wide), "pii-cells").coalesce(1)
-    labels = {r["label"] for r in rows.where("not held").select("label").distinct().collect()}
-    none = wide.withColumn("score", F.lit(0.0)).where("false")
-    if len(labels) < 2:
-        return none
+    cells = stage(_cells(wide), "pii-cells")
+    counts = cells.groupBy("held", "label").count().collect()
+    size = sum(r["count"] for r in counts)
+    # In one order, so that equal inputs give equal trees.
+    rows = cells.coalesce(1 + size // CELLS_PER_TASK).sortWithinPartitions("kind", "label", "held", *features())
     assembler = VectorAssembler(inputCols=list(features()), outputCol="features", handleInvalid="keep")
-    trees = GBTClassifier(maxIter=15, maxDepth=3, stepSize=0.3, seed=7, maxBins=32, cacheNodeIds=False, weightCol="n")
-    model = trees.fit(assembler.transform(rows.where("not held")).select("features", "label", "n"))
+    # The edges of the bins are read from max(10000, maxBins ** 2) rows; with so many bins these are all rows.
+    bins = max(32, math.isqrt(size) + 1)
+    trees = GBTClassifier(maxIter=15, maxDepth=3, stepSize=0.3, seed=7, maxBins=bins, cacheNodeIds=False, weightCol="n")
+
+    def learn(part: DataFrame) -> GBTClassificationModel:
+        return trees.fit(assembler.transform(part).select("features", "label", "n"))
 
-    def score(df: DataFrame) -> DataFrame:
+    def score(model: GBTClassificationModel, df: DataFrame) -> DataFrame:
         scored = model.transform(assembler.transform(df))
         return scored.withColumn("score", F.round(vector_to_array("probability")[1], 6))
 
-    held = score(rows.where("held")).groupBy("kind", F.floor(F.col("score") * LEVELS).alias("level"))
-    held = held.agg(F.sum(F.col("label") * F.col("n")).alias("right"), F.sum("n").alias("all"))
+    halves = [half for half in (False, True) if len({r["label"] for r in counts if r["held"] != half}) == 2]
+    if not halves:
+        return wide.withColumn("score", F.lit(0.0)).where("false")
+    parts = [score(learn(rows.where(F.col("held") != half)), rows.where(F.col("held") == half)) for half in halves]
+    judged = reduce(DataFrame.union, parts).groupBy("kind", F.floor(F.col("score") * LEVELS).alias("level"))
+    judged = judged.agg(F.sum(F.col("label") * F.col("n")).alias("right"), F.sum("n").alias("all"))
     limits: dict[str, float] = {}
     right, total = dict.fromkeys(KINDS, 0.0), dict.fromkeys(KINDS, 0.0)
     # At most LEVELS + 1 rows per wide kind.
-    for row in sorted(held.collect(), key=lambda r: -r["level"]):
+    for row in sorted(judged.collect(), key=lambda r: -r["level"]):
         kind = row["kind"]
         right[kind] += row["right"]
         total[kind] += row["all"]
@@ -211,7 +224,7 @@ def added_spans(found: DataFrame, precision: float = PRECISION) -> DataFrame:
     accepted = F.lit(False)
     for kind, limit in limits.items():
         accepted = accepted | ((F.col("kind") == kind) & (F.col("score") >= max(limit, 0.5)))
-    return score(wide.withColumns(features())).where(accepted).select(*found.columns, "score")
+    return score(learn(rows), wide.withColumns(features())).where(accepted).select(*found.columns, "score")
 
 
 def find_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

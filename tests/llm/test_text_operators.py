@@ -233,6 +233,38 @@ def test_pipeline_trains_on_every_candidate(spark, monkeypatch):
     assert counts and counts[0] >= 5000
 
 
+def test_threshold_counts_every_candidate(spark):
+    """Codes of which no fourth hash is one still set the pipeline's threshold."""
+    import corpus_pipeline
+
+    code = F.concat(F.lit('token = "'), F.sha1(F.col("id").cast("string")), F.lit('" here'))
+    word = F.concat(F.lit("plain "), F.translate(F.md5(F.col("id").cast("string")), "0123456789", "ghijklmnop"), F.lit(" words"))
+    docs = spark.range(600).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 300, code).otherwise(word).alias("text"))
+    fourth = F.pmod(F.xxhash64("found", "before", "after"), F.lit(4)) == 0
+    base = F.col("kind").isin([g.kind for g in pii.BASE])
+    gone = pii.candidates(docs).where((F.col("doc_id") < 300) & ((~base & fourth) | F.col("valid"))).select("doc_id")
+    docs = docs.join(gone, "doc_id", "left_anti")
+    docs = docs.select("*", *[F.lit(None).cast("string").alias(c) for c in corpus_pipeline.COLUMNS if c not in docs.columns])
+    clean = corpus_pipeline.replace_personal_data(spark, docs, "").collect()
+    codes = [r.text for r in clean if r.doc_id < 300]
+    assert len(codes) > 100 and all("<secret>" in text for text in codes)
+    assert not any("<" in r.text for r in clean if r.doc_id >= 300)
+
+
+def test_rare_format_among_many(spark):
+    """One format of codes beside over 10,000 formats of words: what tells it apart is not missed."""
+    letters = "concat(repeat('a', int(id % 40) + 1), repeat('B', int(id / 40) % 40 + 16), repeat('_', int(id / 1600)))"
+    words = spark.range(39000).selectExpr("id", f"{letters} as found", "'some ' as before")
+    long = "concat(repeat('a', int(id % 60) + 100), repeat('B', int((id - 40000) / 60) + 100))"
+    words = words.union(spark.range(40000, 43600).selectExpr("id", f"{long} as found", "'some ' as before"))
+    # As long as these and with their shares: only the digit and what lies before tell the codes apart.
+    order = "concat(repeat('a', int(id % 100)), repeat('B', 100), repeat('a', 110 - int(id % 100)), '7')"
+    codes = spark.range(43600, 43700).selectExpr("id", f"{order} as found", "'token = ' as before")
+    found = words.union(codes).selectExpr("*", "'secret' as kind", "' ' as after")
+    assert pii._cells(found).count() > 30000
+    assert {r.id for r in pii.added_spans(found).collect()} == set(range(43600, 43700))
+
+
 def test_packing(docs, empty):
     import numpy as np
     import public_tokenizers
